@@ -1,0 +1,17 @@
+"""Join helpers with an explicit size bound on anything broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast-hint ``df`` only after proving it has at most ``max_rows`` rows.
+
+    The probe is ``limit(max_rows + 1).count()``, which stops reading as soon as
+    the bound is exceeded, so it stays cheap even when the side turns out to be
+    large. Beyond the bound no hint is given and Spark plans a shuffle join
+    (AQE may still convert it at runtime from real sizes)."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
