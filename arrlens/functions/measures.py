@@ -57,12 +57,17 @@ def sum_when(cond: Column, value: Column | str, default_zero: bool = True) -> Co
 
 
 def scaled(x: Column | str, divisor: int = CRORE, dp: int = 2) -> Column:
-    """Exact decimal scaling, e.g. INR to crore, rounded half-up at ``dp``.
-
-    The division happens in DECIMAL so the result does not depend on binary
-    floating-point representation, then the value is returned as DOUBLE."""
-    d = c(x).cast("decimal(38,6)") / F.lit(divisor).cast("decimal(38,0)")
-    return F.round(d, dp).cast("double")
+    """Scale whole INR to e.g. crore, rounded half away from zero at ``dp``.
+
+    Rounding is done in integer arithmetic on the whole-INR value, so it does
+    not depend on how a binary double represents ``x / divisor``; only the
+    final ``k / 10^dp`` is a double division."""
+    unit = divisor // 10 ** dp
+    if unit * 10 ** dp != divisor or unit < 2:
+        raise ValueError("divisor must be a multiple of 10^(dp+1)")
+    v = F.abs(c(x).cast("long")) + F.lit(unit // 2)
+    k = ((v - v % F.lit(unit)) / F.lit(unit)).cast("long")
+    return F.signum(c(x)) * k / F.lit(float(10 ** dp))
 
 
 def rate(pct_col: Column | str) -> Column:
