@@ -34,13 +34,24 @@ class Suite:
     model: Model
     period: Period
     unique_keys: bool = False
+    cache_results: bool = False
     _cache: dict = field(default_factory=dict)
 
     def _get(self, name, build):
+        """Build a result once per suite. With ``cache_results`` the (small,
+        aggregated) result is also cached, so headline, reconciliation,
+        datasets and manifest reread it instead of recomputing it."""
         if name not in self._cache:
-            self._cache[name] = build()
+            df = build()
+            if self.cache_results:
+                df = df.cache()
+            self._cache[name] = df
         return self._cache[name]
 
+    def release(self) -> None:
+        for df in self._cache.values():
+            df.unpersist()
+
     def kpi(self, name: str) -> DataFrame:
         def build():
             f = K.KPI_QUERIES[name]
@@ -99,13 +110,11 @@ class Suite:
 
 def run_analysis(suite: Suite, out_dir: str, expected: dict | None = None) -> dict[str, str]:
     """Gate first, then publish: quality checks must all be zero before any
-    result is written. Results are small aggregates; each is materialised
-    once (cached) because the headline, manifest and reconciliation reread
-    them."""
+    result is written. Build the suite with ``cache_results=True`` so each
+    small result is computed once although the headline, manifest and
+    reconciliation reread it; call ``suite.release()`` afterwards."""
     assert_quality(suite.quality())
     results = suite.results()
-    for df in results.values():
-        df.cache()
     paths = export_results(results, os.path.join(out_dir, "results"))
     paths["headline_metrics"] = write_json(suite.headline().coalesce(1),
                                            os.path.join(out_dir, "headline_metrics"))
@@ -115,8 +124,6 @@ def run_analysis(suite: Suite, out_dir: str, expected: dict | None = None) -> di
     paths["reconciliation"] = write_json(rec.coalesce(1), os.path.join(out_dir, "reconciliation"))
     ds = suite.datasets()
     paths.update(export_results(ds, os.path.join(out_dir, "datasets")))
-    for df in results.values():
-        df.unpersist()
     return paths
 
 

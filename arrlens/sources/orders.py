@@ -18,6 +18,7 @@ from ..operators.panel import (DEFAULT_TERM_MONTHS, churn_facts, contract_months
                                customer_id_col, customer_lifecycle, customer_status,
                                expand_panel, lifecycle_segments)
 from ..schema import Domains, Model, Period
+from ..session import shared_dir
 from .tables import products_table
 
 # Fixed values for the order-derived model.
@@ -80,12 +81,21 @@ def assemble_customers(status: DataFrame, dims: DataFrame) -> DataFrame:
 
 def model_from_orders(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD,
                       tier_threshold: int = ENTERPRISE_MRR_THRESHOLD,
-                      term_months: int = DEFAULT_TERM_MONTHS) -> Model:
+                      term_months: int = DEFAULT_TERM_MONTHS,
+                      checkpoint_segments: bool = False) -> Model:
     """Lazy Model over the driver tables; nothing is computed here except the
-    size probes of the two dimension tables."""
+    size probes of the two dimension tables.
+
+    With ``checkpoint_segments`` the classified contract months (input of all
+    three derived tables) are computed once and written to the checkpoint
+    folder, which keeps their customer partitioning and cuts the lineage back
+    to the orders scan before revenue, churn and customers are written."""
     events = order_events(read(spark, sf_dir, "orders"))
     segments = lifecycle_segments(contract_months(events, period), period,
                                   tier_threshold, term_months)
+    if checkpoint_segments:
+        shared_dir(spark)
+        segments = segments.checkpoint(eager=True)
     lifecycle = customer_lifecycle(segments, period, term_months)
     revenue = expand_panel(segments, period)
     churn = churn_facts(lifecycle)
