@@ -1,0 +1,2 @@
+"""DataFrame operators: panel, KPIs, checks, headline, reconciliation,
+report datasets and manifest."""

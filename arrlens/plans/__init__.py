@@ -1,0 +1 @@
+"""Suite and runner, query registry and DuckDB oracle SQL."""

@@ -19,8 +19,10 @@ def products_table(spark: SparkSession) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Parquet read with the declared schema (no inference)."""
-    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(os.path.join(path, name))
+    """Parquet read with the declared schema (no inference), columns in
+    declared order (a partition column would otherwise come last)."""
+    schema = TABLE_SCHEMAS[name]
+    return spark.read.schema(schema).parquet(os.path.join(path, name)).select(*schema.fieldNames())
 
 
 def load_model(spark: SparkSession, path: str, domains: Domains | None = None) -> Model:

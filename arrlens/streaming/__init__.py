@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The analyses this library reproduces are batch reports over a monthly revenue
+panel; they have no streams, watermarks, windows over event time or state.
+Nothing here is built, to avoid adding operators the source project does not
+have. A monthly refresh is a batch rerun: ``model_from_orders`` ->
+``save_model`` -> ``Suite`` / ``run_analysis``.
+"""
