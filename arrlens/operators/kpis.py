@@ -244,8 +244,9 @@ def plan_segment_performance(model: Model, p: Period) -> DataFrame:
         sum_when(yr & (F.col("revenue_type") == "Expansion"), F.col("movement_mrr_inr") * 12).alias("expansion_arr"),
         sum_when(yr & (F.col("revenue_type") == "Upgrade"), F.col("movement_mrr_inr") * 12).alias("upgrade_arr"),
     )
-    # products: a plan list, far below any broadcast limit by construction.
-    prods = F.broadcast(model.products.select("product_id", "plan_tier"))
+    # No hint on products: Catalyst broadcasts it only if its size estimate is
+    # under spark.sql.autoBroadcastJoinThreshold (AQE re-checks at runtime).
+    prods = model.products.select("product_id", "plan_tier")
     j = (pre.join(prods, "product_id")
          .join(model.customers.select("customer_id", "company_segment"), "customer_id"))
     g = j.groupBy("plan_tier", "company_segment").agg(
@@ -280,6 +281,7 @@ def annual_retention(model: Model, p: Period, windows=None) -> DataFrame:
                      for d in (w[1], w[2])})
     rv = model.revenue.where(F.col("revenue_month").isin(*[F.lit(d) for d in bounds])) \
         .select("customer_id", "revenue_month", "closing_mrr_inr")
+    # roles: two rows per fiscal year of the window, bounded by construction.
     j = rv.join(F.broadcast(roles), rv.revenue_month == roles.month)
     per = j.groupBy("year", "customer_id").agg(
         F.max(F.when(F.col("role") == "s", F.col("closing_mrr_inr"))).alias("s"),
@@ -391,8 +393,8 @@ def customer_flow(model: Model, p: Period, unique_keys: bool = False) -> DataFra
 # --------------------------------------------------------------------------
 def segment_churn_retention(model: Model, p: Period) -> DataFrame:
     """Tier of the customer's *initial* plan (fixed, T13)."""
-    prods = F.broadcast(model.products.select(F.col("product_id").alias("initial_product_id"),
-                                              F.col("plan_tier").alias("starting_plan_tier")))
+    prods = model.products.select(F.col("product_id").alias("initial_product_id"),
+                                  F.col("plan_tier").alias("starting_plan_tier"))
     cust = model.customers.select("customer_id", "company_segment", "initial_product_id",
                                   "lifecycle_status").join(prods, "initial_product_id")
     ending_arr = customer_rollup(model, p).select("customer_id", "ending_arr_inr")

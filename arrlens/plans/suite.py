@@ -4,6 +4,8 @@ that gates, exports and summarises them."""
 from __future__ import annotations
 
 import os
+import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -16,6 +18,7 @@ from ..operators.manifest import run_manifest, table_fingerprint
 from ..operators.quality import assert_quality, constraint_report, quality_report
 from ..operators.reconcile import reconcile
 from ..schema import Model, Period
+from ..session import shared_dir
 from ..sources.tables import export_results, table_counts, write_json
 
 # Result names in report order.
@@ -39,18 +42,21 @@ class Suite:
 
     def _get(self, name, build):
         """Build a result once per suite. With ``cache_results`` the (small,
-        aggregated) result is also cached, so headline, reconciliation,
-        datasets and manifest reread it instead of recomputing it."""
+        aggregated) result is materialised right away with a reliable
+        checkpoint into the shared checkpoint folder: headline,
+        reconciliation, datasets and manifest then reread a few rows from a
+        lineage-free leaf instead of re-planning and recomputing the whole
+        chain, and a lost executor does not force a recompute."""
         if name not in self._cache:
             df = build()
             if self.cache_results:
-                df = df.cache()
+                shared_dir(df.sparkSession)
+                df = df.checkpoint(eager=True)
             self._cache[name] = df
         return self._cache[name]
 
     def release(self) -> None:
-        for df in self._cache.values():
-            df.unpersist()
+        self._cache.clear()
 
     def kpi(self, name: str) -> DataFrame:
         def build():
@@ -108,22 +114,46 @@ class Suite:
         return table_fingerprint(self.model)
 
 
-def run_analysis(suite: Suite, out_dir: str, expected: dict | None = None) -> dict[str, str]:
+def run_concurrently(actions: dict, threads: int = 4) -> dict[str, tuple[object, float]]:
+    """Run independent Spark actions from a thread pool (one job each; Spark
+    schedules concurrent jobs across the free cores). Returns
+    ``{name: (result, seconds)}``; the first failure is re-raised."""
+    def timed(fn):
+        t = time.perf_counter()
+        out = fn()
+        return out, time.perf_counter() - t
+
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        futures = {n: pool.submit(timed, fn) for n, fn in actions.items()}
+        return {n: f.result() for n, f in futures.items()}
+
+
+def run_analysis(suite: Suite, out_dir: str, expected: dict | None = None,
+                 threads: int = 1) -> dict[str, str]:
     """Gate first, then publish: quality checks must all be zero before any
     result is written. Build the suite with ``cache_results=True`` so each
     small result is computed once although the headline, manifest and
-    reconciliation reread it; call ``suite.release()`` afterwards."""
+    reconciliation reread it."""
     assert_quality(suite.quality())
     results = suite.results()
-    paths = export_results(results, os.path.join(out_dir, "results"))
-    paths["headline_metrics"] = write_json(suite.headline().coalesce(1),
-                                           os.path.join(out_dir, "headline_metrics"))
-    paths["run_manifest"] = write_json(run_manifest(results).coalesce(1),
-                                       os.path.join(out_dir, "run_manifest"))
-    rec = suite.reconciliation(expected)
-    paths["reconciliation"] = write_json(rec.coalesce(1), os.path.join(out_dir, "reconciliation"))
-    ds = suite.datasets()
-    paths.update(export_results(ds, os.path.join(out_dir, "datasets")))
+    res_dir = os.path.join(out_dir, "results")
+    done = run_concurrently(
+        {n: (lambda n=n, df=df: export_results({n: df}, res_dir)) for n, df in results.items()},
+        threads)
+    paths = {n: p for out, _ in done.values() for n, p in out.items()}
+    ds_dir = os.path.join(out_dir, "datasets")
+    derived = {
+        "headline_metrics": lambda: {"headline_metrics": write_json(
+            suite.headline().coalesce(1), os.path.join(out_dir, "headline_metrics"))},
+        "run_manifest": lambda: {"run_manifest": write_json(
+            run_manifest(results).coalesce(1), os.path.join(out_dir, "run_manifest"))},
+        "reconciliation": lambda: {"reconciliation": write_json(
+            suite.reconciliation(expected).coalesce(1), os.path.join(out_dir, "reconciliation"))},
+    }
+    for n, df in suite.datasets().items():
+        derived[n] = (lambda n=n, df=df: export_results({n: df}, ds_dir))
+    for out, _ in run_concurrently(derived, threads).values():
+        paths.update(out)
     return paths
 
 
