@@ -114,8 +114,7 @@ def expand_panel(segments: DataFrame, period: Period) -> DataFrame:
     month = month_from_index(F.col("m"))
     cid = customer_id_col()
     return months.select(
-        F.concat(F.lit("R"), F.col("customer_key").cast("string"), F.lit("-"),
-                 F.date_format(month, "yyyyMM")).alias("revenue_id"),
+        F.concat(F.lit("R"), cid, F.lit("-"), F.date_format(month, "yyyyMM")).alias("revenue_id"),
         month.alias("revenue_month"),
         cid.alias("customer_id"),
         product_of(F.col("tier")).alias("product_id"),

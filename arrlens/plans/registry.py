@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from ..functions.months import month_spine
 from ..operators.kpis import KPI_QUERIES
+from ..operators.lifecycle import panel_from_lifecycles
 from ..schema import Period
-from ..sources.orders import DEFAULT_PERIOD, model_from_orders
+from ..sources.orders import DEFAULT_PERIOD, lifecycle_specs_from_orders, model_from_orders
+from ..sources.tables import products_table
 from .suite import Suite
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +43,13 @@ def month_coverage(suite: Suite) -> DataFrame:
     ).orderBy("revenue_month")
 
 
+def lifecycle_panel(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD) -> DataFrame:
+    """The panel rebuilt from lifecycle specs (contract/churn months, pauses,
+    plan changes) derived from the orders; must equal ``subscription_panel``."""
+    lifecycles, pauses, changes = lifecycle_specs_from_orders(spark, sf_dir, period)
+    return panel_from_lifecycles(lifecycles, pauses, changes, products_table(spark), period)
+
+
 def _from_suite(build: Callable[[Suite], DataFrame]) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return build(suite_for(spark, sf_dir))
@@ -61,6 +70,7 @@ def registry() -> dict[str, QueryFn]:
         "churn_facts": _from_suite(lambda s: s.model.churn),
         "customer_status": _from_suite(lambda s: s.model.customers),
         "month_coverage": _from_suite(month_coverage),
+        "lifecycle_panel": lifecycle_panel,
         "quality_report": _from_suite(lambda s: s.quality()),
         "constraint_report": _from_suite(lambda s: s.constraints()),
     }

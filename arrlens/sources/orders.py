@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_bounded
+from ..functions.months import month_from_index
 from ..operators.panel import (DEFAULT_TERM_MONTHS, churn_facts, contract_months,
                                customer_id_col, customer_lifecycle, customer_status,
-                               expand_panel, lifecycle_segments)
+                               expand_panel, lifecycle_segments, product_of)
 from ..schema import Domains, Model, Period
 from ..session import shared_dir
 from .tables import products_table
@@ -103,3 +104,30 @@ def model_from_orders(spark: SparkSession, sf_dir: str, period: Period = DEFAULT
                                    customer_dimension(spark, sf_dir))
     return Model(customers=customers, products=products_table(spark), revenue=revenue,
                  churn=churn, domains=ORDER_DOMAINS)
+
+
+def lifecycle_specs_from_orders(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD,
+                                tier_threshold: int = ENTERPRISE_MRR_THRESHOLD,
+                                term_months: int = DEFAULT_TERM_MONTHS):
+    """Lifecycle specs (contract/churn months, pauses, plan changes) read off
+    the order-derived segments, for ``operators.lifecycle``. A gap between
+    coverage islands is a pause ending at the reactivation month; a lapse
+    at the end is an open pause (or, if never reactivated, the churn)."""
+    events = order_events(read(spark, sf_dir, "orders"))
+    seg = lifecycle_segments(contract_months(events, period), period, tier_threshold, term_months)
+    life = customer_lifecycle(seg, period, term_months)
+    cid = customer_id_col().alias("customer_id")
+    lifecycles = life.select(
+        cid, month_from_index(F.col("first_ym")).alias("contract_month"),
+        F.when(F.col("churned"), month_from_index(F.col("churn_ym"))).alias("churn_month"))
+    gaps = seg.where(F.col("after_gap")).select(
+        cid, month_from_index(F.col("prev_ym") + term_months).alias("pause_start"),
+        month_from_index(F.col("ym")).alias("reactivation_month"))
+    lapses = seg.where(F.col("next_ym").isNull()
+                       & (F.col("ym") + (term_months - 1) < F.lit(period.end_index))).select(
+        cid, month_from_index(F.col("ym") + term_months).alias("pause_start"),
+        F.lit(None).cast("date").alias("reactivation_month"))
+    changes = seg.select(cid, month_from_index(F.col("ym")).alias("change_month"),
+                         product_of(F.col("tier")).alias("product_id"),
+                         F.col("closing").cast("long").alias("mrr"))
+    return lifecycles, gaps.unionByName(lapses), changes

@@ -139,3 +139,38 @@ def test_plan_pushes_filter_and_prunes(spark):
     # One exchange for the (customer, month) aggregate, one for the customer window.
     assert plan.count("Exchange hashpartitioning") == 2
     assert F is not None
+
+
+def test_panel_from_lifecycle_specs(spark):
+    from arrlens.operators.lifecycle import panel_from_lifecycles
+    from arrlens.sources.tables import products_table
+    D = datetime.date
+    period = Period(D(2023, 1, 1), D(2023, 12, 1), 2023)
+    life = spark.createDataFrame([
+        ("C1", D(2022, 10, 1), None),          # opening cohort, upgrade, pause, reactivation
+        ("C2", D(2023, 3, 1), D(2023, 7, 1)),  # new, churns: last row 2023-06
+        ("C3", D(2023, 9, 1), None),           # new, open pause from 2023-11
+    ], "customer_id string, contract_month date, churn_month date")
+    pauses = spark.createDataFrame([
+        ("C1", D(2023, 5, 1), D(2023, 8, 1)),
+        ("C3", D(2023, 11, 1), None),
+    ], "customer_id string, pause_start date, reactivation_month date")
+    changes = spark.createDataFrame([
+        ("C1", D(2022, 10, 1), "P001", 100), ("C1", D(2023, 2, 1), "P002", 300),
+        ("C1", D(2023, 6, 1), "P002", 350),    # inside the pause: in force at reactivation
+        ("C2", D(2023, 3, 1), "P001", 50), ("C2", D(2023, 5, 1), "P001", 60),
+        ("C3", D(2023, 9, 1), "P002", 500),
+    ], "customer_id string, change_month date, product_id string, mrr long")
+    rows = panel_from_lifecycles(life, pauses, changes, products_table(spark), period).collect()
+    got = {(r.customer_id, r.revenue_month.month): (r.revenue_type, r.opening_mrr_inr,
+                                                     r.closing_mrr_inr, r.product_id) for r in rows}
+    assert got[("C1", 1)] == ("Recurring", 100, 100, "P001")     # history before the window
+    assert got[("C1", 2)] == ("Upgrade", 100, 300, "P002")
+    assert ("C1", 5) not in got and ("C1", 7) not in got
+    assert got[("C1", 8)] == ("Reactivation", 0, 350, "P002")
+    assert got[("C2", 3)] == ("New", 0, 50, "P001")
+    assert got[("C2", 5)] == ("Expansion", 50, 60, "P001")
+    assert max(m for c, m in got if c == "C2") == 6                # churn cut
+    assert sorted(m for c, m in got if c == "C3") == [9, 10]       # open pause
+    assert len(rows) == 12 - 3 + 4 + 2
+    assert all(r.revenue_id == f"R{r.customer_id}-{r.revenue_month:%Y%m}" for r in rows)
