@@ -11,9 +11,10 @@ Inputs, all keyed by ``customer_id``:
   MRR in force from that month on (the contract month included); the latest
   change at or before a month is carried forward.
 
-Plan: pauses and plan changes are collected per customer. These groups are
-bounded by the number of calendar months, since there is at most one change
-per month and each pause is at least a month. They are joined to the
+Plan: plan changes are first reduced two-phase to one per (customer, month)
+and pauses to one per (customer, start month), so a customer with a flood of
+input rows collapses map-side. The per-customer lists collected next are
+therefore bounded by the number of calendar months. They are joined to the
 lifecycles at customer grain. Each customer's active months are built and
 classified with array functions (sequence, filter, exists, element lookup),
 then ``posexplode``-d. Only customer-grain data is shuffled; the panel itself
@@ -46,11 +47,20 @@ def panel_from_lifecycles(lifecycles: DataFrame, pauses: DataFrame, plan_changes
     """Revenue rows (same schema as the revenue table) inside the window.
     Months are classified over the full history first, then clipped."""
     tier_rank = F.array_position(F.array(*[F.lit(t) for t in PLAN_TIERS]), F.col("plan_tier"))
-    ch = (plan_changes.join(products.select("product_id", "plan_tier"), "product_id", "left")
+    # Two-phase pre-aggregation to one change per (customer, month) -- the
+    # largest MRR and its plan -- and one pause per (customer, start), open if
+    # any copy is open. However many input rows a customer has, each
+    # collected list is then bounded by the number of calendar months.
+    per_month = plan_changes.groupBy("customer_id", "change_month").agg(
+        F.max("mrr").alias("mrr"), F.max_by("product_id", "mrr").alias("product_id"))
+    ch = (per_month.join(products.select("product_id", "plan_tier"), "product_id", "left")
           .groupBy("customer_id")
           .agg(F.array_sort(F.collect_list(F.struct(
               "change_month", "mrr", "product_id", tier_rank.alias("tier_rank")))).alias("changes")))
-    pa = pauses.groupBy("customer_id").agg(
+    per_start = pauses.groupBy("customer_id", "pause_start").agg(
+        F.when(F.count_if(F.col("reactivation_month").isNull()) == 0,
+               F.max("reactivation_month")).alias("reactivation_month"))
+    pa = per_start.groupBy("customer_id").agg(
         F.collect_list(F.struct("pause_start", "reactivation_month")).alias("pauses"))
     j = lifecycles.join(ch, "customer_id", "left").join(pa, "customer_id", "left")
     pauses_arr = F.coalesce(F.col("pauses"), _empty_like(j, "pauses"))

@@ -174,3 +174,27 @@ def test_panel_from_lifecycle_specs(spark):
     assert sorted(m for c, m in got if c == "C3") == [9, 10]       # open pause
     assert len(rows) == 12 - 3 + 4 + 2
     assert all(r.revenue_id == f"R{r.customer_id}-{r.revenue_month:%Y%m}" for r in rows)
+
+
+def test_lifecycle_specs_tolerate_duplicated_inputs(spark):
+    """A flood of copies of the same change / pause rows for one customer is
+    collapsed before collection and gives the same panel."""
+    from arrlens.operators.lifecycle import panel_from_lifecycles
+    from arrlens.sources.tables import products_table
+    D = datetime.date
+    period = Period(D(2023, 1, 1), D(2023, 12, 1), 2023)
+    life = spark.createDataFrame([("C1", D(2023, 1, 1), None)],
+                                 "customer_id string, contract_month date, churn_month date")
+    one_change = [("C1", D(2023, 1, 1), "P001", 100), ("C1", D(2023, 4, 1), "P001", 120)]
+    one_pause = [("C1", D(2023, 6, 1), D(2023, 9, 1))]
+    cs = "customer_id string, change_month date, product_id string, mrr long"
+    ps = "customer_id string, pause_start date, reactivation_month date"
+    prods = products_table(spark)
+    base = panel_from_lifecycles(life, spark.createDataFrame(one_pause, ps),
+                                 spark.createDataFrame(one_change, cs), prods, period)
+    many = panel_from_lifecycles(
+        life, spark.createDataFrame(one_pause * 500, ps),
+        spark.createDataFrame(one_change * 500 + [("C1", D(2023, 4, 1), "P001", 110)], cs),
+        prods, period)
+    assert sorted(map(tuple, base.collect())) == sorted(map(tuple, many.collect()))
+    assert base.count() == 12 - 3
