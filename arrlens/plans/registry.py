@@ -6,8 +6,10 @@ returns the requested result over the whole tables.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +24,29 @@ from .suite import Suite
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+_MODELS: dict = {}
+_MODELS_LOCK = threading.Lock()
+
+
+def shared_model(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD):
+    """One model per (session, data folder, period), persisted on first use
+    (memory and disk, recomputed from lineage if an executor is lost), so a
+    run of many registered queries derives the panel once. A model is only
+    reused by the very session that built it."""
+    key = (sf_dir, period)
+    with _MODELS_LOCK:
+        held = _MODELS.get(key)
+        if held is not None and held[0] is spark:
+            return held[1]
+        model = model_from_orders(spark, sf_dir, period)
+        for name in ("customers", "products", "revenue", "churn"):
+            setattr(model, name, getattr(model, name).persist(StorageLevel.MEMORY_AND_DISK))
+        _MODELS[key] = (spark, model)
+        return model
+
+
 def suite_for(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD) -> Suite:
-    return Suite(model_from_orders(spark, sf_dir, period), period)
+    return Suite(shared_model(spark, sf_dir, period), period)
 
 
 def month_coverage(suite: Suite) -> DataFrame:
