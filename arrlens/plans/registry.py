@@ -52,8 +52,23 @@ def shared_model(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERI
     return shared_suite(spark, sf_dir, period).model
 
 
-def suite_for(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD) -> Suite:
-    return shared_suite(spark, sf_dir, period)
+def release_shared() -> None:
+    """Unpersist every shared model and forget the shared suites."""
+    with _SUITES_LOCK:
+        for _, suite in _SUITES.values():
+            suite.release()
+            for df in suite.model.tables().values():
+                df.unpersist()
+        _SUITES.clear()
+
+
+def suite_for(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD,
+              shared: bool = True) -> Suite:
+    """The shared suite, or (``shared=False``) a fresh lazy one whose results
+    carry their full plans (nothing persisted or checkpointed)."""
+    if shared:
+        return shared_suite(spark, sf_dir, period)
+    return Suite(model_from_orders(spark, sf_dir, period), period)
 
 
 def month_coverage(suite: Suite) -> DataFrame:
@@ -80,21 +95,21 @@ def lifecycle_panel(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_P
     return panel_from_lifecycles(lifecycles, pauses, changes, products_table(spark), period)
 
 
-def _from_suite(build: Callable[[Suite], DataFrame]) -> QueryFn:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(suite_for(spark, sf_dir))
-    return run
-
-
-def _kpi(name: str) -> QueryFn:
-    return _from_suite(lambda s: s.kpi(name))
-
+def registry(shared: bool = True) -> dict[str, QueryFn]:
+    """All registered queries. ``shared`` (the default) runs them on one
+    shared suite per session and data folder; ``shared=False`` gives each
+    call a fresh lazy suite, for looking at the full plans."""
+    def _from_suite(build: Callable[[Suite], DataFrame]) -> QueryFn:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return build(suite_for(spark, sf_dir, shared=shared))
+        return run
 
-def _dataset(name: str) -> QueryFn:
-    return _from_suite(lambda s: s.datasets()[name])
+    def _kpi(name: str) -> QueryFn:
+        return _from_suite(lambda s: s.kpi(name))
 
+    def _dataset(name: str) -> QueryFn:
+        return _from_suite(lambda s: s.datasets()[name])
 
-def registry() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {
         "subscription_panel": _from_suite(lambda s: s.model.revenue),
         "churn_facts": _from_suite(lambda s: s.model.churn),

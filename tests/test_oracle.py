@@ -31,6 +31,15 @@ def _canon(cols, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+@pytest.fixture(scope="module", autouse=True)
+def _release_shared_suite():
+    """The registry persists one shared model per session; drop it after this
+    module so later tests see fresh plans, not cached relations."""
+    yield
+    from arrlens.plans.registry import release_shared
+    release_shared()
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
