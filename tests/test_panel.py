@@ -198,3 +198,28 @@ def test_lifecycle_specs_tolerate_duplicated_inputs(spark):
         prods, period)
     assert sorted(map(tuple, base.collect())) == sorted(map(tuple, many.collect()))
     assert base.count() == 12 - 3
+
+
+def test_hot_customer_collapses_before_the_window(spark):
+    """One customer holds half of all events, spread over every input
+    partition: the (customer, month) aggregate combines map-side, the window
+    sees at most one row per signing month for it, and the panel still
+    equals the brute-force expansion."""
+    period = Period(datetime.date(2021, 1, 1), datetime.date(2023, 12, 1), 2023)
+    events = []
+    for i in range(4000):
+        hot = i % 2 == 0
+        ck = 7 if hot else 100 + i % 50
+        y, mth = divmod(2019 * 12 + (i * 7) % 60, 12)
+        events.append((ck, datetime.datetime(y, mth + 1, 1 + i % 27), i, (1 + i % 45) * 1000, "r"))
+    df = spark.createDataFrame(events, EVENT_SCHEMA).repartition(8)
+    cm = contract_months(df, period)
+    hot_months = {(e[1].year, e[1].month) for e in events if e[0] == 7}
+    assert cm.where(F.col("customer_key") == 7).count() == len(hot_months)
+    plan = cm._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan
+    seg = lifecycle_segments(cm, period, 30000)
+    rev = expand_panel(seg, period).collect()
+    got = {(int(r.customer_id[1:]), r.revenue_month.year * 12 + r.revenue_month.month - 1):
+           (r.revenue_type, r.opening_mrr_inr, r.movement_mrr_inr, r.closing_mrr_inr) for r in rev}
+    assert got == brute_force(events, period, 30000)
