@@ -90,6 +90,54 @@ def quality_report(model: Model) -> DataFrame:
     return _union(parts)
 
 
+def inject_defects(model: Model, duplicate_segment: str, forbidden_from_segment: str,
+                   status_flip_segment: str, orphan_churn_reason: str,
+                   unknown_suffix: str = "-X", unknown_product: str = "P999") -> Model:
+    """A copy of ``model`` with rule-chosen defects, so every quality check
+    has a non-zero count. Each defect is picked by a data value (segment,
+    revenue type, status, churn reason) over the whole tables, never by key:
+
+    * customers: ``forbidden_from_segment`` becomes the forbidden segment (D9);
+      churned customers of ``status_flip_segment`` are marked Active (D8);
+      rows of ``duplicate_segment`` appear twice (D1).
+    * revenue: Upgrade rows appear twice (D2); Expansion rows point at an
+      unknown customer (D3), Reactivation rows at an unknown product (D4);
+      New rows carry ARR + 1 (D6); New rows of churned customers are typed
+      Reactivation (D7).
+    * churn: rows with ``orphan_churn_reason`` point at an unknown customer (D5).
+    """
+    cu, rv, ch = model.customers, model.revenue, model.churn
+    seg, status = F.col("company_segment"), F.col("lifecycle_status")
+    cu2 = cu.withColumns({
+        "company_segment": F.when(seg == forbidden_from_segment,
+                                  F.lit(model.domains.forbidden_segment)).otherwise(seg),
+        "lifecycle_status": F.when((seg == status_flip_segment) & (status == "Churned"),
+                                   F.lit("Active")).otherwise(status),
+    })
+    cu2 = cu2.unionByName(cu2.where(F.col("company_segment") == duplicate_segment))
+    # Churned customers, one row each: the join stays at customer grain.
+    churned = ch.select("customer_id", F.lit(True).alias("_churned")).distinct()
+    rtype = F.col("revenue_type")
+    rv2 = rv.join(churned, "customer_id", "left").select(
+        F.col("revenue_id"), F.col("revenue_month"),
+        F.when(rtype == "Expansion", F.concat("customer_id", F.lit(unknown_suffix)))
+        .otherwise(F.col("customer_id")).alias("customer_id"),
+        F.when(rtype == "Reactivation", F.lit(unknown_product))
+        .otherwise(F.col("product_id")).alias("product_id"),
+        F.when((rtype == "New") & F.col("_churned").isNotNull(), F.lit("Reactivation"))
+        .otherwise(rtype).alias("revenue_type"),
+        "opening_mrr_inr", "movement_mrr_inr", "closing_mrr_inr", "recognized_revenue_inr",
+        F.when(rtype == "New", F.col("arr_run_rate_inr") + 1)
+        .otherwise(F.col("arr_run_rate_inr")).alias("arr_run_rate_inr"),
+    )
+    rv2 = rv2.unionByName(rv2.where(F.col("revenue_type") == "Upgrade"))
+    ch2 = ch.withColumn("customer_id", F.when(
+        F.col("churn_reason") == orphan_churn_reason,
+        F.concat("customer_id", F.lit(unknown_suffix))).otherwise(F.col("customer_id")))
+    return Model(customers=cu2, products=model.products, revenue=rv2, churn=ch2,
+                 domains=model.domains)
+
+
 def assert_quality(report: DataFrame) -> DataFrame:
     """D11 fail-fast gate. The report is a handful of rows, so fetching the
     failing ones to raise a readable error is bounded."""

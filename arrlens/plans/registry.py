@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from ..functions.months import month_spine
 from ..operators.kpis import KPI_QUERIES
 from ..operators.lifecycle import panel_from_lifecycles
+from ..operators.quality import quality_report
 from ..schema import Period
-from ..sources.orders import DEFAULT_PERIOD, lifecycle_specs_from_orders, model_from_orders
+from ..sources.orders import (DEFAULT_PERIOD, lifecycle_specs_from_orders, model_from_orders,
+                              model_with_defects)
 from ..sources.tables import products_table
 from .suite import Suite
 
@@ -118,6 +120,8 @@ def registry(shared: bool = True) -> dict[str, QueryFn]:
         "lifecycle_panel": lifecycle_panel,
         "quality_report": _from_suite(lambda s: s.quality()),
         "constraint_report": _from_suite(lambda s: s.constraints()),
+        "quality_report_dirty": _from_suite(
+            lambda s: quality_report(model_with_defects(s.model))),
     }
     for name in KPI_QUERIES:
         q[name] = _kpi(name)

@@ -28,6 +28,11 @@ ENTERPRISE_MRR_THRESHOLD = 30000
 ORDER_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 ORDER_DOMAINS = Domains(segments=ORDER_SEGMENTS)
 UNCLASSIFIED_INDUSTRY = "Unclassified"
+# Fixed values of the defect rules for the dirty quality check (by value, not key).
+DEFECT_DUPLICATE_SEGMENT = "BUILDING"
+DEFECT_FORBIDDEN_FROM_SEGMENT = "HOUSEHOLD"
+DEFECT_STATUS_FLIP_SEGMENT = "AUTOMOBILE"
+DEFECT_ORPHAN_CHURN_REASON = "5-LOW"
 # Dimension tables broadcast only below this many rows (checked at build time).
 DIMENSION_BROADCAST_ROWS = 100_000
 
@@ -131,3 +136,10 @@ def lifecycle_specs_from_orders(spark: SparkSession, sf_dir: str, period: Period
                          product_of(F.col("tier")).alias("product_id"),
                          F.col("closing").cast("long").alias("mrr"))
     return lifecycles, gaps.unionByName(lapses), changes
+
+
+def model_with_defects(model: Model) -> Model:
+    """The order-derived model with the fixed defect rules applied."""
+    from ..operators.quality import inject_defects
+    return inject_defects(model, DEFECT_DUPLICATE_SEGMENT, DEFECT_FORBIDDEN_FROM_SEGMENT,
+                          DEFECT_STATUS_FLIP_SEGMENT, DEFECT_ORPHAN_CHURN_REASON)

@@ -262,3 +262,19 @@ def test_dirty_data_raises_every_check(spark):
     assert c["domain_churn_mrr_lost_inr"] == 1 and c["domain_churn_tenure_months"] == 1
     assert c["arr_math"] == 1 and c["waterfall_math"] == 1
     assert c["pk_unique_products"] == 0 and c["enum_plan_tier"] == 0
+
+
+def test_rule_chosen_defects_trip_every_check(spark):
+    """The registered dirty variant: defects chosen by value over the whole
+    order-derived model make all nine checks non-zero, and the gate raises."""
+    import __spark_entry__ as E
+    from conftest import SF_MID
+    from arrlens.plans.registry import release_shared
+    try:
+        df = E.queries()["quality_report_dirty"](spark, SF_MID)
+        q = {r.check_name: r.issue_count for r in df.collect()}
+        assert len(q) == 9 and all(v > 0 for v in q.values()), q
+        with pytest.raises(QualityGateError):
+            assert_quality(df)
+    finally:
+        release_shared()
