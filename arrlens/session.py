@@ -36,9 +36,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (local tests) is a fresh scratch
-    folder created and registered, so the same code never writes to a
-    machine-local folder on a cluster that names its own."""
+    Only when the session leaves it unset *and runs in local mode* (tests,
+    the bench) is a fresh scratch folder created and registered. On a
+    cluster an unset folder is an error: a driver-local folder would not be
+    shared by the executors, so the checkpoints would not survive."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir
@@ -46,6 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
     ck = sc.getCheckpointDir()
     if ck:
         return ck
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                           "(for example on HDFS or object storage)")
     local = tempfile.mkdtemp(prefix="arrlens-ck-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)

@@ -120,3 +120,13 @@ def test_period_derivations():
     assert p.year_end_day == dt.date(2025, 12, 31) and p.end_day == dt.date(2025, 12, 31)
     assert [w[0] for w in p.retention_windows()] == [2024, 2025]
     assert TABLE_ORDER[0] == "products"
+
+
+def test_shared_dir_is_read_from_the_session(spark):
+    """The checkpoint folder comes from the session; scratch paths live under it."""
+    from arrlens.session import scratch_path, shared_dir
+    base = shared_dir(spark)
+    assert base
+    assert spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    p = scratch_path(spark, "x")
+    assert p.startswith(base[len("file:"):] if base.startswith("file:") else base)
