@@ -46,7 +46,7 @@ def main() -> None:
     #    shared folder (cuts lineage; every analysis below reads the files).
     path = scratch_path(spark, "model")
     _, times["model_build"] = timed(lambda: save_model(
-        model_from_orders(spark, sf_dir, p, checkpoint_segments=True), path))
+        model_from_orders(spark, sf_dir, p, checkpoint_segments=True), path, concurrent=True))
     phases["model_build"] = times["model_build"]
     model = load_model(spark, path, ORDER_DOMAINS)
 
