@@ -81,3 +81,11 @@ def test_fingerprint_is_deterministic(spark):
     b = [tuple(r) for r in E.queries()["table_fingerprint"](spark, SF_SMALL).collect()]
     assert sorted(a) == sorted(b)
     assert {r[0] for r in a} == {"products", "customers", "revenue", "churn"}
+
+
+def test_reconciliation_identities_hold_on_the_derived_model(spark):
+    """Agreement with the oracle is not enough: every cross-metric identity
+    must also pass on the order-derived model."""
+    rows = E.queries()["reconciliation"](spark, SF_SMALL).collect()
+    assert len(rows) == 16
+    assert [r.check_name for r in rows if not r.passed] == []
