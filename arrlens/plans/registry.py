@@ -1,7 +1,8 @@
 """Every registered query as ``(spark, sf_dir) -> DataFrame``.
 
-Each call derives the model from the driver tables in ``sf_dir`` (lazily) and
-returns the requested result over the whole tables.
+Each query reads the model derived from the driver tables in ``sf_dir`` (built
+and stored once per session, see ``shared_suite``) and returns the requested
+result over the whole tables.
 """
 
 from __future__ import annotations
@@ -9,7 +10,6 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +18,10 @@ from ..operators.kpis import KPI_QUERIES
 from ..operators.lifecycle import panel_from_lifecycles
 from ..operators.quality import quality_report
 from ..schema import Period
-from ..sources.orders import (DEFAULT_PERIOD, lifecycle_specs_from_orders, model_from_orders,
-                              model_with_defects)
-from ..sources.tables import products_table
+from ..session import scratch_path
+from ..sources.orders import (DEFAULT_PERIOD, ORDER_DOMAINS, lifecycle_specs_from_orders,
+                              model_from_orders, model_with_defects)
+from ..sources.tables import load_model, products_table, save_model
 from .suite import Suite
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -32,20 +33,22 @@ _SUITES_LOCK = threading.Lock()
 
 def shared_suite(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD) -> Suite:
     """One suite per (session, data folder, period), only reused by the very
-    session that built it. Its model tables are persisted on first use
-    (memory and disk, recomputed from lineage if an executor is lost), and
-    its small results are checkpointed into the shared folder once, so a run
-    of many registered queries derives the panel and each KPI once; the
-    headline, reconciliation and report datasets reread those results."""
+    session that built it. On first use the model is derived from the orders
+    and written to the shared checkpoint folder (tables committed through the
+    output protocol, revenue partitioned by month), then read back: a lost
+    executor costs a re-read of files, not a rebuild of the panel, and the
+    single-month scans prune. Its small results are checkpointed into the
+    same folder once, so a run of many registered queries derives the panel
+    and each KPI once; the headline, reconciliation and report datasets
+    reread those results."""
     key = (sf_dir, period)
     with _SUITES_LOCK:
         held = _SUITES.get(key)
         if held is not None and held[0] is spark:
             return held[1]
-        model = model_from_orders(spark, sf_dir, period)
-        for name in ("customers", "products", "revenue", "churn"):
-            setattr(model, name, getattr(model, name).persist(StorageLevel.MEMORY_AND_DISK))
-        suite = Suite(model, period, cache_results=True)
+        path = save_model(model_from_orders(spark, sf_dir, period, checkpoint_segments=True),
+                          scratch_path(spark, "model"), concurrent=True)
+        suite = Suite(load_model(spark, path, ORDER_DOMAINS), period, cache_results=True)
         _SUITES[key] = (spark, suite)
         return suite
 
@@ -55,12 +58,10 @@ def shared_model(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERI
 
 
 def release_shared() -> None:
-    """Unpersist every shared model and forget the shared suites."""
+    """Forget the shared suites (their files stay in the shared folder)."""
     with _SUITES_LOCK:
         for _, suite in _SUITES.values():
             suite.release()
-            for df in suite.model.tables().values():
-                df.unpersist()
         _SUITES.clear()
 
 
