@@ -111,7 +111,7 @@ def registry(shared: bool = True) -> dict[str, QueryFn]:
         return _from_suite(lambda s: s.kpi(name))
 
     def _dataset(name: str) -> QueryFn:
-        return _from_suite(lambda s: s.datasets()[name])
+        return _from_suite(lambda s: s.dataset(name))
 
     q: dict[str, QueryFn] = {
         "subscription_panel": _from_suite(lambda s: s.model.revenue),

@@ -89,21 +89,27 @@ class Suite:
             self.model, self.period, {n: self.kpi(n) for n in KPI_ORDER[1:]},
             self.quality(), self.constraints(), expected))
 
-    def datasets(self) -> dict[str, DataFrame]:
-        h = self.headline()
-        flow = self.kpi("customer_flow")
+    def _dataset_builders(self) -> dict:
         return {
-            "rpt_kpis": R.rpt_kpis(h),
-            "rpt_monthly": R.rpt_monthly(self.kpi("monthly_revenue_growth")),
-            "rpt_channels": R.rpt_channels(self.kpi("channel_performance")),
-            "rpt_growth_events": R.rpt_growth_events(self.kpi("growth_event_bridge"), self.period),
-            "rpt_churn_reasons": R.rpt_churn_reasons(self.kpi("churn_reasons")),
-            "rpt_logo_flow": R.rpt_logo_flow(flow),
-            "rpt_growth_rates": R.rpt_growth_rates(flow),
-            "rpt_segment_churn": R.rpt_segment_churn(self.kpi("segment_churn_retention")),
-            "rpt_growth_quality": R.rpt_growth_quality(self.kpi("growth_quality")),
+            "rpt_kpis": lambda: R.rpt_kpis(self.headline()),
+            "rpt_monthly": lambda: R.rpt_monthly(self.kpi("monthly_revenue_growth")),
+            "rpt_channels": lambda: R.rpt_channels(self.kpi("channel_performance")),
+            "rpt_growth_events": lambda: R.rpt_growth_events(self.kpi("growth_event_bridge"),
+                                                             self.period),
+            "rpt_churn_reasons": lambda: R.rpt_churn_reasons(self.kpi("churn_reasons")),
+            "rpt_logo_flow": lambda: R.rpt_logo_flow(self.kpi("customer_flow")),
+            "rpt_growth_rates": lambda: R.rpt_growth_rates(self.kpi("customer_flow")),
+            "rpt_segment_churn": lambda: R.rpt_segment_churn(self.kpi("segment_churn_retention")),
+            "rpt_growth_quality": lambda: R.rpt_growth_quality(self.kpi("growth_quality")),
         }
 
+    def dataset(self, name: str) -> DataFrame:
+        """One report dataset; only the results it reads are built."""
+        return self._dataset_builders()[name]()
+
+    def datasets(self) -> dict[str, DataFrame]:
+        return {n: build() for n, build in self._dataset_builders().items()}
+
     def manifest(self) -> DataFrame:
         return run_manifest(self.results())
 
