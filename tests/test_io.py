@@ -130,3 +130,15 @@ def test_shared_dir_is_read_from_the_session(spark):
     assert spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     p = scratch_path(spark, "x")
     assert p.startswith(base[len("file:"):] if base.startswith("file:") else base)
+
+
+def test_shared_dir_refuses_a_driver_local_folder_on_a_cluster():
+    """With no checkpoint folder named on a non-local master, no local
+    fallback is made up: the call raises."""
+    from types import SimpleNamespace
+
+    from arrlens.session import shared_dir
+    sc = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(conf=conf, sparkContext=sc))
