@@ -202,7 +202,27 @@ def constraint_report(model: Model) -> DataFrame:
     for t, checks in per_table.items():
         row = tables[t].agg(*[c.cast("long").alias(n) for n, c in checks])
         parts.append(_stack(row, [n for n, _ in checks]))
-    for child, col, parent, pcol in FOREIGN_KEYS:
-        parts.append(_orphans(f"fk_{child}_{col}", tables[child], col, tables[parent], pcol,
-                              skip_null=True))
+    parts.extend(_fk_orphans(tables))
     return _union(parts)
+
+
+def _fk_orphans(tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """One ``fk_<child>_<col>`` row per foreign key. Each child table is
+    first reduced once by all of its FK columns to (keys, rows); every FK
+    check of that table reads this reduction (the same plan, so the
+    exchange is reused), so the child is scanned and shuffled once for all
+    of its foreign keys. A null FK is not a violation."""
+    fk_cols: dict[str, list[str]] = {}
+    for child, col, _, _ in FOREIGN_KEYS:
+        fk_cols.setdefault(child, []).append(col)
+    reduced = {child: tables[child].groupBy(*cols).agg(F.count(F.lit(1)).alias("_rows"))
+               for child, cols in fk_cols.items()}
+    out = []
+    for child, col, parent, pcol in FOREIGN_KEYS:
+        keys = (reduced[child].where(F.col(col).isNotNull())
+                .groupBy(F.col(col).alias("_k")).agg(F.sum("_rows").alias("_n")))
+        par = tables[parent].select(F.col(pcol).alias("_k")).where(F.col("_k").isNotNull()).distinct()
+        o = keys.join(par, "_k", "left_anti")
+        out.append(o.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("issue_count"))
+                   .select(F.lit(f"fk_{child}_{col}").alias("check_name"), "issue_count"))
+    return out
