@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.measures import combine_single_rows
 from ..schema import FOREIGN_KEYS, PRIMARY_KEYS, REQUIRED_COLUMNS, Model
 
 
@@ -30,33 +31,50 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _one(name: str, count_col: Column, df: DataFrame) -> DataFrame:
-    return df.agg(count_col.cast("long").alias("issue_count")).select(
-        F.lit(name).alias("check_name"), "issue_count")
+def key_rows(child: DataFrame, *cols: str) -> DataFrame:
+    """``child`` reduced to (cols..., _rows) with a two-phase aggregate: one
+    row per key combination, however many fact rows share it."""
+    return child.groupBy(*cols).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def orphan_count(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
-                 skip_null: bool = False) -> Column | DataFrame:
-    """Rows of ``child`` whose key has no match in ``parent``.
+def orphan_count(reduced: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
+                 skip_null: bool = False) -> DataFrame:
+    """Keys of a ``key_rows`` reduction with no match in ``parent``, with the
+    number of child rows behind each (``_k``, ``_n``).
 
-    The child side is first reduced to (key, rows) with a two-phase
-    aggregate; the anti join then runs on distinct keys only. A null key
-    never matches, so it counts as an orphan unless ``skip_null``."""
-    keys = child.groupBy(F.col(child_col).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    The anti join runs on distinct keys only. A null key never matches, so
+    it counts as an orphan unless ``skip_null``."""
+    keys = reduced.groupBy(F.col(child_col).alias("_k")).agg(F.sum("_rows").alias("_n"))
     if skip_null:
         keys = keys.where(F.col("_k").isNotNull())
     par = parent.select(F.col(parent_col).alias("_k")).where(F.col("_k").isNotNull()).distinct()
     return keys.join(par, "_k", "left_anti")
 
 
-def _orphans(name: str, child, child_col, parent, parent_col, skip_null=False) -> DataFrame:
-    o = orphan_count(child, child_col, parent, parent_col, skip_null)
-    return o.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("issue_count")).select(
-        F.lit(name).alias("check_name"), "issue_count")
+def _orphan_total(name, reduced, child_col, parent, parent_col, skip_null=False) -> DataFrame:
+    """One row, one column ``name``: child rows whose key has no parent."""
+    o = orphan_count(reduced, child_col, parent, parent_col, skip_null)
+    return o.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias(name))
+
+
+def _orphans(name, reduced, child_col, parent, parent_col, skip_null=False) -> DataFrame:
+    return _stack(_orphan_total(name, reduced, child_col, parent, parent_col, skip_null), [name])
+
+
+# Check names of the quality report, in report order.
+QUALITY_CHECKS = ["duplicate_customer_id", "duplicate_customer_month", "orphan_revenue_customer",
+                  "orphan_revenue_product", "orphan_churn_customer", "invalid_arr_math",
+                  "reactivated_customer_in_churn", "churn_status_mismatch", "smb_records"]
 
 
 def quality_report(model: Model) -> DataFrame:
-    """The nine zero-tolerance checks."""
+    """The nine zero-tolerance checks.
+
+    Every check is a one-row aggregate; they are merged into one row and
+    stacked once in report order. Checks on the same table share one
+    aggregate (D1 with D9, D2 with D6), which only holds if both of its
+    columns stay in use: stacking them separately would let column pruning
+    split the aggregate into two scans."""
     cu, rv, ch, pr = model.customers, model.revenue, model.churn, model.products
     d = model.domains
     cust_row = cu.agg(
@@ -67,27 +85,24 @@ def quality_report(model: Model) -> DataFrame:
         .alias("duplicate_customer_month"),
         F.count_if(F.col("arr_run_rate_inr") != F.col("closing_mrr_inr") * 12)
         .alias("invalid_arr_math"))
+    # Both revenue orphan checks read one (customer, product) reduction.
+    rv_keys = key_rows(rv, "customer_id", "product_id")
     # D7 counts join rows (not customers): sum of reactivation rows per churned customer.
     react = (rv.where(F.col("revenue_type") == "Reactivation")
              .groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n")))
     d7 = ch.select("customer_id").join(react, "customer_id").agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("issue_count")).select(
-        F.lit("reactivated_customer_in_churn").alias("check_name"), "issue_count")
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("reactivated_customer_in_churn"))
     not_churned = cu.where(F.col("lifecycle_status") != "Churned").select("customer_id")
-    d8 = _one("churn_status_mismatch", F.count(F.lit(1)),
-              ch.select("customer_id").join(not_churned, "customer_id"))
-    parts = [
-        _stack(cust_row, ["duplicate_customer_id"]),
-        _stack(rev_row, ["duplicate_customer_month"]),
-        _orphans("orphan_revenue_customer", rv, "customer_id", cu, "customer_id"),
-        _orphans("orphan_revenue_product", rv, "product_id", pr, "product_id"),
-        _orphans("orphan_churn_customer", ch, "customer_id", cu, "customer_id"),
-        _stack(rev_row, ["invalid_arr_math"]),
-        d7,
-        d8,
-        _stack(cust_row, ["smb_records"]),
-    ]
-    return _union(parts)
+    d8 = ch.select("customer_id").join(not_churned, "customer_id").agg(
+        F.count(F.lit(1)).cast("long").alias("churn_status_mismatch"))
+    row = combine_single_rows(
+        cust_row, rev_row,
+        _orphan_total("orphan_revenue_customer", rv_keys, "customer_id", cu, "customer_id"),
+        _orphan_total("orphan_revenue_product", rv_keys, "product_id", pr, "product_id"),
+        _orphan_total("orphan_churn_customer", key_rows(ch, "customer_id"), "customer_id",
+                      cu, "customer_id"),
+        d7, d8)
+    return _stack(row, QUALITY_CHECKS)
 
 
 def inject_defects(model: Model, duplicate_segment: str, forbidden_from_segment: str,
@@ -215,14 +230,9 @@ def _fk_orphans(tables: dict[str, DataFrame]) -> list[DataFrame]:
     fk_cols: dict[str, list[str]] = {}
     for child, col, _, _ in FOREIGN_KEYS:
         fk_cols.setdefault(child, []).append(col)
-    reduced = {child: tables[child].groupBy(*cols).agg(F.count(F.lit(1)).alias("_rows"))
-               for child, cols in fk_cols.items()}
+    reduced = {child: key_rows(tables[child], *cols) for child, cols in fk_cols.items()}
     out = []
     for child, col, parent, pcol in FOREIGN_KEYS:
-        keys = (reduced[child].where(F.col(col).isNotNull())
-                .groupBy(F.col(col).alias("_k")).agg(F.sum("_rows").alias("_n")))
-        par = tables[parent].select(F.col(pcol).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-        o = keys.join(par, "_k", "left_anti")
-        out.append(o.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("issue_count"))
-                   .select(F.lit(f"fk_{child}_{col}").alias("check_name"), "issue_count"))
+        out.append(_orphans(f"fk_{child}_{col}", reduced[child], col, tables[parent], pcol,
+                            skip_null=True))
     return out
