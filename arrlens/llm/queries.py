@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import chat_format, line_dedup, quality_rules, sharding
+from . import chat_format, line_dedup, packing, quality_rules, sharding, token_files
 
 QUERIES = {
+    "op2_token_files": token_files.op2_token_files,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op8_chat_formatting": chat_format.op8_chat_formatting,
     "op9_sharding": sharding.op9_sharding,
+    "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
 ORACLE_SQL = {
