@@ -29,6 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import slices, stored, table, text_or_empty, texts_of
+from .token_files import id_kind
 from .tokens import encoder, ended, vocabulary_file
 
 CAPACITY = 2048
@@ -157,8 +158,9 @@ PIECE = "doc_id long, piece long, start long, length long, ids_crc32 long, ids b
 
 def pieces_of(docs: DataFrame, vocabulary_path: str, spaced: bool = True, end_id: int = END_ID,
               capacity: int = CAPACITY) -> DataFrame:
-    """Every document's pieces, stored; ``ids`` are little-endian 32-bit ids;
-    ``number`` counts the pieces of the same length in the same part."""
+    """Every document's pieces, stored; ``ids`` are little-endian, of 16 bits if
+    the vocabulary allows and else of 32; ``number`` counts the pieces of the
+    same length in the same part."""
     from pyspark import TaskContext
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
@@ -166,8 +168,9 @@ def pieces_of(docs: DataFrame, vocabulary_path: str, spaced: bool = True, end_id
     def cut(batches):
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in slices(batches):
-            ids, offsets = ended(*encoder(vocabulary_path, spaced)(texts_of(batch)), end_id)
-            ids = np.ascontiguousarray(ids, "<u4")
+            encode = encoder(vocabulary_path, spaced)
+            ids, offsets = ended(*encode(texts_of(batch)), end_id)
+            ids, short = np.ascontiguousarray(ids, "<u4"), ids.astype(id_kind(max(encode.vocab, end_id + 1)))
             size = np.diff(offsets)
             many = -(-size // capacity)
             doc = np.repeat(np.arange(len(size)), many)
@@ -180,10 +183,11 @@ def pieces_of(docs: DataFrame, vocabulary_path: str, spaced: bool = True, end_id
                 number[i] = seen[n]
                 seen[n] += 1
             at = offsets[doc] + start
-            own = [ids[a:a + n].tobytes() for a, n in zip(at.tolist(), length.tolist())]
+            spans = list(zip(at.tolist(), (at + length).tolist()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(doc)), pa.array(piece), pa.array(start), pa.array(length),
-                 pa.array([zlib.crc32(x) for x in own], pa.int64()), pa.array(own, pa.binary()),
+                 pa.array([zlib.crc32(ids[a:b]) for a, b in spans], pa.int64()),
+                 pa.array([short[a:b].tobytes() for a, b in spans], pa.binary()),
                  pa.array(np.full(len(doc), part)), pa.array(number)],
                 names=[f.split()[0] for f in PIECE.split(", ")])
 
@@ -191,8 +195,9 @@ def pieces_of(docs: DataFrame, vocabulary_path: str, spaced: bool = True, end_id
 
 
 def packed(docs: DataFrame, vocabulary_path: str, spaced: bool = True, end_id: int = END_ID,
-           capacity: int = CAPACITY) -> DataFrame:
-    """The pieces of ``docs`` with sequence_id and offset there."""
+           capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
+    """The pieces of ``docs`` with sequence_id and offset there, and their
+    ``ids`` if wanted."""
     pieces = pieces_of(docs, vocabulary_path, spaced, end_id, capacity)
     spark = docs.sparkSession
     by_part = stored(pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "lengths")
@@ -203,7 +208,7 @@ def packed(docs: DataFrame, vocabulary_path: str, spaced: bool = True, end_id: i
     earlier = W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     base = by_part.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     numbered = pieces.join(base, ["part", "length"]).withColumn("number", F.col("number") + F.col("base"))
-    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
+    columns = [f.split()[0] for f in PIECE.split(", ")][:6 if with_ids else 5]
 
     def place(batches):
         for batch in batches:
@@ -212,9 +217,9 @@ def packed(docs: DataFrame, vocabulary_path: str, spaced: bool = True, end_id: i
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(sequence), pa.array(offset)],
                                              names=[*columns, "sequence_id", "offset"])
 
-    schema = "doc_id long, piece long, start long, length long, ids_crc32 long, ids binary, sequence_id long, offset long"
+    schema = ", ".join([*PIECE.split(", ")[:len(columns)], "sequence_id long, offset long"])
     return numbered.select(*columns, "number").mapInArrow(place, schema)
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json")).drop("ids")
+    return packed(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"), with_ids=False)

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from . import chat_format, line_dedup, packing, quality_rules, sharding, token_files
+import corpus_pipeline
+
+from . import chat_format, decontaminate, jaccard_join, line_dedup, packing, quality_rules, sharding, token_files
 
 QUERIES = {
+    "op1_decontamination": decontaminate.op1_decontamination,
     "op2_token_files": token_files.op2_token_files,
     "op3_quality_rules": quality_rules.op3_quality_rules,
+    "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op8_chat_formatting": chat_format.op8_chat_formatting,
     "op9_sharding": sharding.op9_sharding,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
+    "op4_jaccard_join": jaccard_join.ORACLE_SQL,
     "op5_line_dedup": line_dedup.ORACLE_SQL,
     "op8_chat_formatting": chat_format.ORACLE_SQL,
 }
