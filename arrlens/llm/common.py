@@ -45,12 +45,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark then deletes the shuffle files of a query when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends there,
-    and a lost executor costs a re-read."""
+    a lost executor costs a re-read, and the shuffle files behind it can go."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

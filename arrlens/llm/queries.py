@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import chat_format, decontaminate, jaccard_join, line_dedup, packing, quality_rules, sharding, token_files
+from . import (chat_format, decontaminate, jaccard_join, line_dedup, packing, quality_classifier, quality_rules, sharding,
+               suffix_dedup, token_files)
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -12,6 +13,8 @@ QUERIES = {
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op5_line_dedup": line_dedup.op5_line_dedup,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
+    "op7_quality_classifier": quality_classifier.op7_quality_classifier,
     "op8_chat_formatting": chat_format.op8_chat_formatting,
     "op9_sharding": sharding.op9_sharding,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
