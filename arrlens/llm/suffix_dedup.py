@@ -39,15 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, slices, stored, table, text_or_empty
+from .common import mix, stored, table, text_or_empty
+from .key_buckets import Keys, answers, asked, block_rows, blocks
 
 LENGTH = 100
 #: A difference cover: every residue modulo PERIOD is a difference of two of these.
 PERIOD = 57
 COVER = (0, 1, 3, 13, 32, 36, 43, 52)
 SAMPLE = LENGTH - PERIOD + 1
-#: Bytes of the texts in one block.
-BLOCK_BYTES = 4 << 20
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -104,83 +103,6 @@ class Block:
         return np.cumsum(covered[:-1]) > 0
 
 
-class Keys:
-    """Sorted distinct keys of some positions of a block."""
-
-    def __init__(self, position: np.ndarray, key: np.ndarray):
-        order = np.argsort(key, kind="stable")  # positions of equal keys ascend
-        self.position, key = position[order], key[order]
-        self.new = np.ones(len(key), bool)
-        self.new[1:] = key[1:] != key[:-1]
-        self.key = key[self.new]
-
-    def buckets(self, buckets: int, bits: int) -> list[tuple[int, bytes]]:
-        """The keys of each bucket (a range of keys), as differences stored
-        byte plane by byte plane: planes of zeros compress away."""
-        edge = np.array([-(-(b << 64) // buckets) for b in range(buckets)], np.uint64)
-        at = np.append(np.searchsorted(self.key, edge), len(self.key)).tolist()
-        out = []
-        for b, (i, j) in enumerate(zip(at, at[1:])):
-            if j > i:
-                own = self.key[i:j] - edge[b]
-                if bits == 32:  # scaled to the bucket
-                    own = own // np.uint64((1 << 64) // buckets // (1 << 32) + 1)
-                step = np.diff(own, prepend=np.uint64(0)).astype("<u4" if bits == 32 else "<u8")
-                out.append((b, np.ascontiguousarray(step.view(np.uint8).reshape(len(step), -1).T).tobytes()))
-        return out
-
-    def marked(self, reply: dict[int, bytes], buckets: int) -> np.ndarray:
-        """The buckets' answers, a bit for each distinct key."""
-        edge = np.array([-(-(b << 64) // buckets) for b in range(buckets)], np.uint64)
-        at = np.append(np.searchsorted(self.key, edge), len(self.key)).tolist()
-        out = np.zeros(len(self.key), bool)
-        for b, (i, j) in enumerate(zip(at, at[1:])):
-            if j > i and b in reply:
-                out[i:j] = np.unpackbits(np.frombuffer(reply[b], np.uint8), count=j - i).view(bool)
-        return out
-
-    def spread(self, marks: np.ndarray) -> np.ndarray:
-        """Marks of distinct keys, for all positions."""
-        return marks[np.cumsum(self.new) - 1] if len(self.new) else np.zeros(0, bool)
-
-
-BLOCK = "block long, doc_ids array<long>, sizes array<long>, text binary"
-
-
-def _blocks(docs: DataFrame) -> DataFrame:
-    """Documents in doc_id order, stored in numbered blocks."""
-    from pyspark import TaskContext
-
-    rows = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-
-    def gather(batches):
-        part, nth = TaskContext.get().partitionId(), 0
-        for batch in slices(batches, limit=BLOCK_BYTES):
-            texts = batch.column("text").cast(pa.large_binary())
-            at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
-            body = texts.buffers()[2]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([(part << 32) + nth]), pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                 pa.array([np.diff(at)], pa.list_(pa.int64())),
-                 pa.array([body.to_pybytes()[at[0]:at[-1]] if body else b""], pa.binary())],
-                names=[f.split()[0] for f in BLOCK.split(", ")])
-            nth += 1
-
-    return stored(rows.mapInArrow(gather, BLOCK), "blocks")
-
-
-def _each(batches):
-    """(block number, document ids, Block, replies by name) of stored rows."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = {n: batch.column(n)[i] for n in batch.schema.names}
-            sizes = row["sizes"].values.to_numpy()
-            block = Block(row["text"].as_py(), np.concatenate(([0], np.cumsum(sizes))))
-            replies = {n: dict((x["bucket"], x["bits"]) for x in row[n].as_py() or []) for n in ("names", "suffixes")
-                       if n in row}
-            yield row["block"].as_py(), row["doc_ids"].values, block, replies
-
-
 def _repeated_samples(block: Block, names: dict[int, bytes], buckets: int) -> np.ndarray:
     at = block.samples()
     keys = Keys(at, block.fingerprints(at, SAMPLE))
@@ -195,50 +117,6 @@ def _suffix_keys(block: Block, names: dict[int, bytes], buckets: int) -> Keys:
     return Keys(at, block.fingerprints(at, LENGTH))
 
 
-def _answers(asked: DataFrame, buckets: int, bits: int, earlier: bool, name: str) -> DataFrame:
-    """For rows (block, bucket, steps): for each block its answers (bucket,
-    bits), a bit for each key: does an earlier, or any other, block have it."""
-    kind = "<u4" if bits == 32 else "<u8"
-
-    def sort(batches):
-        held: dict[int, list[tuple[int, np.ndarray]]] = {}
-        for batch in batches:
-            for block, bucket, steps in zip(*(batch.column(c).to_pylist() for c in ("block", "bucket", "steps"))):
-                planes = np.frombuffer(steps, np.uint8).reshape(bits // 8, -1)
-                own = np.cumsum(np.ascontiguousarray(planes.T).view(kind).ravel(), dtype=np.uint64)
-                held.setdefault(bucket, []).append((block, own))
-        for bucket in list(held):  # one bucket at a time
-            parts = sorted(held.pop(bucket), key=lambda x: x[0])
-            size = [len(k) for _, k in parts]
-            key = np.concatenate([k for _, k in parts])
-            order = np.argsort(key, kind="stable")  # earlier blocks first
-            same = key[order][1:] == key[order][:-1]
-            mark = np.zeros(len(key), bool)
-            mark[order[1:][same]] = True
-            if not earlier:
-                mark[order[:-1][same]] = True
-            cut = np.concatenate(([0], np.cumsum(size))).tolist()
-            packed = [np.packbits(mark[i:j]).tobytes() for i, j in zip(cut, cut[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _ in parts]), pa.array([bucket] * len(parts), pa.int32()), pa.array(packed, pa.binary())],
-                names=["block", "bucket", "bits"])
-
-    rows = asked.repartitionById(buckets, F.col("bucket")).mapInArrow(sort, "block long, bucket int, bits binary")
-    return stored(rows, name).groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias(name))
-
-
-def _asked(blocks: DataFrame, keys, buckets: int, bits: int) -> DataFrame:
-    def run(batches):
-        for number, _, block, replies in _each(batches):
-            parts = keys(block, replies).buckets(buckets, bits)
-            if parts:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number] * len(parts)), pa.array([b for b, _ in parts], pa.int32()),
-                     pa.array([s for _, s in parts], pa.binary())], names=["block", "bucket", "steps"])
-
-    return blocks.mapInArrow(run, "block long, bucket int, steps binary")
-
-
 def without_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of
     ``docs``; and the removed spans (starts, lengths) and the bytes ``kept``
@@ -250,20 +128,26 @@ def without_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
     firsts = stored(docs.groupBy("key").agg(F.min(F.struct("doc_id")).alias("first"))
                     .select("key", F.col("first.doc_id").alias("doc_id")), "firsts")
     same = docs["key"].eqNullSafe(firsts["key"]) & docs["doc_id"].eqNullSafe(firsts["doc_id"])
-    blocks = _blocks(docs.join(firsts, same, "left_semi").select("doc_id", "text"))
+    rows = docs.join(firsts, same, "left_semi").select("doc_id", F.lit(None).cast("long").alias("text_key"), "text")
+    # Block numbers follow the order of the documents.
+    texts = blocks(rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
 
-    def sample_keys(block, _):
+    def sample_keys(row, _):
+        block = Block(row["text"], row["offsets"])
         at = block.samples()
         return Keys(at, block.fingerprints(at, SAMPLE))
 
-    names = _answers(_asked(blocks, sample_keys, buckets, 32), buckets, 32, False, "names")
-    named = blocks.join(names, "block", "left")
-    suffixes = _answers(_asked(named, lambda b, r: _suffix_keys(b, r["names"], buckets), buckets, 64), buckets, 64, True,
-                        "suffixes")
+    def suffix_keys(row, replies):
+        return _suffix_keys(Block(row["text"], row["offsets"]), replies["names"], buckets)
+
+    names = answers(asked(texts, sample_keys, buckets, 32), buckets, 32, False, "names")
+    named = texts.join(names, "block", "left")
+    suffixes = answers(asked(named, suffix_keys, buckets, 64), buckets, 64, True, "suffixes")
     known = named.join(suffixes, "block", "left")
 
     def remove(batches):
-        for _, ids, block, replies in _each(batches):
+        for row, replies in block_rows(batches):
+            block = Block(row["text"], row["offsets"])
             keys = _suffix_keys(block, replies["names"], buckets)
             again = keys.spread(keys.marked(replies["suffixes"], buckets)) | ~keys.new
             gone = block.removed(keys.position[again])
@@ -276,7 +160,7 @@ def without_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
                 out.append((b - a, int(own.sum()), len(begin), hashlib.sha256(kept).hexdigest(), begin, end - begin, kept))
             n_bytes, removed, spans, digest, starts, lengths, kept = zip(*out) if out else [[]] * 7
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n_bytes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
+                [row["doc_ids"], pa.array(n_bytes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
                  pa.array(digest, pa.string()), pa.array(list(starts), pa.list_(pa.int64())),
                  pa.array(list(lengths), pa.list_(pa.int64())),
                  pa.array(kept if with_kept else [None] * len(out), pa.binary())],
