@@ -9,7 +9,6 @@ Layout:
                  headline, reconciliation, report datasets, manifest
     plans/       Suite (all results for one model and period), the gated
                  runner, the query registry and the DuckDB oracle SQL
-    streaming/   empty on purpose (the analyses are batch)
 """
 
 from .schema import Domains, Model, Period

@@ -309,7 +309,7 @@ def annual_retention(model: Model, p: Period, windows=None) -> DataFrame:
 # --------------------------------------------------------------------------
 def growth_event_bridge(model: Model, p: Period) -> DataFrame:
     rv = window_revenue(model, p).where(F.col("revenue_type").isin(*MOVEMENT_TYPES))
-    g = rv.groupBy(F.year(F.col("revenue_month")).cast("long").alias("year"), "revenue_type").agg(
+    g = rv.groupBy(fiscal_year(F.col("revenue_month"), p.fy_end_month).alias("year"), "revenue_type").agg(
         F.count(F.lit(1)).alias("event_count"),
         F.sum(F.col("movement_mrr_inr")).cast("long").alias("added_mrr_inr"),
         (F.sum(F.col("movement_mrr_inr")) * 12).cast("long").alias("added_arr_inr"),

@@ -11,19 +11,16 @@ Inputs, all keyed by ``customer_id``:
   MRR in force from that month on (the contract month included); the latest
   change at or before a month is carried forward.
 
-Plan: plan changes are first reduced two-phase to one per (customer, month)
-and pauses to one per (customer, start month), so a customer with a flood of
-input rows collapses map-side. The per-customer lists collected next are
-therefore bounded by the number of calendar months. They are joined to the
-lifecycles at customer grain. Each customer's active months are built and
-classified with array functions (sequence, filter, exists, element lookup),
-then ``posexplode``-d. Only customer-grain data is shuffled; the panel itself
-is produced by narrow operations.
+Plan: plan changes are reduced two-phase to one per (customer, month), so a
+customer with a flood of input rows collapses map-side. Lifecycles and pauses
+are exploded into months; active months less paused ones, together with the
+change months, make one row per (customer, month), and one window by customer
+carries the plan forward. Work is linear in a customer's history.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import PLAN_TIERS, Period
@@ -33,66 +30,47 @@ def _one_month():
     return F.expr("interval 1 month")
 
 
-def _empty_like(df: DataFrame, col: str):
-    return F.expr("array()").cast(df.schema[col].dataType)
-
-
-def _state_at(changes, month):
-    """Latest plan change at or before ``month`` (null before the first)."""
-    return F.try_element_at(F.filter(changes, lambda c: c["change_month"] <= month), F.lit(-1))
-
-
 def panel_from_lifecycles(lifecycles: DataFrame, pauses: DataFrame, plan_changes: DataFrame,
                           products: DataFrame, period: Period) -> DataFrame:
-    """Revenue rows (same schema as the revenue table) inside the window.
+    """Revenue rows (same schema as the revenue table) of the model's months.
     Months are classified over the full history first, then clipped."""
     tier_rank = F.array_position(F.array(*[F.lit(t) for t in PLAN_TIERS]), F.col("plan_tier"))
-    # Two-phase pre-aggregation to one change per (customer, month) -- the
-    # largest MRR and its plan -- and one pause per (customer, start), open if
-    # any copy is open. However many input rows a customer has, each
-    # collected list is then bounded by the number of calendar months.
-    per_month = plan_changes.groupBy("customer_id", "change_month").agg(
+    # P3 + P4: contract month to the month before churn (null-safe), capped at the last month.
+    last = F.least(F.lit(period.history_end),
+                   F.coalesce(F.add_months(F.col("churn_month"), -1), F.lit(period.history_end)))
+    months = lifecycles.where(last >= F.col("contract_month")).select(
+        "customer_id", F.explode(F.sequence(F.col("contract_month"), last, _one_month())).alias("month")).distinct()
+    # P5: drop paused months; an open pause lasts to the end.
+    until = F.least(F.lit(period.history_end),
+                    F.coalesce(F.add_months(F.col("reactivation_month"), -1), F.lit(period.history_end)))
+    paused = pauses.where(until >= F.col("pause_start")).select(
+        "customer_id", F.explode(F.sequence(F.col("pause_start"), until, _one_month())).alias("month")).distinct()
+    active = months.join(paused, ["customer_id", "month"], "left_anti")
+    # One change per (customer, month): the largest MRR and its plan.
+    changes = plan_changes.groupBy("customer_id", F.col("change_month").alias("month")).agg(
         F.max("mrr").alias("mrr"), F.max_by("product_id", "mrr").alias("product_id"))
-    ch = (per_month.join(products.select("product_id", "plan_tier"), "product_id", "left")
-          .groupBy("customer_id")
-          .agg(F.array_sort(F.collect_list(F.struct(
-              "change_month", "mrr", "product_id", tier_rank.alias("tier_rank")))).alias("changes")))
-    per_start = pauses.groupBy("customer_id", "pause_start").agg(
-        F.when(F.count_if(F.col("reactivation_month").isNull()) == 0,
-               F.max("reactivation_month")).alias("reactivation_month"))
-    pa = per_start.groupBy("customer_id").agg(
-        F.collect_list(F.struct("pause_start", "reactivation_month")).alias("pauses"))
-    j = lifecycles.join(ch, "customer_id", "left").join(pa, "customer_id", "left")
-    pauses_arr = F.coalesce(F.col("pauses"), _empty_like(j, "pauses"))
-    changes_arr = F.coalesce(F.col("changes"), _empty_like(j, "changes"))
-    # P3 + P4: contract month to the month before churn (null-safe), capped at the window end.
-    last = F.least(F.lit(period.end),
-                   F.coalesce(F.add_months(F.col("churn_month"), -1), F.lit(period.end)))
-    seq = F.when(last >= F.col("contract_month"),
-                 F.sequence(F.col("contract_month"), last, _one_month()))
-    # P5: drop paused months.
-    active = F.filter(F.coalesce(seq, F.expr("array()").cast("array<date>")), lambda m: ~F.exists(
-        pauses_arr, lambda p: (m >= p["pause_start"])
-        & (p["reactivation_month"].isNull() | (m < p["reactivation_month"]))))
-    base = j.select("customer_id", active.alias("months"), changes_arr.alias("changes"))
-    rows = base.select("customer_id", "months", "changes",
-                       F.posexplode("months").alias("i", "revenue_month"))
-    prev_m = F.get(F.col("months"), F.col("i") - 1)
-    cur = _state_at(F.col("changes"), F.col("revenue_month"))
-    prv = _state_at(F.col("changes"), prev_m)
-    typed = rows.select(
-        "customer_id", "revenue_month", prev_m.alias("prev_month"),
-        cur["mrr"].alias("closing"), cur["product_id"].alias("product_id"),
-        cur["tier_rank"].alias("rank"), prv["mrr"].alias("prev_closing"),
-        prv["tier_rank"].alias("prev_rank"))
-    # P6 precedence on the spec form; P8 plan carried forward via _state_at.
+    changes = changes.join(products.select("product_id", tier_rank.alias("rank")), "product_id", "left")
+    rows = (active.withColumn("active", F.lit(True))
+            .join(changes, ["customer_id", "month"], "full"))
+    # The latest change at or before a month is in force, also if it came in a paused month.
+    w = Window.partitionBy("customer_id").orderBy("month")
+    known = rows.withColumn("state", F.when(F.col("mrr").isNotNull(), F.struct("mrr", "product_id", "rank")))
+    state = F.last("state", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    held = known.withColumn("now", state).where("active").select("customer_id", F.col("month").alias("revenue_month"), "now")
+    typed = held.select(
+        "customer_id", "revenue_month", F.lag("revenue_month").over(Window.partitionBy("customer_id").orderBy("revenue_month"))
+        .alias("prev_month"), "now", F.lag("now").over(Window.partitionBy("customer_id").orderBy("revenue_month")).alias("before"))
+    typed = typed.select(
+        "customer_id", "revenue_month", "prev_month", F.col("now.mrr").alias("closing"), "now.product_id",
+        "now.rank", F.col("before.mrr").alias("prev_closing"), F.col("before.rank").alias("prev_rank"))
+    # P6 precedence on the spec form.
     rtype = (F.when(F.col("prev_month").isNull(), F.lit("New"))
              .when(F.col("prev_month") < F.add_months(F.col("revenue_month"), -1), F.lit("Reactivation"))
              .when(F.col("rank") > F.col("prev_rank"), F.lit("Upgrade"))
              .when(F.col("closing") > F.col("prev_closing"), F.lit("Expansion"))
              .otherwise(F.lit("Recurring")))
     opening = F.when(rtype.isin("New", "Reactivation"), F.lit(0)).otherwise(F.col("prev_closing"))
-    out = typed.where(F.col("revenue_month").between(F.lit(period.start), F.lit(period.end)))
+    out = typed.where(F.col("revenue_month").between(F.lit(period.history_start), F.lit(period.history_end)))
     return out.select(
         F.concat(F.lit("R"), F.col("customer_id"), F.lit("-"),
                  F.date_format("revenue_month", "yyyyMM")).alias("revenue_id"),

@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from ..schema import Model
 
 
+def published_manifest(results: dict[str, DataFrame], paths: dict[str, str]) -> DataFrame:
+    """The manifest of published results: with the columns as a list and the
+    place of each result's files."""
+    spark = next(iter(results.values())).sparkSession
+    places = spark.createDataFrame(sorted(paths.items()), "query_name string, output_file string")
+    out = run_manifest(results).join(places, "query_name", "left")  # a row for each result
+    return out.select("query_name", "output_file", "row_count", F.split("column_names", ",").alias("columns"))
+
+
 def run_manifest(results: dict[str, DataFrame]) -> DataFrame:
     """(query_name, row_count, column_count, column_names) per result, computed
     as one union of count aggregates (no per-result driver round trip)."""
@@ -24,16 +33,17 @@ def run_manifest(results: dict[str, DataFrame]) -> DataFrame:
 
 
 def fingerprint(df: DataFrame, name: str) -> DataFrame:
-    """Order-insensitive content digest of a table: row count, XOR and
-    (decimal) sum of a 64-bit row hash. Two equal rows cancel in the XOR,
-    which the count and the sum catch."""
-    cols = sorted(df.columns)
-    h = F.xxhash64(*[F.col(c) for c in cols])
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.bit_xor(h).alias("xor_hash"),
-        F.sum(h.cast("decimal(38,0)")).cast("string").alias("sum_hash"),
-    ).select(F.lit(name).alias("table_name"), "row_count", "xor_hash", "sum_hash")
+    """Order-insensitive content digest of a table: row count, and the sums of
+    two 60-bit parts of each row's md5 (columns by name as text, nulls marked),
+    which any engine can compute. Sums of equal rows don't cancel."""
+    text = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in sorted(df.columns)])
+    parts = df.select(F.md5(text).alias("h"))
+
+    def total(start: int):
+        part = F.conv(F.substring("h", start, 15), 16, 10).cast("decimal(38,0)")
+        return F.coalesce(F.sum(part), F.lit(0)).cast("decimal(38,0)").cast("string")
+    return parts.agg(F.count(F.lit(1)).alias("row_count"), total(1).alias("digest_a"), total(16).alias("digest_b")).select(
+        F.lit(name).alias("table_name"), "row_count", "digest_a", "digest_b")
 
 
 def table_fingerprint(model: Model) -> DataFrame:
@@ -46,6 +56,6 @@ def same_fingerprints(a: DataFrame, b: DataFrame) -> DataFrame:
     four rows)."""
     j = a.alias("a").join(b.alias("b"), "table_name", "full")
     same = ((F.col("a.row_count") == F.col("b.row_count"))
-            & (F.col("a.xor_hash") == F.col("b.xor_hash"))
-            & (F.col("a.sum_hash") == F.col("b.sum_hash")))
+            & (F.col("a.digest_a") == F.col("b.digest_a"))
+            & (F.col("a.digest_b") == F.col("b.digest_b")))
     return j.select("table_name", F.coalesce(same, F.lit(False)).alias("matches"))

@@ -19,7 +19,7 @@ Plan, at any scale:
    segment's first month comes from lag/lead on the same window; all later
    months of a segment are Recurring.
 3. ``expand_panel``: a narrow explode of each segment into months, clipped to
-   the window. No 12x fan-out, no DISTINCT, no second shuffle.
+   the model's months. No 12x fan-out, no DISTINCT, no second shuffle.
 4. ``customer_lifecycle``: groupBy(customer) on the window output, which is
    already hash-partitioned by customer, so it adds no exchange.
 """
@@ -55,16 +55,17 @@ def product_of(tier_col):
 
 
 def contract_months(events: DataFrame, period: Period) -> DataFrame:
-    """Per (customer, signing month): largest contract MRR and the reason code
-    of the latest event (by event_time, then event_key). Events after the
-    window end are ignored; the cut-off is a pushed-down scan filter."""
-    after_end = add_months(period.end, 1)
+    """Per (customer, signing month): largest contract MRR and time of the
+    latest event. Events after the model's last month are ignored; the cut-off
+    is a pushed-down scan filter. Both buffers are fixed-width, so both phases
+    are hash aggregates; the reason of a churn is fetched in ``churn_facts``."""
+    after_end = add_months(period.history_end, 1)
     cutoff = F.lit(datetime(after_end.year, after_end.month, 1)).cast("timestamp_ntz")
     return (events
             .where(F.col("event_time") < cutoff)
             .groupBy("customer_key", month_index("event_time").alias("ym"))
             .agg(F.max("mrr").alias("mrr"),
-                 F.max_by("reason", F.struct("event_time", "event_key")).alias("last_reason")))
+                 F.max("event_time").alias("last_time")))
 
 
 def lifecycle_segments(cm: DataFrame, period: Period, tier_threshold: int,
@@ -74,7 +75,7 @@ def lifecycle_segments(cm: DataFrame, period: Period, tier_threshold: int,
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     seg = cm.select(
-        "customer_key", "ym", "mrr", "last_reason",
+        "customer_key", "ym", "mrr", "last_time",
         F.lag("ym").over(w).alias("prev_ym"),
         F.lead("ym").over(w).alias("next_ym"),
         F.max("mrr").over(running).alias("closing"),
@@ -90,7 +91,7 @@ def lifecycle_segments(cm: DataFrame, period: Period, tier_threshold: int,
                   .when(F.col("closing") > F.col("prev_closing"), F.lit("Expansion"))
                   .otherwise(F.lit("Recurring")))
     seg_end = F.least(F.col("ym") + (term_months - 1), F.col("next_ym") - 1,
-                      F.lit(period.end_index).cast("long"))
+                      F.lit(period.last_index).cast("long"))
     return seg.select(
         "*",
         tier.alias("tier"),
@@ -101,8 +102,8 @@ def lifecycle_segments(cm: DataFrame, period: Period, tier_threshold: int,
 
 
 def expand_panel(segments: DataFrame, period: Period) -> DataFrame:
-    """Customer-month revenue rows inside the window."""
-    lo = F.greatest(F.col("ym"), F.lit(period.start_index).cast("long"))
+    """Customer-month revenue rows of the model's months."""
+    lo = F.greatest(F.col("ym"), F.lit(period.first_index).cast("long"))
     months = (segments
               .where(F.col("seg_end") >= lo)
               .select("*", F.explode(F.sequence(lo, F.col("seg_end"))).alias("m")))
@@ -127,33 +128,40 @@ def expand_panel(segments: DataFrame, period: Period) -> DataFrame:
     )
 
 
-def customer_lifecycle(segments: DataFrame, period: Period,
+def customer_lifecycle(segments: DataFrame, period: Period, tier_threshold: int,
                        term_months: int = DEFAULT_TERM_MONTHS) -> DataFrame:
     """One row per customer: contract month, plans, lapse, reactivation, churn
-    (P9, P10). Permanent churn = lapsed before the window end and never
-    reactivated over the full history."""
+    (P9, P10). Permanent churn = lapsed before the last month and never
+    reactivated; the history ends with the model's last month."""
     agg = segments.groupBy("customer_key").agg(
         F.min("ym").alias("first_ym"),
         F.max("ym").alias("last_ym"),
+        F.min("closing").alias("first_closing"),
         F.max("closing").alias("last_closing"),
-        F.min_by("tier", "ym").alias("initial_tier"),
-        F.max_by("tier", "ym").alias("current_tier"),
         F.max(F.col("after_gap").cast("int")).alias("reactivations"),
-        F.max_by("last_reason", "ym").alias("last_reason"),
+        F.max("last_time").alias("last_time"),
     )
     last_active = F.col("last_ym") + (term_months - 1)
-    churned = (last_active < F.lit(period.end_index)) & (F.col("reactivations") == 0)
+    churned = (last_active < F.lit(period.last_index)) & (F.col("reactivations") == 0)
     return agg.select(
         "*",
+        # Closing MRR never falls, so its ends are the first and the last plan.
+        tier_of(F.col("first_closing"), tier_threshold).alias("initial_tier"),
+        tier_of(F.col("last_closing"), tier_threshold).alias("current_tier"),
         churned.alias("churned"),
         (F.col("last_ym") + term_months).alias("churn_ym"),
     )
 
 
-def churn_facts(lifecycle: DataFrame) -> DataFrame:
+def churn_facts(lifecycle: DataFrame, events: DataFrame) -> DataFrame:
     """Churn table (P9): date on the 15th of the first month without
-    coverage, last plan, MRR lost and tenure in months."""
+    coverage, last plan, MRR lost and tenure in months, and the reason of the
+    customer's latest event (by time, then key), read for churned customers only."""
     ch = lifecycle.where(F.col("churned"))
+    last = ch.select("customer_key", F.col("last_time").alias("event_time"))
+    reasons = (events.join(last, ["customer_key", "event_time"], "left_semi").groupBy("customer_key")
+               .agg(F.max_by("reason", "event_key").alias("last_reason")))
+    ch = ch.join(reasons, "customer_key", "left")
     cm = F.col("churn_ym")
     churn_date = F.make_date((cm / 12).cast("long").cast("int"), (cm % 12 + 1).cast("int"),
                              F.lit(CHURN_DAY_OF_MONTH))
@@ -170,7 +178,7 @@ def churn_facts(lifecycle: DataFrame) -> DataFrame:
 
 
 def customer_status(lifecycle: DataFrame) -> DataFrame:
-    """Status and plans as of the window end (P10), keyed by customer_key."""
+    """Status and plans as of the model's last month (P10), keyed by customer_key."""
     return lifecycle.select(
         "customer_key",
         month_from_index(F.col("first_ym")).alias("first_contract_date"),

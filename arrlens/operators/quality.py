@@ -130,22 +130,21 @@ def inject_defects(model: Model, duplicate_segment: str, forbidden_from_segment:
                                    F.lit("Active")).otherwise(status),
     })
     cu2 = cu2.unionByName(cu2.where(F.col("company_segment") == duplicate_segment))
-    # Churned customers, one row each: the join stays at customer grain.
+    # Only a customer's New row meets the churned customers (one row each); the
+    # rest of the fact is changed, and Upgrade rows doubled, row by row.
     churned = ch.select("customer_id", F.lit(True).alias("_churned")).distinct()
     rtype = F.col("revenue_type")
-    rv2 = rv.join(churned, "customer_id", "left").select(
-        F.col("revenue_id"), F.col("revenue_month"),
-        F.when(rtype == "Expansion", F.concat("customer_id", F.lit(unknown_suffix)))
-        .otherwise(F.col("customer_id")).alias("customer_id"),
-        F.when(rtype == "Reactivation", F.lit(unknown_product))
-        .otherwise(F.col("product_id")).alias("product_id"),
-        F.when((rtype == "New") & F.col("_churned").isNotNull(), F.lit("Reactivation"))
-        .otherwise(rtype).alias("revenue_type"),
-        "opening_mrr_inr", "movement_mrr_inr", "closing_mrr_inr", "recognized_revenue_inr",
-        F.when(rtype == "New", F.col("arr_run_rate_inr") + 1)
-        .otherwise(F.col("arr_run_rate_inr")).alias("arr_run_rate_inr"),
-    )
-    rv2 = rv2.unionByName(rv2.where(F.col("revenue_type") == "Upgrade"))
+    is_new = F.coalesce(rtype == "New", F.lit(False))
+    new = rv.where(is_new).join(churned, "customer_id", "left").select(
+        *[F.when(F.col("_churned"), F.lit("Reactivation")).otherwise(rtype).alias(c) if c == "revenue_type"
+          else (F.col(c) + 1).alias(c) if c == "arr_run_rate_inr" else F.col(c) for c in rv.columns])
+    times = F.when(rtype == "Upgrade", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rest = rv.where(~is_new).withColumns({
+        "customer_id": F.when(rtype == "Expansion", F.concat("customer_id", F.lit(unknown_suffix)))
+        .otherwise(F.col("customer_id")),
+        "product_id": F.when(rtype == "Reactivation", F.lit(unknown_product)).otherwise(F.col("product_id")),
+    }).withColumn("_time", F.explode(times)).drop("_time")
+    rv2 = new.unionByName(rest)
     ch2 = ch.withColumn("customer_id", F.when(
         F.col("churn_reason") == orphan_churn_reason,
         F.concat("customer_id", F.lit(unknown_suffix))).otherwise(F.col("customer_id")))
@@ -190,17 +189,14 @@ def _enum_checks(model: Model) -> list[tuple[str, str, str, tuple]]:
 
 def constraint_report(model: Model) -> DataFrame:
     """Keys, foreign keys, not-null, enum and numeric domains, ARR and
-    waterfall arithmetic. One aggregate per table plus one anti join per FK."""
+    waterfall arithmetic. Checks of single rows are one aggregate per table
+    without a distinct (nothing but counts is exchanged); each key is counted
+    apart, so no row is copied for another key; FKs are anti joins."""
     tables = model.tables()
     per_table: dict[str, list[tuple[str, Column]]] = {t: [] for t in tables}
-    for t, pk in PRIMARY_KEYS.items():
-        per_table[t].append((f"pk_unique_{t}", F.count(pk) - F.count_distinct(pk)))
-    per_table["revenue"].append((
-        "unique_revenue_month_customer",
-        F.count(F.when(F.col("revenue_month").isNotNull() & F.col("customer_id").isNotNull(), 1))
-        - F.count_distinct("revenue_month", "customer_id")))
-    per_table["churn"].append(("unique_churn_customer",
-                               F.count("customer_id") - F.count_distinct("customer_id")))
+    unique = [(f"pk_unique_{t}", t, [pk]) for t, pk in PRIMARY_KEYS.items()]
+    unique += [("unique_revenue_month_customer", "revenue", ["revenue_month", "customer_id"]),
+               ("unique_churn_customer", "churn", ["customer_id"])]
     for t, cols in REQUIRED_COLUMNS.items():
         nulls = reduce(lambda a, b: a + b, [F.count_if(F.col(c).isNull()) for c in cols])
         per_table[t].append((f"not_null_{t}", nulls))
@@ -213,7 +209,7 @@ def constraint_report(model: Model) -> DataFrame:
         F.col("arr_run_rate_inr") != F.col("closing_mrr_inr") * 12)))
     per_table["revenue"].append(("waterfall_math", F.count_if(
         F.col("opening_mrr_inr") + F.col("movement_mrr_inr") != F.col("closing_mrr_inr"))))
-    parts = []
+    parts = [_surplus(name, tables[t], cols) for name, t, cols in unique]
     for t, checks in per_table.items():
         row = tables[t].agg(*[c.cast("long").alias(n) for n, c in checks])
         parts.append(_stack(row, [n for n, _ in checks]))
@@ -221,6 +217,13 @@ def constraint_report(model: Model) -> DataFrame:
     return _union(parts)
 
 
+def _surplus(name: str, table: DataFrame, cols: list[str]) -> DataFrame:
+    """One row: rows that repeat a key (keys with a null don't count)."""
+    keys = table.select(*cols).dropna()
+    repeats = key_rows(keys, *cols).where(F.col("_rows") > 1)
+    return _stack(repeats.agg(F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias(name)), [name])
+
+
 def _fk_orphans(tables: dict[str, DataFrame]) -> list[DataFrame]:
     """One ``fk_<child>_<col>`` row per foreign key. Each child table is
     first reduced once by all of its FK columns to (keys, rows); every FK

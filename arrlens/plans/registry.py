@@ -18,72 +18,73 @@ from ..operators.kpis import KPI_QUERIES
 from ..operators.lifecycle import panel_from_lifecycles
 from ..operators.quality import quality_report
 from ..schema import Period
-from ..session import scratch_path
-from ..sources.orders import (DEFAULT_PERIOD, ORDER_DOMAINS, lifecycle_specs_from_orders,
-                              model_from_orders, model_with_defects)
+from ..session import delete_path, path_version, scratch_path
+from ..sources.orders import (ORDER_DOMAINS, lifecycle_specs_from_orders, model_from_orders,
+                              model_with_defects, order_period)
 from ..sources.tables import load_model, products_table, save_model
 from .suite import Suite
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+SOURCE_TABLES = ("orders", "customer", "nation", "region")
 _SUITES: dict = {}
 _SUITES_LOCK = threading.Lock()
 
 
-def shared_suite(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD) -> Suite:
-    """One suite per (session, data folder, period), only reused by the very
-    session that built it. On first use the model is derived from the orders
-    and written to the shared checkpoint folder (tables committed through the
+def shared_suite(spark: SparkSession, sf_dir: str, period: Period | None = None) -> Suite:
+    """One suite per (session, data folder and state, period), only reused by
+    the very session that built it. On first use the model is derived from the
+    orders and written to the shared checkpoint folder (tables committed through the
     output protocol, revenue partitioned by month), then read back: a lost
     executor costs a re-read of files, not a rebuild of the panel, and the
     single-month scans prune. Its small results are checkpointed into the
     same folder once, so a run of many registered queries derives the panel
     and each KPI once; the headline, reconciliation and report datasets
-    reread those results."""
-    key = (sf_dir, period)
+    reread those results. Rewritten input files give a new suite."""
+    state = tuple(path_version(spark, f"{sf_dir}/{t}.parquet") for t in SOURCE_TABLES)
+    key = (sf_dir, state, period)
     with _SUITES_LOCK:
         held = _SUITES.get(key)
         if held is not None and held[0] is spark:
             return held[1]
-        path = save_model(model_from_orders(spark, sf_dir, period, checkpoint_segments=True),
+        own = period or order_period(spark, sf_dir)
+        path = save_model(model_from_orders(spark, sf_dir, own, checkpoint_segments=True),
                           scratch_path(spark, "model"), concurrent=True)
-        suite = Suite(load_model(spark, path, ORDER_DOMAINS), period, cache_results=True)
-        _SUITES[key] = (spark, suite)
+        suite = Suite(load_model(spark, path, ORDER_DOMAINS), own, cache_results=True)
+        _SUITES[key] = (spark, suite, path)
         return suite
 
 
-def shared_model(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD):
-    return shared_suite(spark, sf_dir, period).model
-
-
 def release_shared() -> None:
-    """Forget the shared suites (their files stay in the shared folder)."""
+    """Forget the shared suites and delete their stored models."""
     with _SUITES_LOCK:
-        for _, suite in _SUITES.values():
+        for spark, suite, path in _SUITES.values():
             suite.release()
+            delete_path(spark, path)
         _SUITES.clear()
 
 
-def suite_for(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD,
+def suite_for(spark: SparkSession, sf_dir: str, period: Period | None = None,
               shared: bool = True) -> Suite:
     """The shared suite, or (``shared=False``) a fresh lazy one whose results
     carry their full plans (nothing persisted or checkpointed)."""
     if shared:
         return shared_suite(spark, sf_dir, period)
-    return Suite(model_from_orders(spark, sf_dir, period), period)
+    own = period or order_period(spark, sf_dir)
+    return Suite(model_from_orders(spark, sf_dir, own), own)
 
 
 def month_coverage(suite: Suite) -> DataFrame:
-    """P2 month spine of the window, left-joined to the panel's monthly rows
-    and customers: months without revenue show up with zeros."""
+    """P2 month spine of the model's months, left-joined to the panel's monthly
+    rows and customers: months without revenue show up with zeros."""
     p = suite.period
     spark = suite.model.revenue.sparkSession
-    spine = month_spine(spark, p.start, p.end)
+    spine = month_spine(spark, p.history_start, p.history_end)
     mon = suite.model.revenue.groupBy("revenue_month").agg(
         F.count(F.lit(1)).alias("revenue_rows"),
         F.count_distinct("customer_id").alias("active_customers"))
-    # The spine has one row per month of the window: a bounded broadcast side.
+    # The spine has one row per month of the history: a bounded broadcast side.
     return F.broadcast(spine).join(mon, "revenue_month", "left").select(
         "revenue_month",
         F.coalesce("revenue_rows", F.lit(0)).cast("long").alias("revenue_rows"),
@@ -91,10 +92,13 @@ def month_coverage(suite: Suite) -> DataFrame:
     ).orderBy("revenue_month")
 
 
-def lifecycle_panel(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD) -> DataFrame:
+def lifecycle_panel(spark: SparkSession, sf_dir: str, period: Period | None = None,
+                    checkpoint_segments: bool = True) -> DataFrame:
     """The panel rebuilt from lifecycle specs (contract/churn months, pauses,
     plan changes) derived from the orders; must equal ``subscription_panel``."""
-    lifecycles, pauses, changes = lifecycle_specs_from_orders(spark, sf_dir, period)
+    period = period or order_period(spark, sf_dir)
+    lifecycles, pauses, changes = lifecycle_specs_from_orders(
+        spark, sf_dir, period, checkpoint_segments=checkpoint_segments)
     return panel_from_lifecycles(lifecycles, pauses, changes, products_table(spark), period)
 
 
@@ -118,7 +122,7 @@ def registry(shared: bool = True) -> dict[str, QueryFn]:
         "churn_facts": _from_suite(lambda s: s.model.churn),
         "customer_status": _from_suite(lambda s: s.model.customers),
         "month_coverage": _from_suite(month_coverage),
-        "lifecycle_panel": lifecycle_panel,
+        "lifecycle_panel": lambda spark, sf_dir: lifecycle_panel(spark, sf_dir, checkpoint_segments=shared),
         "quality_report": _from_suite(lambda s: s.quality()),
         "constraint_report": _from_suite(lambda s: s.constraints()),
         "quality_report_dirty": _from_suite(
@@ -127,7 +131,7 @@ def registry(shared: bool = True) -> dict[str, QueryFn]:
     for name in KPI_QUERIES:
         q[name] = _kpi(name)
     q["headline_metrics"] = _from_suite(lambda s: s.headline())
-    q["reconciliation"] = _from_suite(lambda s: s.reconciliation().select("check_name", "passed"))
+    q["reconciliation"] = _from_suite(lambda s: s.reconciliation().select("check_name", "severity", "passed"))
     q["table_fingerprint"] = _from_suite(lambda s: s.fingerprint())
     q["run_manifest"] = _from_suite(lambda s: s.manifest())
     q["table_counts"] = _from_suite(lambda s: s.table_counts())

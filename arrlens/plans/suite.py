@@ -3,18 +3,19 @@ that gates, exports and summarises them."""
 
 from __future__ import annotations
 
+import inspect
 import os
+import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators import datasets as R
 from ..operators import kpis as K
 from ..operators.headline import headline_metrics
-from ..operators.manifest import run_manifest, table_fingerprint
+from ..operators.manifest import published_manifest, run_manifest, table_fingerprint
 from ..operators.quality import assert_quality, constraint_report, quality_report
 from ..operators.reconcile import reconcile
 from ..schema import Model, Period
@@ -39,6 +40,8 @@ class Suite:
     unique_keys: bool = False
     cache_results: bool = False
     _cache: dict = field(default_factory=dict)
+    _locks: dict = field(default_factory=dict)
+    _guard: object = field(default_factory=threading.Lock)
 
     def _get(self, name, build):
         """Build a result once per suite. With ``cache_results`` the (small,
@@ -47,13 +50,16 @@ class Suite:
         reconciliation, datasets and manifest then reread a few rows from a
         lineage-free leaf instead of re-planning and recomputing the whole
         chain, and a lost executor does not force a recompute."""
-        if name not in self._cache:
-            df = build()
-            if self.cache_results:
-                shared_dir(df.sparkSession)
-                df = df.checkpoint(eager=True)
-            self._cache[name] = df
-        return self._cache[name]
+        with self._guard:
+            lock = self._locks.setdefault(name, threading.RLock())
+        with lock:  # threads build different results side by side, each once
+            if name not in self._cache:
+                df = build()
+                if self.cache_results:
+                    shared_dir(df.sparkSession)
+                    df = df.checkpoint(eager=True)
+                self._cache[name] = df
+            return self._cache[name]
 
     def release(self) -> None:
         self._cache.clear()
@@ -61,7 +67,7 @@ class Suite:
     def kpi(self, name: str) -> DataFrame:
         def build():
             f = K.KPI_QUERIES[name]
-            if "unique_keys" in f.__code__.co_varnames:
+            if "unique_keys" in inspect.signature(f).parameters:
                 return f(self.model, self.period, unique_keys=self.unique_keys)
             return f(self.model, self.period)
         return self._get(name, build)
@@ -137,10 +143,14 @@ def run_concurrently(actions: dict, threads: int = 4) -> dict[str, tuple[object,
 def run_analysis(suite: Suite, out_dir: str, expected: dict | None = None,
                  threads: int = 1) -> dict[str, str]:
     """Gate first, then publish: quality checks must all be zero before any
-    result is written. Build the suite with ``cache_results=True`` so each
-    small result is computed once although the headline, manifest and
-    reconciliation reread it."""
+    result is written. The gate proves one row per customer and month, so from
+    there on monthly customer counts are row counts. Build the suite with
+    ``cache_results=True`` so each small result is computed once although the
+    headline, manifest and reconciliation reread it; independent results are
+    then computed side by side."""
     assert_quality(suite.quality())
+    suite.unique_keys = True
+    run_concurrently({n: (lambda n=n: suite.kpi(n)) for n in KPI_ORDER[1:]}, threads)
     results = suite.results()
     res_dir = os.path.join(out_dir, "results")
     done = run_concurrently(
@@ -152,7 +162,7 @@ def run_analysis(suite: Suite, out_dir: str, expected: dict | None = None,
         "headline_metrics": lambda: {"headline_metrics": write_json(
             suite.headline().coalesce(1), os.path.join(out_dir, "headline_metrics"))},
         "run_manifest": lambda: {"run_manifest": write_json(
-            run_manifest(results).coalesce(1), os.path.join(out_dir, "run_manifest"))},
+            published_manifest(results, paths).coalesce(1), os.path.join(out_dir, "run_manifest"))},
         "reconciliation": lambda: {"reconciliation": write_json(
             suite.reconciliation(expected).coalesce(1), os.path.join(out_dir, "reconciliation"))},
     }
@@ -161,7 +171,3 @@ def run_analysis(suite: Suite, out_dir: str, expected: dict | None = None,
     for out, _ in run_concurrently(derived, threads).values():
         paths.update(out)
     return paths
-
-
-def failed_reconciliation(rec: DataFrame) -> DataFrame:
-    return rec.where(~F.col("passed"))

@@ -127,22 +127,43 @@ def month_index(d: date) -> int:
 
 @dataclass(frozen=True)
 class Period:
-    """Reporting window and report year.
+    """Reporting window, report year and the months the model holds.
 
-    ``start``/``end`` are the first and last month of the panel window (first of
-    month). The report year ends at ``fy_end_month`` of ``report_year``.
+    ``start``/``end`` are the first and last month of the window that dated
+    metrics look at (first of month). The report year ends at ``fy_end_month``
+    of ``report_year``. ``history_start``/``history_end`` are the first and
+    last month of the stored model (the window, unless given): status, churn
+    and all-time metrics see all of them.
     """
 
     start: date
     end: date
     report_year: int
     fy_end_month: int = 12
+    history_start: date | None = None
+    history_end: date | None = None
 
     def __post_init__(self):
         object.__setattr__(self, "start", month_start(self.start))
         object.__setattr__(self, "end", month_start(self.end))
+        object.__setattr__(self, "history_start", month_start(self.history_start or self.start))
+        object.__setattr__(self, "history_end", month_start(self.history_end or self.end))
         if self.start > self.end:
             raise ValueError("period start after end")
+        if self.history_start > self.start or self.history_end < self.end:
+            raise ValueError("the window must lie within the history")
+
+    @classmethod
+    def of_history(cls, first: date, last: date, fy_end_month: int = 12, months: int = 36) -> Period:
+        """The window of ``months`` months that ends with the last fiscal year
+        complete by the month of ``last`` (shorter if the history is); without
+        a complete year, the fiscal year that ``last`` lies in is reported."""
+        first, last = month_start(first), month_start(last)
+        year = last.year if last.month >= fy_end_month else last.year - 1
+        end = date(year, fy_end_month, 1)
+        if end < first:
+            end, year = last, year + 1
+        return cls(max(first, add_months(end, 1 - months)), end, year, fy_end_month, first, last)
 
     @property
     def year_end(self) -> date:
@@ -171,16 +192,18 @@ class Period:
         return month_end_day(self.end)
 
     @property
-    def n_months(self) -> int:
-        return month_index(self.end) - month_index(self.start) + 1
+    def n_history_months(self) -> int:
+        return self.last_index - self.first_index + 1
 
     @property
-    def start_index(self) -> int:
-        return month_index(self.start)
+    def first_index(self) -> int:
+        """Month number of the model's first month."""
+        return month_index(self.history_start)
 
     @property
-    def end_index(self) -> int:
-        return month_index(self.end)
+    def last_index(self) -> int:
+        """Month number of the model's last month."""
+        return month_index(self.history_end)
 
     def retention_windows(self) -> list[tuple[int, date, date]]:
         """(year, start_month, end_month) for every fiscal year whose opening

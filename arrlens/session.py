@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -47,7 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
     ck = sc.getCheckpointDir()
     if ck:
         return ck
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
                            "(for example on HDFS or object storage)")
     local = tempfile.mkdtemp(prefix="arrlens-ck-")
@@ -57,18 +58,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared folder for a materialised table."""
-    base = shared_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"{name}-{os.getpid()}-{next(_counter)}")
+    """A fresh sub-folder of the shared folder for a materialised table, of
+    this application and call alone."""
+    return f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, in whatever store it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-_counter = _count()
+def path_version(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes and time of change of a file or folder: differs once it is rewritten."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(p).getLength(), fs.getFileStatus(p).getModificationTime()

@@ -8,12 +8,9 @@ churn reason = priority of the customer's last order (by date, then key).
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import broadcast_if_bounded
 from ..functions.months import month_from_index
 from ..operators.panel import (DEFAULT_TERM_MONTHS, churn_facts, contract_months,
                                customer_id_col, customer_lifecycle, customer_status,
@@ -23,7 +20,6 @@ from ..session import shared_dir
 from .tables import products_table
 
 # Fixed values for the order-derived model.
-DEFAULT_PERIOD = Period(start=date(1996, 1, 1), end=date(1998, 12, 1), report_year=1998)
 ENTERPRISE_MRR_THRESHOLD = 30000
 ORDER_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 ORDER_DOMAINS = Domains(segments=ORDER_SEGMENTS)
@@ -33,9 +29,6 @@ DEFECT_DUPLICATE_SEGMENT = "BUILDING"
 DEFECT_FORBIDDEN_FROM_SEGMENT = "HOUSEHOLD"
 DEFECT_STATUS_FLIP_SEGMENT = "AUTOMOBILE"
 DEFECT_ORPHAN_CHURN_REASON = "5-LOW"
-# Dimension tables broadcast only below this many rows (checked at build time).
-DIMENSION_BROADCAST_ROWS = 100_000
-
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -53,13 +46,20 @@ def order_events(orders: DataFrame) -> DataFrame:
     )
 
 
+def order_period(spark: SparkSession, sf_dir: str, fy_end_month: int = 12) -> Period:
+    """The period that the orders themselves give: all their months are the
+    history, and the window ends with the last complete fiscal year. One
+    min/max, which parquet statistics answer."""
+    first, last = read(spark, sf_dir, "orders").agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    if first is None:
+        raise ValueError("there are no dated orders")
+    return Period.of_history(first, last, fy_end_month)
+
+
 def customer_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = broadcast_if_bounded(
-        read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"),
-        DIMENSION_BROADCAST_ROWS)
-    region = broadcast_if_bounded(
-        read(spark, sf_dir, "region").select("r_regionkey", "r_name"),
-        DIMENSION_BROADCAST_ROWS)
+    # No hints: Catalyst and AQE broadcast by the tables' size in bytes.
+    nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
     cust = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
                                                   "c_mktsegment")
     return (cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
@@ -69,7 +69,7 @@ def customer_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def assemble_customers(status: DataFrame, dims: DataFrame) -> DataFrame:
-    """Customers that signed at least one contract by the window end."""
+    """Customers that signed at least one contract."""
     j = status.join(dims, "customer_key", "left")
     return j.select(
         customer_id_col().alias("customer_id"),
@@ -85,12 +85,11 @@ def assemble_customers(status: DataFrame, dims: DataFrame) -> DataFrame:
     )
 
 
-def model_from_orders(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD,
+def model_from_orders(spark: SparkSession, sf_dir: str, period: Period,
                       tier_threshold: int = ENTERPRISE_MRR_THRESHOLD,
                       term_months: int = DEFAULT_TERM_MONTHS,
                       checkpoint_segments: bool = False) -> Model:
-    """Lazy Model over the driver tables; nothing is computed here except the
-    size probes of the two dimension tables.
+    """Lazy Model over the driver tables; nothing is computed here.
 
     With ``checkpoint_segments`` the classified contract months (input of all
     three derived tables) are computed once and written to the checkpoint
@@ -102,25 +101,29 @@ def model_from_orders(spark: SparkSession, sf_dir: str, period: Period = DEFAULT
     if checkpoint_segments:
         shared_dir(spark)
         segments = segments.checkpoint(eager=True)
-    lifecycle = customer_lifecycle(segments, period, term_months)
+    lifecycle = customer_lifecycle(segments, period, tier_threshold, term_months)
     revenue = expand_panel(segments, period)
-    churn = churn_facts(lifecycle)
+    churn = churn_facts(lifecycle, events)
     customers = assemble_customers(customer_status(lifecycle),
                                    customer_dimension(spark, sf_dir))
     return Model(customers=customers, products=products_table(spark), revenue=revenue,
                  churn=churn, domains=ORDER_DOMAINS)
 
 
-def lifecycle_specs_from_orders(spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD,
+def lifecycle_specs_from_orders(spark: SparkSession, sf_dir: str, period: Period,
                                 tier_threshold: int = ENTERPRISE_MRR_THRESHOLD,
-                                term_months: int = DEFAULT_TERM_MONTHS):
+                                term_months: int = DEFAULT_TERM_MONTHS,
+                                checkpoint_segments: bool = False):
     """Lifecycle specs (contract/churn months, pauses, plan changes) read off
     the order-derived segments, for ``operators.lifecycle``. A gap between
     coverage islands is a pause ending at the reactivation month; a lapse
     at the end is an open pause (or, if never reactivated, the churn)."""
     events = order_events(read(spark, sf_dir, "orders"))
     seg = lifecycle_segments(contract_months(events, period), period, tier_threshold, term_months)
-    life = customer_lifecycle(seg, period, term_months)
+    if checkpoint_segments:  # all three specs read them
+        shared_dir(spark)
+        seg = seg.checkpoint(eager=True)
+    life = customer_lifecycle(seg, period, tier_threshold, term_months)
     cid = customer_id_col().alias("customer_id")
     lifecycles = life.select(
         cid, month_from_index(F.col("first_ym")).alias("contract_month"),
@@ -129,7 +132,7 @@ def lifecycle_specs_from_orders(spark: SparkSession, sf_dir: str, period: Period
         cid, month_from_index(F.col("prev_ym") + term_months).alias("pause_start"),
         month_from_index(F.col("ym")).alias("reactivation_month"))
     lapses = seg.where(F.col("next_ym").isNull()
-                       & (F.col("ym") + (term_months - 1) < F.lit(period.end_index))).select(
+                       & (F.col("ym") + (term_months - 1) < F.lit(period.last_index))).select(
         cid, month_from_index(F.col("ym") + term_months).alias("pause_start"),
         F.lit(None).cast("date").alias("reactivation_month"))
     changes = seg.select(cid, month_from_index(F.col("ym")).alias("change_month"),

@@ -20,7 +20,7 @@ from arrlens.operators.quality import assert_quality  # noqa: E402
 from arrlens.plans.registry import month_coverage  # noqa: E402
 from arrlens.plans.suite import KPI_ORDER, Suite, run_concurrently  # noqa: E402
 from arrlens.session import local_session, scratch_path  # noqa: E402
-from arrlens.sources.orders import DEFAULT_PERIOD, ORDER_DOMAINS, model_from_orders  # noqa: E402
+from arrlens.sources.orders import ORDER_DOMAINS, model_from_orders, order_period  # noqa: E402
 from arrlens.sources.tables import load_model, save_model  # noqa: E402
 
 
@@ -38,7 +38,7 @@ def main() -> None:
     spark = local_session(cores=cpus, shuffle_partitions=max(cpus * 2, 8),
                           driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                           app="arrlens-bench")
-    p = DEFAULT_PERIOD
+    p = order_period(spark, sf_dir)
     times: dict[str, float] = {}     # per job (jobs of one phase overlap)
     phases: dict[str, float] = {}    # wall clock; their sum is the headline value
 

@@ -22,10 +22,9 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "4g")
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="arrlens-test-ck-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.sparkContext.getCheckpointDir():
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="arrlens-test-ck-"))
     yield s
 
 

@@ -14,7 +14,7 @@ from conftest import SF_MID, SF_SMALL
 from arrlens.operators.panel import (churn_facts, contract_months, customer_lifecycle,
                                      expand_panel, lifecycle_segments)
 from arrlens.schema import Period
-from arrlens.sources.orders import model_from_orders
+from arrlens.sources.orders import model_from_orders, order_events, order_period, read
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("customer_key", T.LongType()),
@@ -32,7 +32,8 @@ EVENT_SCHEMA = T.StructType([
                      "Reactivation": 1064}, 198, 1491),
 ])
 def test_anchor_counts(spark, sf, rows, types, churn, customers):
-    m = model_from_orders(spark, sf)
+    # A window given by hand is also the history, so later orders are left out.
+    m = model_from_orders(spark, sf, Period(datetime.date(1996, 1, 1), datetime.date(1998, 12, 1), 1998))
     got = {r[0]: r[1] for r in m.revenue.groupBy("revenue_type").count().collect()}
     assert sum(got.values()) == rows
     assert got == types
@@ -41,19 +42,42 @@ def test_anchor_counts(spark, sf, rows, types, churn, customers):
     assert m.revenue.select("revenue_month").distinct().count() == 36
 
 
+@pytest.mark.parametrize("sf", [SF_SMALL, SF_MID])
+def test_no_order_is_left_out(spark, sf):
+    """Every customer that ordered is in the model, every order month has
+    revenue, and all-time metrics differ from those of the window."""
+    period = order_period(spark, sf)
+    m = model_from_orders(spark, sf, period)
+    orders = read(spark, sf, "orders")
+    assert m.customers.count() == orders.select("o_custkey").distinct().count()
+    signed = orders.select(F.concat(F.lit("C"), "o_custkey").alias("customer_id"),
+                           F.trunc("o_orderdate", "MM").alias("revenue_month")).distinct()
+    assert signed.join(m.revenue, ["customer_id", "revenue_month"], "left_anti").count() == 0
+    window = m.revenue.where(F.col("revenue_month").between(F.lit(period.start), F.lit(period.end)))
+    both = [x.agg(F.sum("recognized_revenue_inr"), F.count_if(F.col("revenue_type") == "Upgrade")).first()
+            for x in (m.revenue, window)]
+    assert both[0][0] > both[1][0] and both[0][1] > both[1][1]
+
+
+def test_contract_months_aggregate_by_hash(spark):
+    events = order_events(read(spark, SF_SMALL, "orders"))
+    plan = contract_months(events, order_period(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort " not in plan
+
+
 def brute_force(events, period, thr, term=12):
     """Direct expansion: every contract covers `term` months; closing = max
     MRR signed so far; type from the previous active month."""
     by_c = {}
     for ck, ts, _, mrr, _ in events:
         ym = ts.year * 12 + ts.month - 1
-        if ym > period.end_index:
+        if ym > period.last_index:
             continue
         by_c.setdefault(ck, {}).setdefault(ym, 0)
         by_c[ck][ym] = max(by_c[ck][ym], mrr)
     rows = {}
     for ck, months in by_c.items():
-        active = sorted({m + k for m in months for k in range(term) if m + k <= period.end_index})
+        active = sorted({m + k for m in months for k in range(term) if m + k <= period.last_index})
         closing, prev_m, prev_c = None, None, None
         for m in active:
             if m in months:
@@ -70,7 +94,7 @@ def brute_force(events, period, thr, term=12):
             else:
                 t = "Recurring"
             opening = 0 if t in ("New", "Reactivation") else prev_c
-            if period.start_index <= m <= period.end_index:
+            if period.first_index <= m <= period.last_index:
                 rows[(ck, m)] = (t, opening, closing - opening, closing)
             prev_m, prev_c = m, closing
     return rows
@@ -112,7 +136,7 @@ def test_churn_rules(spark):
     ]
     df = spark.createDataFrame(ev, EVENT_SCHEMA)
     seg = lifecycle_segments(contract_months(df, period), period, 30000)
-    ch = {r.customer_id: r for r in churn_facts(customer_lifecycle(seg, period)).collect()}
+    ch = {r.customer_id: r for r in churn_facts(customer_lifecycle(seg, period, 30000), df).collect()}
     assert set(ch) == {"C1", "C4"}
     assert ch["C1"].churn_date == datetime.date(2022, 3, 15)
     assert ch["C1"].tenure_months == 12 and ch["C1"].mrr_lost_inr == 10000
@@ -131,7 +155,7 @@ def test_events_after_window_ignored(spark):
 
 
 def test_plan_pushes_filter_and_prunes(spark):
-    m = model_from_orders(spark, SF_SMALL)
+    m = model_from_orders(spark, SF_SMALL, order_period(spark, SF_SMALL))
     plan = m.revenue._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate" in plan
     # Only the columns the panel needs are read (no status, no priority here).
