@@ -4,14 +4,16 @@ Documents are sets of five-word shingles, and two link when their Jaccard
 similarity is ``PERCENT`` per cent or more; the result is the connected
 components. Equal sets are one node from the start.
 
-1. Index. Shingles stand in one order for all, that of their hashes. If x and y
-   link, they share n - ceil(0.75 n) + l of their first shingles l times at
-   least (the l-prefix). Postings (shingle, node) of these prefixes are dealt
-   by shingle; shingles that only one node has go, and nodes that keep fewer
-   than l postings can link with nothing.
-2. Cells. All postings of a shingle stand in the cell of its least node, so a
-   linked pair meets in one cell at least, and a family of near copies makes
-   few cells. A cell of many shingles is dealt out in chunks by node.
+1. Shared shingles. A set of n shingles links with nothing unless T = ceil(0.75
+   n) of them or more stand in other sets too. Blocks of texts ask which of
+   their shingles other blocks have (``key_buckets``); only sets with T shared
+   ones go on.
+2. Cells. Shingles stand in one order for all, that of their hashes, so linked
+   sets share one of the first n - T + 1 of each at least. Postings (shingle,
+   node) of these prefixes are dealt by shingle. All postings of a shingle
+   stand in the cell of its least node, so a linked pair meets in one cell at
+   least, and a family of near copies makes few cells. A cell of many shingles
+   is dealt out in chunks by node.
 3. Search. In a cell, every node is first compared with the cell's least node.
    What doesn't link with it searches the cell's inverted lists for nodes that
    share T = ceil(0.75 n) shingles or more: the short lists are heap-merged,
@@ -20,7 +22,8 @@ components. Equal sets are one node from the start.
    component, so no pairs among them are made. In a second step such left-over
    nodes search the other chunks of their cell.
 
-Shingles are 64-bit hashes, sets 64-bit hashes of those.
+Shingles are 64-bit hashes, sets 64-bit hashes of those; step 1 compares 32 bits
+within a bucket, where a false match only lets a set go on.
 
 Defined results: a text without words, or null, has an empty set and links
 with nothing; null and repeated ids are rows of their own (a component of null
@@ -41,13 +44,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import discard, shingles, slices, stored, table, text_or_empty, texts_of
+from .common import discard, shingles, slices, stored, table, text_or_empty
 from .components import components
+from .key_buckets import Keys, answers, asked, block_rows, blocks, texts_of_block
 from .line_dedup import LOWER, UPPER
 
 PERCENT = 75
-#: l is 1 and a share of the set: longer prefixes rule out more nodes.
-EXTRA = 20
 #: Shingles of a chunk of a cell.
 CHUNK = 1_000_000
 #: DivideSkip's weight of a probe, and lists so long together that numpy merges them.
@@ -60,15 +62,12 @@ def required(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
-def extra(n):
-    return 1 + n // EXTRA
-
-
 def linked(shared: int, n: int, m: int) -> bool:
     return 100 * shared >= PERCENT * (n + m - shared)
 
 
 def _sets(texts: pa.Array) -> list[np.ndarray]:
+    """Sorted distinct shingles of each text."""
     h, offsets = shingles(texts)
     return [np.unique(h[a:b]) for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
 
@@ -77,58 +76,84 @@ def _node(own: np.ndarray) -> int:
     return np.uint64(xxhash.xxh3_64_intdigest(own.tobytes())).astype(np.int64).item()
 
 
-def _prefix(own: np.ndarray) -> np.ndarray:
-    n = len(own)
-    return own[:n - required(n) + extra(n)]
+def _new_nodes(row: dict) -> tuple[list[np.ndarray], list[int | None], np.ndarray]:
+    """Sets and nodes of a block's texts, and which texts are the block's first
+    of their node."""
+    sets = _sets(texts_of_block(row))
+    nodes = [_node(s) if len(s) else None for s in sets]
+    seen: set[int | None] = {None}
+    first = np.zeros(len(sets), bool)
+    for i, node in enumerate(nodes):
+        first[i] = node not in seen
+        seen.add(node)
+    return sets, nodes, first
+
+
+def _keys(sets: list[np.ndarray], first: np.ndarray) -> Keys:
+    own = [s for s, f in zip(sets, first) if f]
+    token = np.concatenate(own) if own else np.empty(0, np.uint64)
+    return Keys(np.arange(len(token)), token)
 
 
 SET = "doc_id long, text_key long, node long, n_shingles long"
 
 
-def _documents(rows: DataFrame, buckets: int) -> DataFrame:
-    """Stored: a row (SET) for each document, and rows with the prefix
-    postings of its nodes by bucket, from one reading of the texts."""
+def _documents(docs: DataFrame, buckets: int) -> DataFrame:
+    """Stored: a row (SET) for each document, and ``tokens``, the set, where
+    enough of it stands in other sets (for one document of a block and node)."""
+    texts = blocks(docs)
+
+    def shingle_keys(row, _):
+        sets, _, first = _new_nodes(row)
+        return _keys(sets, first)
+
+    shared = answers(asked(texts, shingle_keys, buckets, 32), buckets, 32, False, "shared")
+
+    def run(batches):
+        for row, replies in block_rows(batches):
+            sets, nodes, first = _new_nodes(row)
+            keys = _keys(sets, first)
+            again = np.empty(len(keys.new), bool)
+            runs = np.diff(np.append(np.flatnonzero(keys.new), len(keys.new))) > 1
+            again[keys.position] = keys.spread(runs | keys.marked(replies["shared"], buckets))
+            count = np.concatenate(([0], np.cumsum(again)))
+            tokens, at = [], 0
+            for own, f in zip(sets, first):
+                held = f and count[at + len(own)] - count[at] >= required(len(own))
+                tokens.append(own.tobytes() if held else None)
+                at += len(own) * bool(f)
+            yield pa.RecordBatch.from_arrays(
+                [row["doc_ids"], row["text_keys"], pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array(tokens, pa.binary())], names=["doc_id", "text_key", "node", "n_shingles", "tokens"])
+
+    out = stored(texts.join(shared, "block", "left").mapInArrow(run, f"{SET}, tokens binary"), "sets")
+    discard(texts)
+    return out
+
+
+def _postings(sets: DataFrame, buckets: int) -> DataFrame:
+    """Prefixes of the sets (node, tokens), by bucket of their shingles."""
     def run(batches):
-        seen: set[int] = set()
-        for batch in slices(batches):
-            sets = _sets(texts_of(batch))
-            nodes = [_node(s) if len(s) else None for s in sets]
-            count = len(sets)
-            yield _both(batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.int64()),
-                        pa.array([len(s) for s in sets], pa.int64()), [None] * count, [None] * count, [None] * count)
-            new = {}
-            for s, node in zip(sets, nodes):
-                if node is not None and node not in seen:
-                    new[node] = _prefix(s)
-            if len(seen) > 200_000:  # only saves copies of one task; the index makes them distinct
-                seen.clear()
-            seen.update(new)
-            if not new:
-                continue
-            token = np.concatenate(list(new.values()))
-            node = np.repeat(np.fromiter(new, np.int64, len(new)), [len(p) for p in new.values()])
+        for batch in slices(batches, "tokens"):
+            own = [np.frombuffer(t.as_buffer(), np.uint64) for t in batch.column("tokens")]
+            own = [s[:len(s) - required(len(s)) + 1] for s in own]
+            token = np.concatenate(own)
+            node = np.repeat(batch.column("node").to_numpy(), [len(s) for s in own])
             bucket = (token % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            cut = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
             parts = [(b, token[order[i:j]].tobytes(), node[order[i:j]].tobytes())
-                     for b, (i, j) in enumerate(zip(cut.tolist(), cut[1:].tolist())) if j > i]
-            k = len(parts)
-            none = pa.nulls(k, pa.int64())
-            yield _both(none, none, none, none, *zip(*parts))
-
-    return stored(rows.mapInArrow(run, f"{SET}, bucket int, tokens binary, nodes binary"), "sets")
+                     for b, (i, j) in enumerate(zip(cut, cut[1:])) if j > i]
+            if parts:
+                b, t, n = zip(*parts)
+                yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(t, pa.binary()), pa.array(n, pa.binary())],
+                                                 names=["bucket", "tokens", "nodes"])
 
-
-def _both(doc, key, node, n, bucket, tokens, nodes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [doc, key, node, n, pa.array(list(bucket), pa.int32()), pa.array(list(tokens), pa.binary()),
-         pa.array(list(nodes), pa.binary())],
-        names=["doc_id", "text_key", "node", "n_shingles", "bucket", "tokens", "nodes"])
+    return sets.mapInArrow(run, "bucket int, tokens binary, nodes binary")
 
 
 def _cells(postings: DataFrame, buckets: int) -> DataFrame:
-    """(pivot, node, n): the node has n shingles, in this bucket, of which
-    pivot is the least node of several."""
+    """(pivot, node): pivot is the least of the nodes of a shingle that node has."""
     def run(batches):
         tokens, nodes = [], []
         for batch in batches:
@@ -149,15 +174,15 @@ def _cells(postings: DataFrame, buckets: int) -> DataFrame:
         pivot, node = np.repeat(node[first], size)[keep], node[keep]
         order = np.lexsort((node, pivot))
         pivot, node = pivot[order], node[order]
-        new = np.flatnonzero(np.concatenate(([True], (pivot[1:] != pivot[:-1]) | (node[1:] != node[:-1])))) if len(node) else np.zeros(0, int)
-        n = np.diff(np.append(new, len(node)))
+        if not len(node):
+            return
+        new = np.flatnonzero(np.concatenate(([True], (pivot[1:] != pivot[:-1]) | (node[1:] != node[:-1]))))
         for lo in range(0, len(new), 100_000):
             i = new[lo:lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(pivot[i]), pa.array(node[i]), pa.array(n[lo:lo + 100_000])],
-                                             names=["pivot", "node", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(pivot[i]), pa.array(node[i])], names=["pivot", "node"])
 
     dealt = postings.repartitionById(buckets, F.col("bucket"))
-    return dealt.mapInArrow(run, "pivot long, node long, n long").groupBy("pivot", "node").agg(F.sum("n").alias("n"))
+    return dealt.mapInArrow(run, "pivot long, node long").distinct()
 
 
 def t_occurrence(lists: list[np.ndarray], t: int) -> tuple[np.ndarray, np.ndarray]:
@@ -295,42 +320,19 @@ def _link_rows(rows: list[tuple]) -> pa.RecordBatch:
                                       names=["a", "b", "pivot", "chunk", "chunks"])
 
 
-def links(docs: DataFrame, meta: DataFrame, postings: DataFrame, buckets: int, chunk: int = CHUNK) -> DataFrame:
-    """Links (a, b) between nodes; enough of them to give the components."""
-    cells = stored(_cells(postings, buckets), "cells")
-    # One document for each node, if it keeps enough of its prefix.
-    sizes = meta.where("node is not null").groupBy("node").agg(
-        F.first("n_shingles").alias("size"), F.min(F.struct("doc_id", "text_key")).alias("row"))
-    least = F.expr(f"1 + ceil({PERCENT} * size / 100) div {EXTRA}")
-    alive = (cells.groupBy("node").agg(F.sum("n").alias("postings")).join(sizes, "node")
-             .where(F.col("postings") >= least).select("node", "size", "row"))
-    alive = stored(alive, "alive")
-    many = cells.join(alive.select("node", "size"), "node")
-    wide = many.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("sum")).where("members > 1")
-    wide = wide.select("pivot", F.ceil(F.col("sum") / chunk).cast("int").alias("chunks"))
+def links(sets: DataFrame, buckets: int, chunk: int = CHUNK) -> DataFrame:
+    """Links (a, b) between the nodes of ``sets`` (node, n_shingles, tokens);
+    enough of them to give the components."""
+    cells = stored(_cells(_postings(sets, buckets), buckets), "cells")
+    many = cells.join(sets.select("node", "n_shingles"), "node")
+    wide = many.groupBy("pivot").agg(F.ceil(F.sum("n_shingles") / chunk).cast("int").alias("chunks"))
     own_chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     placed = many.join(wide, "pivot").select("pivot", "node", "chunks", own_chunk.alias("chunk"))
     # The cell's least node stands in all its chunks.
     placed = placed.withColumn("chunk", F.explode(F.when(
         F.col("pivot") == F.col("node"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))))
-    placed = stored(placed, "placed")
-
-    used = placed.select("node").distinct().join(alive, "node").select(
-        "node", F.col("row.doc_id").alias("_doc"), F.col("row.text_key").alias("_key"))
-    text = docs.select("doc_id", text_or_empty(docs).alias("text"))
-    text = text.withColumn("text_key", F.xxhash64("text"))
-    same = text["doc_id"].eqNullSafe(used["_doc"]) & (text["text_key"] == used["_key"])
-
-    def tokens(batches):
-        for batch in slices(batches):
-            sets = _sets(texts_of(batch))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                             names=["node", "tokens"])
-
-    sets = text.join(used, same).select("node", "text").mapInArrow(tokens, "node long, tokens binary")
-    sets = stored(sets.dropDuplicates(["node"]), "tokens")
     columns = [f.split()[0] for f in CELL.split(", ")]
-    members = placed.join(sets, "node").withColumn("asks", F.lit(False)).select(*columns)
+    members = stored(placed.join(sets, "node").withColumn("asks", F.lit(False)).select(*columns), "members")
     found = stored(_link_cells(members), "found")
     # Chunks of one cell: what is left over asks the others.
     asking = found.where("b is null").select(
@@ -341,7 +343,7 @@ def links(docs: DataFrame, meta: DataFrame, postings: DataFrame, buckets: int, c
     asked = members.where("chunks > 1").join(asking.select("pivot", "chunk").distinct(), ["pivot", "chunk"], "left_semi")
     split = asked.select(*columns).union(asking)
     more = stored(_link_cells(split).where("b is not null"), "more")
-    discard(cells, alive, placed, sets, asking)
+    discard(cells, members, asking)
     return found.where("b is not null").select("a", "b").union(more.select("a", "b"))
 
 
@@ -354,10 +356,11 @@ def jaccard_components(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
     rows = docs.withColumn("text_key", F.xxhash64("text"))
     both = _documents(rows, buckets)
-    meta = stored(both.where("bucket is null").select(*[f.split()[0] for f in SET.split(", ")]), "meta")
-    postings = both.where("bucket is not null").select("bucket", "tokens", "nodes")
-    found = components(links(docs, meta, postings, buckets, chunk))
+    meta = stored(both.drop("tokens"), "meta")
+    sets = stored(both.where("tokens is not null").select("node", "n_shingles", "tokens").dropDuplicates(["node"]), "nodes")
     discard(both)
+    found = components(links(sets, buckets, chunk))
+    discard(sets)
     least = meta.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     labelled = least.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
