@@ -7,9 +7,9 @@ Scale notes shared by all of them:
   store).
 * Aggregates run two-phase; low-cardinality keys (month, year, channel,
   segment) collapse map-side, so a hot key cannot overload one reducer.
-* Customer-grain questions pre-aggregate revenue per customer *before* joining
-  the customer dimension, so the join sees one row per customer, never one
-  per customer-month.
+* Month-grain results read ``month_facts`` and customer-grain ones
+  ``account_facts``, which a suite builds once each from one scan; the customer
+  dimension joins one row per customer, never one per customer-month.
 * Global windows (``lag`` over months/years, mix share ``sum() over ()``) run
   only on already-aggregated rows: at most one row per month, year or
   dimension value.
@@ -21,6 +21,8 @@ Scale notes shared by all of them:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,10 +50,6 @@ def at_end(p: Period) -> Column:
     return F.col("revenue_month") == F.lit(p.year_end)
 
 
-def window_revenue(model: Model, p: Period) -> DataFrame:
-    return model.revenue.where(in_window(p))
-
-
 def churn_in_window(model: Model, p: Period) -> DataFrame:
     return model.churn.where(_between(F.col("churn_date"), p.start, p.end_day))
 
@@ -137,24 +135,40 @@ def retention_totals(model: Model, start_month, end_month) -> DataFrame:
 # --------------------------------------------------------------------------
 # Q03 monthly revenue and growth
 # --------------------------------------------------------------------------
-def monthly_rollup(model: Model, p: Period, unique_keys: bool = False) -> DataFrame:
-    return window_revenue(model, p).groupBy("revenue_month").agg(
-        F.sum(F.col("recognized_revenue_inr")).cast("long").alias("recognized_revenue_inr"),
-        F.sum(F.col("closing_mrr_inr")).cast("long").alias("ending_mrr_inr"),
-        F.sum(F.col("arr_run_rate_inr")).cast("long").alias("ending_arr_inr"),
-        distinct_customers(unique_keys).cast("long").alias("active_customers"),
-        count_when(F.col("revenue_type") == "New").alias("new_customers"),
-        count_when(F.col("revenue_type") == "Reactivation").alias("reactivated_customers"),
-        sum_when(F.col("revenue_type") == "Expansion", F.col("movement_mrr_inr")).alias("expansion_mrr_inr"),
-        sum_when(F.col("revenue_type") == "Upgrade", F.col("movement_mrr_inr")).alias("upgrade_mrr_inr"),
-        sum_when(F.col("revenue_type") == "Reactivation", F.col("movement_mrr_inr")).alias("reactivated_mrr_inr"),
-    )
+def month_facts(model: Model, unique_keys: bool = False) -> DataFrame:
+    """One row for each month of the model: sums, active customers, and rows
+    (``n_<type>``) and movement (``moved_<type>``) of each revenue type. All
+    month-grain results (Q03, Q07, Q10, Q12, month coverage) read this, so a
+    suite reads the revenue table once for them."""
+    by_type = [x for t in model.domains.revenue_types for x in (
+        count_when(F.col("revenue_type") == t).alias(f"n_{t}"),
+        sum_when(F.col("revenue_type") == t, F.col("movement_mrr_inr")).alias(f"moved_{t}"))]
+    return model.revenue.groupBy("revenue_month").agg(
+        F.count(F.lit(1)).alias("revenue_rows"),
+        F.sum("recognized_revenue_inr").cast("long").alias("recognized_revenue_inr"),
+        F.sum("closing_mrr_inr").cast("long").alias("ending_mrr_inr"),
+        F.sum("arr_run_rate_inr").cast("long").alias("ending_arr_inr"),
+        distinct_customers(unique_keys).cast("long").alias("active_customers"), *by_type)
+
 
+def _months(model: Model, p: Period, unique_keys: bool, months: DataFrame | None) -> DataFrame:
+    """Month facts of the window."""
+    return (month_facts(model, unique_keys) if months is None else months).where(in_window(p))
 
-def monthly_revenue_growth(model: Model, p: Period, unique_keys: bool = False) -> DataFrame:
-    """Per month: revenue, MRR, F.col("arr_run_rate_inr"), active and new customers, movement MRR and
+
+def monthly_rollup(model: Model, p: Period, unique_keys: bool = False, months: DataFrame | None = None) -> DataFrame:
+    return _months(model, p, unique_keys, months).select(
+        "revenue_month", "recognized_revenue_inr", "ending_mrr_inr", "ending_arr_inr", "active_customers",
+        F.col("n_New").alias("new_customers"), F.col("n_Reactivation").alias("reactivated_customers"),
+        F.col("moved_Expansion").alias("expansion_mrr_inr"), F.col("moved_Upgrade").alias("upgrade_mrr_inr"),
+        F.col("moved_Reactivation").alias("reactivated_mrr_inr"))
+
+
+def monthly_revenue_growth(model: Model, p: Period, unique_keys: bool = False,
+                           months: DataFrame | None = None) -> DataFrame:
+    """Per month: revenue, MRR, ARR, active and new customers, movement MRR and
     YoY MRR growth (row lag of 12, T7)."""
-    mon = monthly_rollup(model, p, unique_keys)
+    mon = monthly_rollup(model, p, unique_keys, months)
     w = Window.orderBy("revenue_month")
     prev = F.lag("ending_mrr_inr", 12).over(w)
     return mon.select(
@@ -168,32 +182,44 @@ def monthly_revenue_growth(model: Model, p: Period, unique_keys: bool = False) -
 # --------------------------------------------------------------------------
 # Customer-grain rollup shared by Q04, Q09, Q11
 # --------------------------------------------------------------------------
-def customer_rollup(model: Model, p: Period) -> DataFrame:
-    """One row per customer with revenue. All-time columns (recognized revenue,
-    upgrade events) are deliberately unfiltered by date (T11, T12). Catalyst
-    prunes the aggregates a caller does not use."""
-    yr = in_year(p)
-    return model.revenue.groupBy("customer_id").agg(
-        F.sum(F.col("recognized_revenue_inr")).cast("long").alias("recognized_revenue_inr"),
-        sum_when(at_end(p), F.col("arr_run_rate_inr")).alias("ending_arr_inr"),
-        sum_when(yr & (F.col("revenue_type") == "New"), F.col("movement_mrr_inr") * 12).alias("new_arr_inr"),
-        sum_when(yr & (F.col("revenue_type") == "Expansion"), F.col("movement_mrr_inr") * 12).alias("expansion_arr_inr"),
-        sum_when(yr & (F.col("revenue_type") == "Upgrade"), F.col("movement_mrr_inr") * 12).alias("upgrade_arr_inr"),
-        sum_when(yr & (F.col("revenue_type") == "Reactivation"), F.col("movement_mrr_inr") * 12).alias("reactivated_arr_inr"),
-        sum_when(yr & F.col("revenue_type").isin("Expansion", "Upgrade"), F.col("movement_mrr_inr") * 12).alias("expansion_upgrade_arr_inr"),
-        count_when(F.col("revenue_type") == "Upgrade").alias("upgrade_events"),
-    )
+def account_facts(model: Model, p: Period) -> DataFrame:
+    """One row for each (customer, product) with revenue: what the customer- and
+    plan-grain results (Q04, Q05, Q09, Q11) read, so a suite reads the revenue
+    table once for them. ``recognized_revenue_inr`` and ``upgrade_events`` are
+    of all time (T11, T12), ``window_*`` of the window."""
+    yr, win, end = in_year(p), in_window(p), at_end(p)
+
+    def moved(kind: str) -> Column:
+        return sum_when(yr & (F.col("revenue_type") == kind), F.col("movement_mrr_inr") * 12)
+    return model.revenue.groupBy("customer_id", "product_id").agg(
+        F.sum("recognized_revenue_inr").cast("long").alias("recognized_revenue_inr"),
+        count_when(win).alias("window_rows"),
+        F.sum(F.when(win, F.col("recognized_revenue_inr"))).cast("long").alias("window_revenue_inr"),
+        F.coalesce(F.bool_or(end), F.lit(False)).alias("active_at_end"),
+        sum_when(end, F.col("arr_run_rate_inr")).alias("ending_arr_inr"),
+        moved("New").alias("new_arr_inr"), moved("Expansion").alias("expansion_arr_inr"),
+        moved("Upgrade").alias("upgrade_arr_inr"), moved("Reactivation").alias("reactivated_arr_inr"),
+        count_when(F.col("revenue_type") == "Upgrade").alias("upgrade_events"))
+
+
+def customer_rollup(model: Model, p: Period, accounts: DataFrame | None = None) -> DataFrame:
+    """One row per customer with revenue."""
+    facts = account_facts(model, p) if accounts is None else accounts
+    sums = ["recognized_revenue_inr", "ending_arr_inr", "new_arr_inr", "expansion_arr_inr", "upgrade_arr_inr",
+            "reactivated_arr_inr", "upgrade_events"]
+    out = facts.groupBy("customer_id").agg(*[F.sum(n).cast("long").alias(n) for n in sums])
+    return out.withColumn("expansion_upgrade_arr_inr", F.col("expansion_arr_inr") + F.col("upgrade_arr_inr"))
 
 
 _ZERO_DEFAULT = ["ending_arr_inr", "new_arr_inr", "expansion_arr_inr", "upgrade_arr_inr",
                  "reactivated_arr_inr", "expansion_upgrade_arr_inr", "upgrade_events"]
 
 
-def customers_with_rollup(model: Model, p: Period, dims: list[str]) -> DataFrame:
+def customers_with_rollup(model: Model, p: Period, dims: list[str], accounts: DataFrame | None = None) -> DataFrame:
     """customers LEFT JOIN per-customer rollup. Conditional sums of customers
     without revenue become 0; recognized revenue stays null (T9)."""
     cust = model.customers.select("customer_id", *dims)
-    j = cust.join(customer_rollup(model, p), "customer_id", "left")
+    j = cust.join(customer_rollup(model, p, accounts), "customer_id", "left")
     return j.select("customer_id", *dims, "recognized_revenue_inr",
                     *[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in _ZERO_DEFAULT])
 
@@ -205,9 +231,9 @@ def _churned() -> Column:
 # --------------------------------------------------------------------------
 # Q04 acquisition channel performance
 # --------------------------------------------------------------------------
-def channel_performance(model: Model, p: Period) -> DataFrame:
+def channel_performance(model: Model, p: Period, accounts: DataFrame | None = None) -> DataFrame:
     j = customers_with_rollup(model, p, ["acquisition_channel", "first_contract_date",
-                                         "lifecycle_status"])
+                                         "lifecycle_status"], accounts)
     ending = F.col("ending_arr_inr")
     new_in_year = _between(F.col("first_contract_date"), p.year_start, p.year_end_day)
     g = j.groupBy("acquisition_channel").agg(
@@ -232,18 +258,9 @@ def channel_performance(model: Model, p: Period) -> DataFrame:
 # --------------------------------------------------------------------------
 # Q05 plan tier x segment performance
 # --------------------------------------------------------------------------
-def plan_segment_performance(model: Model, p: Period) -> DataFrame:
+def plan_segment_performance(model: Model, p: Period, accounts: DataFrame | None = None) -> DataFrame:
     """Tier of the plan *on each revenue row* (moves on upgrade, T13)."""
-    yr = in_year(p)
-    end = at_end(p)
-    pre = window_revenue(model, p).groupBy("customer_id", "product_id").agg(
-        F.max(F.when(end, F.lit(True))).alias("active_at_end"),
-        F.sum(F.col("recognized_revenue_inr")).cast("long").alias("recognized"),
-        sum_when(end, F.col("arr_run_rate_inr")).alias("ending_arr"),
-        sum_when(yr & (F.col("revenue_type") == "New"), F.col("movement_mrr_inr") * 12).alias("new_arr"),
-        sum_when(yr & (F.col("revenue_type") == "Expansion"), F.col("movement_mrr_inr") * 12).alias("expansion_arr"),
-        sum_when(yr & (F.col("revenue_type") == "Upgrade"), F.col("movement_mrr_inr") * 12).alias("upgrade_arr"),
-    )
+    pre = (account_facts(model, p) if accounts is None else accounts).where(F.col("window_rows") > 0)
     # No hint on products: Catalyst broadcasts it only if its size estimate is
     # under spark.sql.autoBroadcastJoinThreshold (AQE re-checks at runtime).
     prods = model.products.select("product_id", "plan_tier")
@@ -252,11 +269,11 @@ def plan_segment_performance(model: Model, p: Period) -> DataFrame:
     g = j.groupBy("plan_tier", "company_segment").agg(
         F.count_distinct(F.when(F.col("active_at_end"), F.col("customer_id")))
         .cast("long").alias("active_customers_at_end"),
-        F.sum("recognized").cast("long").alias("recognized_revenue_inr"),
-        F.sum("ending_arr").cast("long").alias("ending_arr_inr"),
-        F.sum("new_arr").cast("long").alias("new_arr_inr"),
-        F.sum("expansion_arr").cast("long").alias("expansion_arr_inr"),
-        F.sum("upgrade_arr").cast("long").alias("upgrade_arr_inr"),
+        F.sum("window_revenue_inr").cast("long").alias("recognized_revenue_inr"),
+        F.sum("ending_arr_inr").cast("long").alias("ending_arr_inr"),
+        F.sum("new_arr_inr").cast("long").alias("new_arr_inr"),
+        F.sum("expansion_arr_inr").cast("long").alias("expansion_arr_inr"),
+        F.sum("upgrade_arr_inr").cast("long").alias("upgrade_arr_inr"),
     )
     total = F.sum("ending_arr_inr").over(_order_global())
     return g.select("*", pct("ending_arr_inr", total).alias("ending_arr_mix_pct")) \
@@ -307,12 +324,14 @@ def annual_retention(model: Model, p: Period, windows=None) -> DataFrame:
 # --------------------------------------------------------------------------
 # Q07 growth event bridge
 # --------------------------------------------------------------------------
-def growth_event_bridge(model: Model, p: Period) -> DataFrame:
-    rv = window_revenue(model, p).where(F.col("revenue_type").isin(*MOVEMENT_TYPES))
-    g = rv.groupBy(fiscal_year(F.col("revenue_month"), p.fy_end_month).alias("year"), "revenue_type").agg(
-        F.count(F.lit(1)).alias("event_count"),
-        F.sum(F.col("movement_mrr_inr")).cast("long").alias("added_mrr_inr"),
-        (F.sum(F.col("movement_mrr_inr")) * 12).cast("long").alias("added_arr_inr"),
+def growth_event_bridge(model: Model, p: Period, months: DataFrame | None = None) -> DataFrame:
+    kinds = F.array(*[F.struct(F.lit(t).alias("revenue_type"), F.col(f"n_{t}").alias("n"), F.col(f"moved_{t}").alias("moved"))
+                      for t in MOVEMENT_TYPES])
+    rows = _months(model, p, True, months).select("revenue_month", F.inline(kinds)).where("n > 0")
+    g = rows.groupBy(fiscal_year("revenue_month", p.fy_end_month).alias("year"), "revenue_type").agg(
+        F.sum("n").cast("long").alias("event_count"),
+        F.sum("moved").cast("long").alias("added_mrr_inr"),
+        (F.sum("moved") * 12).cast("long").alias("added_arr_inr"),
     )
     order = F.array_position(F.array(*[F.lit(t) for t in MOVEMENT_TYPES]), F.col("revenue_type"))
     return g.orderBy("year", order)
@@ -336,8 +355,8 @@ def churn_reasons(model: Model, p: Period) -> DataFrame:
 # --------------------------------------------------------------------------
 # Q09 sales owner performance
 # --------------------------------------------------------------------------
-def sales_owner_performance(model: Model, p: Period) -> DataFrame:
-    j = customers_with_rollup(model, p, ["sales_owner", "lifecycle_status"])
+def sales_owner_performance(model: Model, p: Period, accounts: DataFrame | None = None) -> DataFrame:
+    j = customers_with_rollup(model, p, ["sales_owner", "lifecycle_status"], accounts)
     ending = F.col("ending_arr_inr")
     g = j.groupBy("sales_owner").agg(
         F.count(F.lit(1)).alias("managed_customers"),
@@ -358,8 +377,8 @@ def sales_owner_performance(model: Model, p: Period) -> DataFrame:
 # --------------------------------------------------------------------------
 # Q10 monthly customer flow
 # --------------------------------------------------------------------------
-def customer_flow(model: Model, p: Period, unique_keys: bool = False) -> DataFrame:
-    mon = monthly_rollup(model, p, unique_keys).select(
+def customer_flow(model: Model, p: Period, unique_keys: bool = False, months: DataFrame | None = None) -> DataFrame:
+    mon = monthly_rollup(model, p, unique_keys, months).select(
         "revenue_month", "active_customers", "ending_arr_inr", "new_customers",
         "reactivated_customers")
     chm = churn_in_window(model, p).groupBy(month_key("churn_date").alias("revenue_month")).agg(
@@ -391,13 +410,13 @@ def customer_flow(model: Model, p: Period, unique_keys: bool = False) -> DataFra
 # --------------------------------------------------------------------------
 # Q11 segment churn and retention by starting plan
 # --------------------------------------------------------------------------
-def segment_churn_retention(model: Model, p: Period) -> DataFrame:
+def segment_churn_retention(model: Model, p: Period, accounts: DataFrame | None = None) -> DataFrame:
     """Tier of the customer's *initial* plan (fixed, T13)."""
     prods = model.products.select(F.col("product_id").alias("initial_product_id"),
                                   F.col("plan_tier").alias("starting_plan_tier"))
     cust = model.customers.select("customer_id", "company_segment", "initial_product_id",
                                   "lifecycle_status").join(prods, "initial_product_id")
-    ending_arr = customer_rollup(model, p).select("customer_id", "ending_arr_inr")
+    ending_arr = customer_rollup(model, p, accounts).select("customer_id", "ending_arr_inr")
     j = (cust.join(model.churn.select("customer_id", "mrr_lost_inr"), "customer_id", "left")
          .join(ending_arr, "customer_id", "left"))
     ending = F.coalesce(F.col("ending_arr_inr"), F.lit(0))
@@ -422,19 +441,15 @@ def segment_churn_retention(model: Model, p: Period) -> DataFrame:
 # --------------------------------------------------------------------------
 # Q12 growth quality
 # --------------------------------------------------------------------------
-def growth_quality(model: Model, p: Period, unique_keys: bool = False) -> DataFrame:
+def growth_quality(model: Model, p: Period, unique_keys: bool = False, months: DataFrame | None = None) -> DataFrame:
     fy = p.fy_end_month
-    rv = window_revenue(model, p)
-    ye = rv.where(F.month(F.col("revenue_month")) == fy).groupBy(fiscal_year(F.col("revenue_month"), fy).alias("year")).agg(
-        F.sum(F.col("arr_run_rate_inr")).cast("long").alias("ending_arr_inr"),
-        distinct_customers(unique_keys).cast("long").alias("active_customers"),
-    )
-    ye = ye.select("*", ratio("ending_arr_inr", "active_customers", 0)
-                   .alias("avg_arr_per_active_customer_inr"))
-    an = rv.groupBy(fiscal_year(F.col("revenue_month"), fy).alias("year")).agg(
-        count_when(F.col("revenue_type") == "New").alias("new_customers"),
-        sum_when(F.col("revenue_type").isin(*POST_SALE_TYPES), F.col("movement_mrr_inr") * 12).alias("post_sale_added_arr_inr"),
-    )
+    mon = _months(model, p, unique_keys, months).withColumn("year", fiscal_year("revenue_month", fy))
+    ye = mon.where(F.month("revenue_month") == fy).select(
+        "year", "ending_arr_inr", "active_customers",
+        ratio("ending_arr_inr", "active_customers", 0).alias("avg_arr_per_active_customer_inr"))
+    post_sale = reduce(lambda x, y: x + y, [F.col(f"moved_{t}") for t in POST_SALE_TYPES])
+    an = mon.groupBy("year").agg(F.sum("n_New").cast("long").alias("new_customers"),
+                                 (F.sum(post_sale) * 12).cast("long").alias("post_sale_added_arr_inr"))
     ac = churn_in_window(model, p).groupBy(fiscal_year("churn_date", fy).alias("year")).agg(
         F.count(F.lit(1)).alias("churned"),
         (F.sum("mrr_lost_inr") * 12).cast("long").alias("arr_lost"))

@@ -81,9 +81,7 @@ def month_coverage(suite: Suite) -> DataFrame:
     p = suite.period
     spark = suite.model.revenue.sparkSession
     spine = month_spine(spark, p.history_start, p.history_end)
-    mon = suite.model.revenue.groupBy("revenue_month").agg(
-        F.count(F.lit(1)).alias("revenue_rows"),
-        F.count_distinct("customer_id").alias("active_customers"))
+    mon = suite.months().select("revenue_month", "revenue_rows", "active_customers")
     # The spine has one row per month of the history: a bounded broadcast side.
     return F.broadcast(spine).join(mon, "revenue_month", "left").select(
         "revenue_month",

@@ -67,11 +67,19 @@ class Suite:
     def kpi(self, name: str) -> DataFrame:
         def build():
             f = K.KPI_QUERIES[name]
-            if "unique_keys" in inspect.signature(f).parameters:
-                return f(self.model, self.period, unique_keys=self.unique_keys)
-            return f(self.model, self.period)
+            given = {"unique_keys": lambda: self.unique_keys, "months": self.months, "accounts": self.accounts}
+            wanted = inspect.signature(f).parameters
+            return f(self.model, self.period, **{k: v() for k, v in given.items() if k in wanted})
         return self._get(name, build)
 
+    def months(self) -> DataFrame:
+        """Month facts: a row for each month, read by all month-grain results."""
+        return self._get("month_facts", lambda: K.month_facts(self.model, self.unique_keys))
+
+    def accounts(self) -> DataFrame:
+        """(customer, product) facts, read by all customer-grain results."""
+        return self._get("account_facts", lambda: K.account_facts(self.model, self.period))
+
     def quality(self) -> DataFrame:
         return self._get("quality_report", lambda: quality_report(self.model))
 

@@ -45,3 +45,28 @@ def test_plan_shape(spark, name):
     for schema in re.findall(r"ReadSchema: (struct<[^>]*>)", plan):
         assert "o_orderstatus" not in schema and "o_comment" not in schema
     assert not _single_partition_inputs_are_aggregated(plan)
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_results_of_a_suite_read_the_fact_once(spark):
+    """Month- and customer-grain results are made from the suite's two fact
+    tables, without another scan of the revenue table."""
+    from arrlens.operators import kpis as K
+    from arrlens.plans.registry import shared_suite
+    suite = shared_suite(spark, SF_SMALL)
+    m, p = suite.model, suite.period
+    assert "revenue_month" in _plan(K.month_facts(m)) and "FileScan parquet" in _plan(K.month_facts(m))
+    for f in (K.monthly_revenue_growth, K.growth_event_bridge, K.customer_flow, K.growth_quality):
+        plan = _plan(f(m, p, months=suite.months()))
+        assert "movement_mrr_inr" not in plan and "closing_mrr_inr" not in plan, f.__name__
+    for f in (K.channel_performance, K.plan_segment_performance, K.sales_owner_performance, K.segment_churn_retention):
+        plan = _plan(f(m, p, accounts=suite.accounts()))
+        assert "movement_mrr_inr" not in plan and "closing_mrr_inr" not in plan, f.__name__
+
+
+def test_constraints_copy_no_row(spark):
+    from arrlens.plans.registry import suite_for
+    assert "Expand" not in _plan(suite_for(spark, SF_SMALL, shared=False).constraints())
