@@ -7,7 +7,7 @@ components. Equal sets are one node from the start.
 1. Shared shingles. A set of n shingles links with nothing unless T = ceil(0.75
    n) of them or more stand in other sets too. Blocks of texts ask which of
    their shingles other blocks have (``key_buckets``); only sets with T shared
-   ones go on.
+   ones go on. The nodes that are left, each once now, are asked again.
 2. Cells. Shingles stand in one order for all, that of their hashes, so linked
    sets share one of the first n - T + 1 of each at least. Postings (shingle,
    node) of these prefixes are dealt by shingle. All postings of a shingle
@@ -131,12 +131,14 @@ def _documents(docs: DataFrame, buckets: int) -> DataFrame:
     return out
 
 
-def _postings(sets: DataFrame, buckets: int) -> DataFrame:
-    """Prefixes of the sets (node, tokens), by bucket of their shingles."""
+def _postings(sets: DataFrame, buckets: int, whole: bool = False) -> DataFrame:
+    """Prefixes of the sets (node, tokens), or whole sets, by bucket of their
+    shingles."""
     def run(batches):
         for batch in slices(batches, "tokens"):
             own = [np.frombuffer(t.as_buffer(), np.uint64) for t in batch.column("tokens")]
-            own = [s[:len(s) - required(len(s)) + 1] for s in own]
+            if not whole:
+                own = [s[:len(s) - required(len(s)) + 1] for s in own]
             token = np.concatenate(own)
             node = np.repeat(batch.column("node").to_numpy(), [len(s) for s in own])
             bucket = (token % np.uint64(buckets)).astype(np.int64)
@@ -152,26 +154,39 @@ def _postings(sets: DataFrame, buckets: int) -> DataFrame:
     return sets.mapInArrow(run, "bucket int, tokens binary, nodes binary")
 
 
+def _lists(batches) -> tuple[np.ndarray, np.ndarray]:
+    """(least node of the shingle's nodes, node) of a bucket's postings, for
+    shingles of several nodes."""
+    tokens, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for batch in batches:
+        for t, n in zip(batch.column("tokens"), batch.column("nodes")):
+            tokens.append(np.frombuffer(t.as_buffer(), np.uint64))
+            nodes.append(np.frombuffer(n.as_buffer(), np.int64))
+    token, node = np.concatenate(tokens), np.concatenate(nodes)
+    order = np.lexsort((node, token))
+    token, node = token[order], node[order]
+    first = np.flatnonzero(np.diff(token, prepend=token[:1] + np.uint64(1)) != 0)
+    size = np.diff(np.append(first, len(token)))
+    keep = np.repeat(size > 1, size)
+    return np.repeat(node[first], size)[keep], node[keep]
+
+
+def _still_shared(sets: DataFrame, buckets: int) -> DataFrame:
+    """The sets that have enough shingles in common with others of ``sets``."""
+    def run(batches):
+        _, node = _lists(batches)
+        node, count = np.unique(node, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(count)], names=["node", "n"])
+
+    counts = _postings(sets, buckets, whole=True).repartitionById(buckets, F.col("bucket")).mapInArrow(run, "node long, n long")
+    enough = counts.groupBy("node").agg(F.sum("n").alias("n")).join(sets, "node")
+    return enough.where(f"100 * n >= {PERCENT} * n_shingles").select("node", "n_shingles", "tokens")
+
+
 def _cells(postings: DataFrame, buckets: int) -> DataFrame:
     """(pivot, node): pivot is the least of the nodes of a shingle that node has."""
     def run(batches):
-        tokens, nodes = [], []
-        for batch in batches:
-            for t, n in zip(batch.column("tokens"), batch.column("nodes")):
-                tokens.append(np.frombuffer(t.as_buffer(), np.uint64))
-                nodes.append(np.frombuffer(n.as_buffer(), np.int64))
-        if not tokens:
-            return
-        token, node = np.concatenate(tokens), np.concatenate(nodes)
-        order = np.lexsort((node, token))
-        token, node = token[order], node[order]
-        new = np.ones(len(token), bool)
-        new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
-        token, node = token[new], node[new]
-        first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-        size = np.diff(np.append(first, len(token)))
-        keep = np.repeat(size > 1, size)
-        pivot, node = np.repeat(node[first], size)[keep], node[keep]
+        pivot, node = _lists(batches)
         order = np.lexsort((node, pivot))
         pivot, node = pivot[order], node[order]
         if not len(node):
@@ -234,10 +249,17 @@ class _Cell:
             self.links.append((self.nodes[i], self.nodes[j]))
 
     def index(self) -> None:
+        """Inverted lists of the shingles, and each member's number of
+        shingles that another member has too."""
         size = [len(s) for s in self.sets]
         token, member = np.concatenate(self.sets), np.repeat(np.arange(len(size)), size)
         order = np.argsort(token, kind="stable")
         self.token, self.member = token[order], member[order]
+        same = self.token[1:] == self.token[:-1]
+        shared = np.zeros(len(token), bool)
+        shared[1:] |= same
+        shared[:-1] |= same
+        self.shared = np.bincount(self.member[shared], minlength=len(size))
 
     def search(self, own: np.ndarray, t: int) -> list[tuple[int, int]]:
         """Members that share ``t`` shingles or more with ``own``, and how many."""
@@ -263,7 +285,11 @@ class _Cell:
                 else:
                     rest.append(i)
         if len(self.nodes) > 2 or first is None:
+            if rest:
+                self.index()
             for i in rest:
+                if self.shared[i] < required(len(self.sets[i])):
+                    continue  # its lists cannot give that many
                 for j, shared in self.search(self.sets[i], required(len(self.sets[i]))):
                     if self.find(i) != self.find(j) and linked(shared, len(self.sets[i]), len(self.sets[j])):
                         self.join(i, j)
@@ -323,6 +349,7 @@ def _link_rows(rows: list[tuple]) -> pa.RecordBatch:
 def links(sets: DataFrame, buckets: int, chunk: int = CHUNK) -> DataFrame:
     """Links (a, b) between the nodes of ``sets`` (node, n_shingles, tokens);
     enough of them to give the components."""
+    sets = stored(_still_shared(sets, buckets), "shared")
     cells = stored(_cells(_postings(sets, buckets), buckets), "cells")
     many = cells.join(sets.select("node", "n_shingles"), "node")
     wide = many.groupBy("pivot").agg(F.ceil(F.sum("n_shingles") / chunk).cast("int").alias("chunks"))
@@ -331,8 +358,9 @@ def links(sets: DataFrame, buckets: int, chunk: int = CHUNK) -> DataFrame:
     # The cell's least node stands in all its chunks.
     placed = placed.withColumn("chunk", F.explode(F.when(
         F.col("pivot") == F.col("node"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))))
+    placed = stored(placed, "placed")
     columns = [f.split()[0] for f in CELL.split(", ")]
-    members = stored(placed.join(sets, "node").withColumn("asks", F.lit(False)).select(*columns), "members")
+    members = placed.join(sets, "node").withColumn("asks", F.lit(False)).select(*columns)
     found = stored(_link_cells(members), "found")
     # Chunks of one cell: what is left over asks the others.
     asking = found.where("b is null").select(
@@ -340,10 +368,10 @@ def links(sets: DataFrame, buckets: int, chunk: int = CHUNK) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")).where("chunk <> own")
     asking = asking.join(sets, "node").withColumn("asks", F.lit(True))
     asking = stored(asking.select(*columns), "asking")
-    asked = members.where("chunks > 1").join(asking.select("pivot", "chunk").distinct(), ["pivot", "chunk"], "left_semi")
+    asked = members.join(asking.select("pivot", "chunk").distinct(), ["pivot", "chunk"], "left_semi")
     split = asked.select(*columns).union(asking)
     more = stored(_link_cells(split).where("b is not null"), "more")
-    discard(cells, members, asking)
+    discard(cells, placed, sets, asking)
     return found.where("b is not null").select("a", "b").union(more.select("a", "b"))
 
 
