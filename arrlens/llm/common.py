@@ -65,13 +65,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, in whatever store it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete the files behind ``stored`` frames that nothing reads any more."""
     for df in frames:
-        jvm = df.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df._stored_at)
-        fs = path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
-        fs.delete(path, True)
+        delete(df.sparkSession, df._stored_at)
 
 
 def text_or_empty(df: DataFrame):

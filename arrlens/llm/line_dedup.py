@@ -91,27 +91,27 @@ def without_frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, batches: i
     # A row is a document: its id may be null or repeated, so its text goes along.
     keys = F.array_distinct(F.filter(F.transform(F.split(text, "\n"), line_key), lambda k: k.isNotNull()))
     row = F.xxhash64(text)
-    held = stored(docs.select(F.col("doc_id").alias("_doc"), row.alias("_row"), keys.alias("_keys")), "lines")
+    held = stored(docs.select(F.col("doc_id").alias("__line_doc"), row.alias("__line_row"), keys.alias("__line_keys")), "lines")
 
     runs = LineRuns(min_docs)
     for b in range(batches):
-        runs.add(held.where(F.pmod(F.xxhash64("_doc", "_row"), F.lit(batches)) == b)
-                 .select(F.explode("_keys").alias("key")))
+        runs.add(held.where(F.pmod(F.xxhash64("__line_doc", "__line_row"), F.lit(batches)) == b)
+                 .select(F.explode("__line_keys").alias("key")))
     bad = stored(runs.frequent(), "frequent")
     runs.discard()
     # Rows with the same id and text have the same lines, so one of them is enough.
-    bad_of = stored(held.select("_doc", "_row", F.explode("_keys").alias("key")).distinct().join(bad, "key", "left_semi")
-                    .groupBy("_doc", "_row").agg(F.collect_list("key").alias("_bad")), "bad")
+    bad_of = stored(held.select("__line_doc", "__line_row", F.explode("__line_keys").alias("key")).distinct().join(bad, "key", "left_semi")
+                    .groupBy("__line_doc", "__line_row").agg(F.collect_list("key").alias("__line_bad")), "bad")
     discard(held, bad)
-    same = docs["doc_id"].eqNullSafe(bad_of["_doc"]) & (row == bad_of["_row"])
+    same = docs["doc_id"].eqNullSafe(bad_of["__line_doc"]) & (row == bad_of["__line_row"])
     joined = docs.join(bad_of, same, "left")
     lines = F.split(text, "\n")
-    left = F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col("_bad"), line_key(x)), F.lit(False)))
-    some = F.col("_bad").isNotNull()
-    out = joined.withColumn("_left", F.when(some, left)).withColumn("n_lines", F.size(lines).cast("long"))
-    out = out.withColumn("n_dropped", F.when(some, F.col("n_lines") - F.size("_left")).otherwise(0).cast("long"))
-    kept = F.when(some, F.array_join("_left", "\n")).otherwise(text)
-    return out.withColumn("text", kept).drop("_doc", "_row", "_bad", "_left")
+    left = F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col("__line_bad"), line_key(x)), F.lit(False)))
+    some = F.col("__line_bad").isNotNull()
+    out = joined.withColumn("__line_left", F.when(some, left)).withColumn("n_lines", F.size(lines).cast("long"))
+    out = out.withColumn("n_dropped", F.when(some, F.col("n_lines") - F.size("__line_left")).otherwise(0).cast("long"))
+    kept = F.when(some, F.array_join("__line_left", "\n")).otherwise(text)
+    return out.withColumn("text", kept).drop("__line_doc", "__line_row", "__line_bad", "__line_left")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,7 +94,7 @@ def splitters(keys: DataFrame, shards: int, ranges: int, tolerance: float = TOLE
     parts = shards * ranges
     share = total / shards
     marks = [Mark(total * i / parts, share * (tolerance if i % ranges == 0 else RANGE_TOLERANCE)) for i in range(1, parts)]
-    _settle(keys, "k", marks)
+    _settle(keys, "__k", marks)
     # What no boundary between texts meets lies inside the group of one text: cut it by id.
     inside: dict[int, list[tuple[int, Mark]]] = {}
     for i, m in enumerate(marks):
@@ -102,7 +102,7 @@ def splitters(keys: DataFrame, shards: int, ranges: int, tolerance: float = TOLE
             inside.setdefault(m.low, []).append((i, Mark(m.want, m.slack, below=m.below)))
     out = [(m.best, 0) for m in marks]
     for k, own in inside.items():
-        _settle(keys.where(F.col("k") == k), "k2", [m for _, m in own])
+        _settle(keys.where(F.col("__k") == k), "__k2", [m for _, m in own])
         for i, m in own:
             if m.off < marks[i].off:
                 out[i] = (k, m.best)
@@ -116,20 +116,20 @@ def _range_of(cuts: list[tuple[int, int]]) -> Column:
             return F.lit(lo)
         mid = (lo + hi) // 2
         k, k2 = cuts[mid]
-        at = (F.col("k") > k) | ((F.col("k") == k) & (F.col("k2") >= k2))
+        at = (F.col("__k") > k) | ((F.col("__k") == k) & (F.col("__k2") >= k2))
         return F.when(at, half(mid + 1, hi)).otherwise(half(lo, mid))
     return half(0, len(cuts))
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, tolerance: float = TOLERANCE) -> DataFrame:
     """``docs`` with size, text_crc32, shard and slot (its place there)."""
-    new = {"size", "text_crc32", "shard", "slot", "k", "k2"}
+    new = {"size", "text_crc32", "shard", "slot"}
     docs = docs.drop(*[c for c in docs.columns if c.lower() in new])
     text = text_or_empty(docs)
     keyed = (docs.withColumn("size", F.octet_length(text).cast("long") + 1).withColumn("text_crc32", F.crc32(text))
-             .withColumn("k", F.shiftrightunsigned(F.xxhash64(text), 1))
-             .withColumn("k2", F.shiftrightunsigned(F.xxhash64("doc_id"), 1)))
-    keys = stored(keyed.select("k", "k2", "size"), "keys")
+             .withColumn("__k", F.shiftrightunsigned(F.xxhash64(text), 1))
+             .withColumn("__k2", F.shiftrightunsigned(F.xxhash64("doc_id"), 1)))
+    keys = stored(keyed.select("__k", "__k2", "size"), "keys")
     cuts = splitters(keys, shards, ranges, tolerance)
     part = _range_of(cuts)
     counts = dict(keys.groupBy(part.alias("part")).count().collect())
@@ -138,11 +138,11 @@ def sharded(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, toleran
     for i in range(shards * ranges):
         base = 0 if i % ranges == 0 else base + counts.get(i - 1, 0)
         begin.append(base)
-    order = W.partitionBy("_part").orderBy("k", "k2", "doc_id", "text_crc32")
-    first = F.element_at(F.lit(begin), F.col("_part") + 1)
-    return (keyed.withColumn("_part", part)
+    order = W.partitionBy("__part").orderBy("__k", "__k2", "doc_id", "text_crc32")
+    first = F.element_at(F.lit(begin), F.col("__part") + 1)
+    return (keyed.withColumn("__part", part)
             .withColumn("slot", first.cast("long") + F.row_number().over(order) - 1)
-            .withColumn("shard", F.floor(F.col("_part") / ranges).cast("int")).drop("k", "k2", "_part"))
+            .withColumn("shard", F.floor(F.col("__part") / ranges).cast("int")).drop("__k", "__k2", "__part"))
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

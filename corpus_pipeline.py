@@ -8,7 +8,7 @@ columns of ``docs``.
 
 from __future__ import annotations
 
-from arrlens.llm.common import scratch, table
+from arrlens.llm.common import delete, scratch, table
 from arrlens.llm.decontaminate import clean_documents
 from arrlens.llm.jaccard_join import one_of_each
 from arrlens.llm.line_dedup import without_frequent_lines
@@ -57,9 +57,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed pieces of the documents that all stages keep."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = scratch(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:  # nothing reads the table of the stage before any more
+            delete(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -75,11 +75,12 @@ def test_shards_hold_nearly_equal_bytes(spark, name):
 
 def test_equal_texts_share_a_shard_unless_they_are_too_many(spark):
     docs = [(i, f"text {i % 50} " * 20) for i in range(1000)] + [(2000 + i, "copy " * 50) for i in range(700)]
-    frame = spark.createDataFrame([(d, t, 0, "s") for d, t in docs], "doc_id long, text string, slot int, source string")
+    frame = spark.createDataFrame([(d, t, 0, "s", 1, 2) for d, t in docs],
+                                  "doc_id long, text string, slot int, source string, k int, _part int")
     out = sh.sharded(frame, 4, tolerance=0.05)
     rows = out.collect()
     _check(rows, docs, 4, 0.06 * sum(len(t) + 1 for _, t in docs) / 4)
-    assert out.columns.count("slot") == 1 and {r.source for r in rows} == {"s"}
+    assert out.columns.count("slot") == 1 and {(r.source, r.k, r._part) for r in rows} == {("s", 1, 2)}
     assert len({r.shard for r in rows if r.text.startswith("copy")}) > 1
     spread = [len({r.shard for r in rows if r.text == f"text {i} " * 20}) for i in range(50)]
     assert sum(n > 1 for n in spread) <= 3
