@@ -7,9 +7,11 @@ components. Equal sets are one node from the start.
 1. Shared shingles. A set of n shingles links with nothing unless T = ceil(0.75
    n) of them or more stand in other sets too. Blocks of texts ask which of
    their shingles other blocks have (``key_buckets``); only sets with T shared
-   ones go on. The nodes that are left, each once now, are asked again.
-2. Cells. Shingles stand in one order for all, that of their hashes, so linked
-   sets share one of the first n - T + 1 of each at least. Postings (shingle,
+   ones go on, and of them only the shared shingles. The nodes that are left,
+   each once now, are asked ``ROUNDS`` times more.
+2. Cells. Shingles stand in one order for all, that of their hashes. Linked sets
+   have T of their s shared shingles in common, so one of the first s - T + 1
+   of each at least. Postings (shingle,
    node) of these prefixes are dealt by shingle. All postings of a shingle
    stand in the cell of its least node, so a linked pair meets in one cell at
    least, and a family of near copies makes few cells. A cell of many shingles
@@ -50,11 +52,15 @@ from .key_buckets import Keys, answers, asked, block_rows, blocks, texts_of_bloc
 from .line_dedup import LOWER, UPPER
 
 PERCENT = 75
+#: Times that the nodes which are left are asked for shared shingles again.
+ROUNDS = 2
 #: Shingles of a chunk of a cell.
 CHUNK = 1_000_000
-#: DivideSkip's weight of a probe, and lists so long together that numpy merges them.
+#: DivideSkip's weight of a probe, postings beyond which numpy merges the short
+#: lists, and long lists probed at a time.
 MU = 0.0085
-HEAP_LIMIT = 5000
+HEAP_LIMIT = 1000
+PROBED = 64
 
 
 def required(n: int) -> int:
@@ -95,12 +101,22 @@ def _keys(sets: list[np.ndarray], first: np.ndarray) -> Keys:
     return Keys(np.arange(len(token)), token)
 
 
+def _shared(keys: Keys, reply: dict[int, bytes], buckets: int) -> np.ndarray:
+    """Whether the key at each position stands elsewhere too, in the block or another."""
+    out = np.zeros(len(keys.new), bool)
+    if len(out):
+        runs = np.diff(np.append(np.flatnonzero(keys.new), len(keys.new))) > 1
+        out[keys.position] = keys.spread(runs | keys.marked(reply, buckets))
+    return out
+
+
 SET = "doc_id long, text_key long, node long, n_shingles long"
 
 
 def _documents(docs: DataFrame, buckets: int) -> DataFrame:
-    """Stored: a row (SET) for each document, and ``tokens``, the set, where
-    enough of it stands in other sets (for one document of a block and node)."""
+    """Stored: a row (SET) for each document, and ``tokens``, the shingles that
+    other sets have too, where they are enough (for one document of a block and
+    node)."""
     texts = blocks(docs)
 
     def shingle_keys(row, _):
@@ -113,14 +129,11 @@ def _documents(docs: DataFrame, buckets: int) -> DataFrame:
         for row, replies in block_rows(batches):
             sets, nodes, first = _new_nodes(row)
             keys = _keys(sets, first)
-            again = np.empty(len(keys.new), bool)
-            runs = np.diff(np.append(np.flatnonzero(keys.new), len(keys.new))) > 1
-            again[keys.position] = keys.spread(runs | keys.marked(replies["shared"], buckets))
-            count = np.concatenate(([0], np.cumsum(again)))
+            again = _shared(keys, replies["shared"], buckets)
             tokens, at = [], 0
             for own, f in zip(sets, first):
-                held = f and count[at + len(own)] - count[at] >= required(len(own))
-                tokens.append(own.tobytes() if held else None)
+                kept = own[again[at:at + len(own)]] if f else own[:0]
+                tokens.append(kept.tobytes() if len(kept) and len(kept) >= required(len(own)) else None)
                 at += len(own) * bool(f)
             yield pa.RecordBatch.from_arrays(
                 [row["doc_ids"], row["text_keys"], pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
@@ -131,14 +144,40 @@ def _documents(docs: DataFrame, buckets: int) -> DataFrame:
     return out
 
 
-def _postings(sets: DataFrame, buckets: int, whole: bool = False) -> DataFrame:
-    """Prefixes of the sets (node, tokens), or whole sets, by bucket of their
-    shingles."""
+def _still_shared(sets: DataFrame, buckets: int) -> DataFrame:
+    """Of the sets (node, n_shingles, tokens) those that have enough shingles in
+    common with others of them, with only these shingles; stored."""
+    held = blocks(sets.select(F.col("node").alias("doc_id"), F.col("n_shingles").alias("text_key"),
+                              F.col("tokens").alias("text")))
+
+    def all_keys(row, _=None):
+        token = np.frombuffer(row["text"], np.uint64)
+        return Keys(np.arange(len(token)), token)
+
+    common = answers(asked(held, all_keys, buckets, 32), buckets, 32, False, "common")
+
+    def run(batches):
+        for row, replies in block_rows(batches):
+            again = _shared(all_keys(row), replies["common"], buckets)
+            token, cut = np.frombuffer(row["text"], np.uint64), (row["offsets"] // 8).tolist()
+            size = row["text_keys"].to_numpy()
+            kept = [token[a:b][again[a:b]] for a, b in zip(cut, cut[1:])]
+            enough = np.array([len(k) >= required(n) for k, n in zip(kept, size.tolist())], bool)
+            yield pa.RecordBatch.from_arrays(
+                [row["doc_ids"].filter(pa.array(enough)), pa.array(size[enough]),
+                 pa.array([k.tobytes() for k, e in zip(kept, enough) if e], pa.binary())], names=["node", "n_shingles", "tokens"])
+
+    out = stored(held.join(common, "block", "left").mapInArrow(run, "node long, n_shingles long, tokens binary"), "nodes")
+    discard(held)
+    return out
+
+
+def _postings(sets: DataFrame, buckets: int) -> DataFrame:
+    """Prefixes of the sets (node, n_shingles, tokens), by bucket of their shingles."""
     def run(batches):
         for batch in slices(batches, "tokens"):
             own = [np.frombuffer(t.as_buffer(), np.uint64) for t in batch.column("tokens")]
-            if not whole:
-                own = [s[:len(s) - required(len(s)) + 1] for s in own]
+            own = [s[:len(s) - required(n) + 1] for s, n in zip(own, batch.column("n_shingles").to_pylist())]
             token = np.concatenate(own)
             node = np.repeat(batch.column("node").to_numpy(), [len(s) for s in own])
             bucket = (token % np.uint64(buckets)).astype(np.int64)
@@ -171,18 +210,6 @@ def _lists(batches) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(node[first], size)[keep], node[keep]
 
 
-def _still_shared(sets: DataFrame, buckets: int) -> DataFrame:
-    """The sets that have enough shingles in common with others of ``sets``."""
-    def run(batches):
-        _, node = _lists(batches)
-        node, count = np.unique(node, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(count)], names=["node", "n"])
-
-    counts = _postings(sets, buckets, whole=True).repartitionById(buckets, F.col("bucket")).mapInArrow(run, "node long, n long")
-    enough = counts.groupBy("node").agg(F.sum("n").alias("n")).join(sets, "node")
-    return enough.where(f"100 * n >= {PERCENT} * n_shingles").select("node", "n_shingles", "tokens")
-
-
 def _cells(postings: DataFrame, buckets: int) -> DataFrame:
     """(pivot, node): pivot is the least of the nodes of a shingle that node has."""
     def run(batches):
@@ -200,75 +227,86 @@ def _cells(postings: DataFrame, buckets: int) -> DataFrame:
     return dealt.mapInArrow(run, "pivot long, node long").distinct()
 
 
-def t_occurrence(lists: list[np.ndarray], t: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ids found in ``t`` or more of the sorted lists, with their counts
-    (DivideSkip)."""
-    lists = sorted(lists, key=len)
-    if len(lists) < t:
+class Lists:
+    """Inverted lists of sets: for each distinct shingle the ascending numbers
+    of the sets that have it, one list after the other."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.count = len(sets)
+        token, member = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = np.argsort(token, kind="stable")
+        token, self.member = token[order], member[order]
+        new = np.flatnonzero(np.diff(token, prepend=token[:1] + np.uint64(1)) != 0)
+        self.token, self.begin = token[new], np.append(new, len(token))
+        length = np.diff(self.begin)
+        # (list, member) as one ascending number: any list is probed by binary search here.
+        self.place = np.repeat(np.arange(len(new)), length) * len(sets) + self.member
+        #: Of each set, the shingles that another one has too.
+        self.shared = np.bincount(self.member[np.repeat(length > 1, length)], minlength=len(sets))
+
+    def of(self, own: np.ndarray) -> np.ndarray:
+        """The lists of the shingles of ``own``."""
+        at = np.minimum(np.searchsorted(self.token, own), len(self.token) - 1)
+        return at[self.token[at] == own]
+
+
+def t_occurrence(lists: Lists, wanted: np.ndarray, t: int, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The allowed sets found in ``t`` or more of the ``wanted`` lists, with
+    their counts (DivideSkip): the short lists are heap-merged, which leaves the
+    sets that the long ones could still lift to ``t``, and those are probed."""
+    if len(wanted) < t:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    many = min(t - 1, int(t / (MU * math.log2(max(2, len(lists[-1]))) + 1)))
-    short, long_ = lists[:len(lists) - many], lists[len(lists) - many:]
-    if sum(map(len, short)) <= HEAP_LIMIT:
-        counted = [(i, sum(1 for _ in own)) for i, own in groupby(heapq.merge(*(x.tolist() for x in short)))]
-        ids = np.array([i for i, _ in counted], np.int64)
-        counts = np.array([c for _, c in counted], np.int64)
+    length = lists.begin[wanted + 1] - lists.begin[wanted]
+    wanted = wanted[np.argsort(length, kind="stable")]
+    many = min(t - 1, int(t / (MU * math.log2(max(2, length.max())) + 1)))
+    short, long_ = wanted[:len(wanted) - many], wanted[len(wanted) - many:]
+    parts = [lists.member[a:b] for a, b in zip(lists.begin[short].tolist(), lists.begin[short + 1].tolist())]
+    if sum(map(len, parts)) <= HEAP_LIMIT:
+        counted = [(i, sum(1 for _ in own)) for i, own in groupby(heapq.merge(*(x.tolist() for x in parts)))]
+        ids, counts = (np.array(x, np.int64) for x in zip(*counted))
     else:
-        ids, counts = np.unique(np.concatenate(short), return_counts=True)
-    held = counts >= t - many
+        ids, counts = np.unique(np.concatenate(parts), return_counts=True)
+    held = (counts >= t - many) & allowed[ids]
     ids, counts = ids[held], counts[held]
-    for left, probed in zip(range(many - 1, -1, -1), long_):
+    for lo in range(0, many, PROBED):
         if not len(ids):
             break
-        at = np.minimum(np.searchsorted(probed, ids), len(probed) - 1)
-        counts = counts + (probed[at] == ids)
-        held = counts >= t - left
+        probe = long_[lo:lo + PROBED, None] * lists.count + ids[None, :]
+        at = np.minimum(np.searchsorted(lists.place, probe), len(lists.place) - 1)
+        counts = counts + (lists.place[at] == probe).sum(0)
+        held = counts >= t - max(0, many - lo - PROBED)
         ids, counts = ids[held], counts[held]
     return ids, counts
 
 
 class _Cell:
-    """The nodes of one chunk of a cell, and the components found so far."""
+    """The nodes of one chunk of a cell, with their sizes and shared shingles,
+    and the components found so far."""
 
-    def __init__(self, members: list[tuple[int, np.ndarray]]):
+    def __init__(self, members: list[tuple[int, int, np.ndarray]]):
         self.nodes = [m[0] for m in members]
-        self.sets = [m[1] for m in members]
-        self.root = list(range(len(members)))
+        self.sizes = np.array([m[1] for m in members], np.int64)
+        self.sets = [m[2] for m in members]
+        self.label = np.arange(len(members))
         self.links: list[tuple[int, int]] = []
-        self.token = None
-
-    def find(self, i: int) -> int:
-        while self.root[i] != i:
-            self.root[i] = self.root[self.root[i]]
-            i = self.root[i]
-        return i
+        self.lists: Lists | None = None
 
     def join(self, i: int, j: int) -> None:
-        i, j = self.find(i), self.find(j)
-        if i != j:
-            self.root[max(i, j)] = min(i, j)
+        a, b = sorted((self.label[i], self.label[j]))
+        if a != b:
+            self.label[self.label == b] = a
             self.links.append((self.nodes[i], self.nodes[j]))
 
-    def index(self) -> None:
-        """Inverted lists of the shingles, and each member's number of
-        shingles that another member has too."""
-        size = [len(s) for s in self.sets]
-        token, member = np.concatenate(self.sets), np.repeat(np.arange(len(size)), size)
-        order = np.argsort(token, kind="stable")
-        self.token, self.member = token[order], member[order]
-        same = self.token[1:] == self.token[:-1]
-        shared = np.zeros(len(token), bool)
-        shared[1:] |= same
-        shared[:-1] |= same
-        self.shared = np.bincount(self.member[shared], minlength=len(size))
-
-    def search(self, own: np.ndarray, t: int) -> list[tuple[int, int]]:
-        """Members that share ``t`` shingles or more with ``own``, and how many."""
-        if self.token is None:
-            self.index()
-        a, b = np.searchsorted(self.token, own), np.searchsorted(self.token, own, "right")
-        some = b > a
-        ids, counts = t_occurrence([self.member[i:j] for i, j in zip(a[some].tolist(), b[some].tolist())], t)
-        return list(zip(ids.tolist(), counts.tolist()))
+    def search(self, own: np.ndarray, n: int, apart: int | None = None) -> list[int]:
+        """Members that link with a set of ``n`` shingles, ``own`` the shared ones;
+        of other components than ``apart``'s."""
+        if self.lists is None:
+            self.lists = Lists(self.sets)
+        allowed = (100 * self.sizes >= PERCENT * n) & (100 * n >= PERCENT * self.sizes)
+        if apart is not None:
+            allowed &= self.label != self.label[apart]
+        ids, counts = t_occurrence(self.lists, self.lists.of(own), required(n), allowed)
+        return [i for i, shared in zip(ids.tolist(), counts.tolist()) if linked(shared, n, int(self.sizes[i]))]
 
     def link_all(self, first: int | None) -> list[int]:
         """Link all members; returns those not linked with member ``first``."""
@@ -280,23 +318,21 @@ class _Cell:
                 if i == first:
                     continue
                 shared = int((near[np.minimum(np.searchsorted(near, own), n - 1)] == own).sum())
-                if linked(shared, n, len(own)):
+                if linked(shared, int(self.sizes[first]), int(self.sizes[i])):
                     self.join(first, i)
                 else:
                     rest.append(i)
-        if len(self.nodes) > 2 or first is None:
-            if rest:
-                self.index()
+        if rest and (len(self.nodes) > 2 or first is None):
+            self.lists = Lists(self.sets)
             for i in rest:
-                if self.shared[i] < required(len(self.sets[i])):
-                    continue  # its lists cannot give that many
-                for j, shared in self.search(self.sets[i], required(len(self.sets[i]))):
-                    if self.find(i) != self.find(j) and linked(shared, len(self.sets[i]), len(self.sets[j])):
+                n = int(self.sizes[i])
+                if self.lists.shared[i] >= required(n):  # else its lists can't give that many
+                    for j in self.search(self.sets[i], n, apart=i):
                         self.join(i, j)
         return rest
 
 
-CELL = "pivot long, chunk int, chunks int, asks boolean, node long, tokens binary"
+CELL = "pivot long, chunk int, chunks int, asks boolean, node long, n_shingles long, tokens binary"
 
 
 def _link_cells(members: DataFrame) -> DataFrame:
@@ -325,11 +361,9 @@ def _link_cells(members: DataFrame) -> DataFrame:
                     if cell is None:
                         asked, cell = True, _Cell(held)
                     if held:
-                        found = cell.search(tokens, required(len(tokens)))
-                        out += [(r["node"], cell.nodes[j], None, None, None) for j, shared in found
-                                if linked(shared, len(tokens), len(cell.sets[j]))]
+                        out += [(r["node"], cell.nodes[j], None, None, None) for j in cell.search(tokens, r["n_shingles"])]
                 else:
-                    held.append((r["node"], tokens))
+                    held.append((r["node"], r["n_shingles"], tokens))
             if out:
                 yield _link_rows(out)
         if key is not None and cell is None:
@@ -347,9 +381,11 @@ def _link_rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def links(sets: DataFrame, buckets: int, chunk: int = CHUNK) -> DataFrame:
-    """Links (a, b) between the nodes of ``sets`` (node, n_shingles, tokens);
-    enough of them to give the components."""
-    sets = stored(_still_shared(sets, buckets), "shared")
+    """Links (a, b) between the nodes of the stored ``sets`` (node, n_shingles,
+    tokens); enough of them to give the components. ``sets`` is used up."""
+    for _ in range(ROUNDS):
+        before, sets = sets, _still_shared(sets, buckets)
+        discard(before)
     cells = stored(_cells(_postings(sets, buckets), buckets), "cells")
     many = cells.join(sets.select("node", "n_shingles"), "node")
     wide = many.groupBy("pivot").agg(F.ceil(F.sum("n_shingles") / chunk).cast("int").alias("chunks"))
@@ -388,7 +424,6 @@ def jaccard_components(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     sets = stored(both.where("tokens is not null").select("node", "n_shingles", "tokens").dropDuplicates(["node"]), "nodes")
     discard(both)
     found = components(links(sets, buckets, chunk))
-    discard(sets)
     least = meta.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     labelled = least.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -404,17 +439,17 @@ def one_of_each(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     others, that with the least doc_id, with all their columns."""
     found = stored(jaccard_components(docs, chunk), "components")
     rest = found.where("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("row"))
-    stay = rest.select("row.*", F.lit(True).alias("_once")).union(
+    stay = rest.select("row.*", F.lit(True).alias("__one_once")).union(
         found.where("component is null").select("doc_id", "text_key", F.lit(False)).distinct())
-    stay = stay.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"),
-                       F.col("text_key").alias("_key"), "_once")
-    keys = ["_id", "_none", "_key"]
-    keyed = (docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
-             .withColumn("_none", F.col("doc_id").isNull()).withColumn("_key", F.xxhash64(text_or_empty(docs))))
+    stay = stay.select(F.coalesce("doc_id", F.lit(0)).alias("__one_id"), F.col("doc_id").isNull().alias("__one_none"),
+                       F.col("text_key").alias("__one_key"), "__one_once")
+    keys = ["__one_id", "__one_none", "__one_key"]
+    keyed = (docs.withColumn("__one_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
+             .withColumn("__one_none", F.col("doc_id").isNull()).withColumn("__one_key", F.xxhash64(text_or_empty(docs))))
     # Rows equal in id and text: one stays. They are few, and already together.
     nth = F.row_number().over(W.partitionBy(*keys).orderBy(*keys))
-    return (keyed.join(stay, keys).withColumn("_nth", nth).where((F.col("_nth") == 1) | ~F.col("_once"))
-            .drop(*keys, "_once", "_nth"))
+    return (keyed.join(stay, keys).withColumn("__one_nth", nth).where((F.col("__one_nth") == 1) | ~F.col("__one_once"))
+            .drop(*keys, "__one_once", "__one_nth"))
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,11 +8,11 @@ from arrlens.llm import jaccard_join, line_dedup, suffix_dedup
 from arrlens.llm.components import components
 from arrlens.llm.decontaminate import contained, op1_decontamination
 
-SCHEMA = "doc_id long, text string, node string, n_lines int"
+SCHEMA = "doc_id long, text string, node string, n_lines int, _doc int, _bad string, _id int, _key int, `a b` int"
 
 
 def _table(spark, rows):
-    return spark.createDataFrame([(d, t, "x", 1) for d, t in rows], SCHEMA)
+    return spark.createDataFrame([(d, t, "x", 1, 2, "y", 3, 4, 5) for d, t in rows], SCHEMA)
 
 
 def _documents(spark, small_dir):
@@ -56,7 +56,7 @@ def test_line_dedup_odd_rows(spark, batches):
     got = line_dedup.without_frequent_lines(_table(spark, rows), 4, batches).collect()
     want = brute.line_dedup([t for _, t in rows], 4)
     assert sorted((str(r.doc_id), r.text) for r in got) == sorted((str(d), w) for (d, _), w in zip(rows, want))
-    assert {r.node for r in got} == {"x"}
+    assert {(r.node, r._doc, r._bad, r["a b"]) for r in got} == {("x", 2, "y", 5)}
     assert line_dedup.without_frequent_lines(_table(spark, [])).count() == 0
 
 
@@ -94,19 +94,25 @@ def test_one_of_each_keeps_one_row_of_a_component_and_all_without_words(spark):
     got = jaccard_join.one_of_each(_table(spark, (ODD + [(3, "A b c d e f")]) * 2)).collect()
     want = [(None, None), (None, ""), (5, " \n\t "), (6, None), (7, "one two"), (None, "one two three four five"),
             (10, "\n\n"), (11, "word " * 3000), (3, "A b c d e f")]
+    assert {(r.node, r._doc, r._bad, r._id, r._key) for r in got} == {("x", 2, "y", 3, 4)}
     # Rows without words have no group, so each of the two runs of them stays.
     want += [(None, None), (None, ""), (5, " \n\t "), (6, None), (10, "\n\n")]
     assert sorted(str((r.doc_id, r.text)) for r in got) == sorted(map(str, want))
     assert jaccard_join.one_of_each(_table(spark, [])).count() == 0
 
 
-def test_t_occurrence_equals_counting():
+@pytest.mark.parametrize("limit", [0, 10 ** 6])
+def test_t_occurrence_equals_counting(monkeypatch, limit):
+    monkeypatch.setattr(jaccard_join, "HEAP_LIMIT", limit)
     rng = np.random.default_rng(3)
-    for t in (1, 2, 5, 9):
-        lists = [np.unique(rng.integers(0, 60, rng.integers(1, 50))) for _ in range(14)]
-        ids, counts = np.unique(np.concatenate(lists), return_counts=True)
-        got = jaccard_join.t_occurrence(lists, t)
-        assert dict(zip(*map(list, got))) == {i: c for i, c in zip(ids, counts) if c >= t}
+    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200))).astype(np.uint64) for _ in range(40)]
+    lists = jaccard_join.Lists(sets)
+    allowed = np.arange(40) % 7 != 3
+    for own in sets[:12] + [np.array([5, 1000], np.uint64)]:
+        for t in (1, 2, 5, 60, 120):
+            want = {i: len(set(own.tolist()) & set(s.tolist())) for i, s in enumerate(sets) if allowed[i]}
+            got = jaccard_join.t_occurrence(lists, lists.of(own), t, allowed)
+            assert dict(zip(*map(list, got))) == {i: n for i, n in want.items() if n >= t}
 
 
 def test_components_of_a_chain_and_a_star(spark):
