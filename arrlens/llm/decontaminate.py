@@ -18,8 +18,9 @@ whole document verify them.
 Defined results: words and shingles as in ``common.shingles``; items and
 documents without words match nothing; one of fewer than five words has its
 whole sequence as its one shingle; a null text is empty; null or repeated ids
-are rows of their own and a pair of ids is reported once; empty tables give no
-pairs; other columns are not read.
+are rows of their own (an item is its id and text; rows equal in both are one);
+a pair of ids is reported once, by its fullest match (greatest containment,
+then most shingles); empty tables give no pairs; other columns are not read.
 """
 
 from __future__ import annotations
@@ -97,22 +98,26 @@ def _band_keys(signature: np.ndarray, kind: int | np.ndarray) -> np.ndarray:
 
 
 def item_table(items: DataFrame, id_column: str) -> DataFrame:
-    """Items with words: id, distinct shingles and band keys."""
+    """Items with words: id, key (of id and text), distinct shingles and band
+    keys; repeated rows once."""
     rows = items.select(F.col(id_column).cast("long").alias("item_id"), text_or_empty(items).alias("text"))
+    rows = rows.withColumn("item_key", F.xxhash64("item_id", "text")).dropDuplicates(["item_id", "item_key"])
 
     def run(batches):
         mult = _multipliers()
         for batch in slices(batches):
             h, offsets = shingles(texts_of(batch))
-            for i, item in enumerate(batch.column("item_id").to_pylist()):
+            ids, item_keys = batch.column("item_id").to_pylist(), batch.column("item_key").to_pylist()
+            for i, item in enumerate(ids):
                 own = np.unique(h[offsets[i]:offsets[i + 1]])
                 if len(own):
                     least = np.concatenate([(own[:, None] * m).min(0) for m in np.split(mult, 16)])[None, :]
                     keys = _band_keys(least, size_class(np.array([len(own)])))[0]
                     yield pa.RecordBatch.from_pydict({"item_id": pa.array([item], pa.int64()),
+                                                      "item_key": pa.array([item_keys[i]], pa.int64()),
                                                       "shingles": [own.view(np.int64)], "keys": [keys.view(np.int64)]})
 
-    return rows.mapInArrow(run, "item_id long, shingles array<long>, keys array<long>")
+    return rows.mapInArrow(run, "item_id long, item_key long, shingles array<long>, keys array<long>")
 
 
 def _window_keys(h: np.ndarray, classes: list[int], keys: Filter, mult: np.ndarray) -> np.ndarray:
@@ -137,7 +142,8 @@ def _window_keys(h: np.ndarray, classes: list[int], keys: Filter, mult: np.ndarr
 def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, item_id: str = "item_id") -> DataFrame:
     """Pairs (doc_id, item_id) of which the document holds ``threshold`` of the
     item's shingles, with n_shared, n_shingles (the item's) and containment.
-    ``doc_key`` tells apart documents with the same id."""
+    ``doc_key`` tells apart documents with the same id; of items with the same
+    id the one that the document holds most of is given."""
     spark = docs.sparkSession
     listed = stored(item_table(items, item_id), "items")
     kinds = listed.select(F.size("shingles").alias("n")).distinct().toPandas()["n"].to_numpy()
@@ -145,8 +151,8 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, i
     if not len(kinds):
         return spark.createDataFrame([], out)
     classes = sorted(set(size_class(kinds).tolist()))
-    by_key = listed.select("item_id", F.explode("keys").alias("key"))
-    by_shingle = listed.select("item_id", F.size("shingles").cast("long").alias("n_shingles"),
+    by_key = listed.select("item_id", "item_key", F.explode("keys").alias("key"))
+    by_shingle = listed.select("item_id", "item_key", F.size("shingles").cast("long").alias("n_shingles"),
                                F.explode("shingles").alias("shingle"))
     key_filter = spark.sparkContext.broadcast(_filter(by_key, "key"))
     shingle_filter = spark.sparkContext.broadcast(_filter(by_shingle, "shingle"))
@@ -175,17 +181,24 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, i
 
     met = stored(rows.mapInArrow(search, "doc_id long, doc_key long, met array<long>, shared array<long>"), "met")
     pairs = (met.select("doc_id", "doc_key", F.explode("met").alias("key")).join(by_key, "key")
-             .select("doc_id", "doc_key", "item_id").distinct())
+             .select("doc_id", "doc_key", "item_id", "item_key").distinct())
     # The exact count: an item's shingles among all those of the document.
     shared = met.select("doc_id", "doc_key", F.explode("shared").alias("shingle")).distinct().join(by_shingle, "shingle")
-    counted = shared.groupBy("doc_id", "doc_key", "item_id").agg(
+    counted = shared.groupBy("doc_id", "doc_key", "item_id", "item_key").agg(
         F.count(F.lit(1)).alias("n_shared"), F.first("n_shingles").alias("n_shingles"))
     same = (counted["doc_id"].eqNullSafe(pairs["doc_id"]) & (counted["doc_key"] == pairs["doc_key"])
-            & counted["item_id"].eqNullSafe(pairs["item_id"]))
+            & counted["item_id"].eqNullSafe(pairs["item_id"]) & (counted["item_key"] == pairs["item_key"]))
     share = F.col("n_shared") / F.col("n_shingles")
-    return (counted.join(pairs, same, "left_semi").withColumn("containment", share)
-            .where(F.col("containment") >= threshold)
-            .select("doc_id", "item_id", "n_shared", "n_shingles", "containment", "doc_key"))
+    held = (counted.join(pairs, same, "left_semi").withColumn("containment", share)
+            .where(F.col("containment") >= threshold))
+    return _fullest(held, "doc_id", "item_id", "doc_key").select(
+        "doc_id", "item_id", "n_shared", "n_shingles", "containment", "doc_key")
+
+
+def _fullest(held: DataFrame, *ids: str) -> DataFrame:
+    """Of the rows equal in ``ids`` the one of the fullest match."""
+    best = F.max(F.struct("containment", "n_shared", "n_shingles")).alias("best")
+    return held.groupBy(*ids).agg(best).select(*ids, "best.*")
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -196,5 +209,6 @@ def clean_documents(docs: DataFrame, items: DataFrame, threshold: float = THRESH
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each document and benchmark item that it holds."""
-    return contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("doc_key")
+    """One row for each pair of document id and benchmark item id that holds."""
+    held = contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return _fullest(held, "doc_id", "item_id").select("doc_id", "item_id", "n_shared", "n_shingles", "containment")

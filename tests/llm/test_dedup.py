@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from arrlens.llm import jaccard_join, line_dedup, suffix_dedup
 from arrlens.llm.components import components
-from arrlens.llm.decontaminate import contained, op1_decontamination
+from arrlens.llm.decontaminate import clean_documents, contained, op1_decontamination
 
 SCHEMA = "doc_id long, text string, node string, n_lines int, _doc int, _bad string, _id int, _key int, `a b` int"
 
@@ -152,6 +152,23 @@ def test_items_are_found_at_any_place_of_long_documents(spark):
     assert contained(_table(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_repeated_and_colliding_item_ids_are_items_of_their_own(spark, scratch):
+    long_, short, other = (" ".join(f"{x}{k}" for k in range(n)) for x, n in (("l", 104), ("s", 14), ("o", 25)))
+    items = [(1, long_)] * 2 + [(2, short), (2, long_), (None, short), (None, other), (None, other), (3, "x " + short)]
+    part = " ".join(long_.split()[:42])  # 38 of the 100 shingles
+    rows = [(10, part), (11, "a " + short + " b"), (12, long_ + " " + short), (13, "c " + other), (13, "d " + short), (14, "e")]
+    best = {}
+    for i, j, n, m in brute.contained([t for _, t in rows], [t for _, t in items]):
+        pair = (str(rows[i][0]), str(items[j][0]))
+        best[pair] = max(best.get(pair, (0, 0, 0)), (n / m, n, m))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
+    _table(spark, rows).write.parquet(f"{scratch}/documents.parquet")
+    got = [(str(r.doc_id), str(r.item_id), (r.containment, r.n_shared, r.n_shingles)) for r in op1_decontamination(spark, scratch).collect()]
+    assert sorted(got) == sorted((*k, v) for k, v in best.items()) and ("11", "2", (1.0, 10, 10)) in got
+    kept = clean_documents(_table(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == [10, 14]
+
+
 # suffix dedup
 
 def _six(frame):
