@@ -60,7 +60,8 @@ class Encoder:
     def _word(self, word: str) -> bytes:
         """Ids of other characters, with the white space before them."""
         m = _PLAIN.match(word)
-        if m and (word.isascii() or (max(m[2]) < "ɐ" and "İ" not in m[2])):
+        # \w has signs that are no letters, such as superscripts and fractions.
+        if m and (word.isascii() or (m[2].isalpha() and max(m[2]) < "ɐ" and "İ" not in m[2])):
             before, letters, after = m.groups()
             if not self.spaced:
                 out = self._piece(letters.lower())

@@ -2,11 +2,12 @@ import zlib
 from array import array
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from arrlens.llm.common import scratch
 from arrlens.llm.packing import CAPACITY, best_content, configurations, op10_best_fit_packing, packed
 from arrlens.llm.token_files import op2_token_files, read_tokens, write_tokens
-from arrlens.llm.tokens import vocabulary_file
+from arrlens.llm.tokens import Encoder, vocabulary_file
 from tokenizers import Tokenizer
 
 ROWS = [(3, "b b", "x"), (1, None, "y"), (None, "zwei", None), (2, "", "x"), (2, "a\n\nb  c", "x"), (3, "b b", "x"),
@@ -38,6 +39,16 @@ def test_files_read_back_equal_whole_encoding(spark):
     assert sorted(got, key=lambda r: r[1]) == want
 
 
+@pytest.mark.parametrize("name,spaced", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_words_with_signs_that_are_no_letters_equal_whole_encoding(name, spaced):
+    odd = [chr(c) for c in range(0x80, 0x250)] + ["Ⅷ", "①", "ﬁ", "中"]
+    words = ["m²", "km²", "x³", "a½", "½", "M²."] + [w for c in odd for w in (c, "a" + c, c + "b", "a" + c + "b,", "A " + c + "e")]
+    ids, at = Encoder(vocabulary_file(name), spaced)(pa.array(words, pa.large_string()))
+    got = [ids[a:b].tolist() for a, b in zip(at.tolist(), at[1:].tolist())]
+    whole = Tokenizer.from_file(vocabulary_file(name)).encode_batch(words, add_special_tokens=False)
+    assert not [w for w, own, want in zip(words, got, whole) if own != want.ids]
+
+
 def test_empty_table_gives_no_tokens_and_no_pieces(spark):
     empty = _docs(spark, [])
     folder = write_tokens(empty, scratch(spark, "t"), vocabulary_file("word_bpe_49k.json"))
