@@ -16,13 +16,14 @@ components. Equal sets are one node from the start.
    stand in the cell of its least node, so a linked pair meets in one cell at
    least, and a family of near copies makes few cells. A cell of many shingles
    is dealt out in chunks by node.
-3. Search. In a cell, every node is first compared with the cell's least node.
-   What doesn't link with it searches the cell's inverted lists for nodes that
-   share T = ceil(0.75 n) shingles or more: the short lists are heap-merged,
-   the long ones probed by binary search (DivideSkip), and the counts are the
-   exact overlaps. Nodes linked with the cell's least node are already in one
-   component, so no pairs among them are made. In a second step such left-over
-   nodes search the other chunks of their cell.
+3. Search. A cell's members search its inverted lists for nodes that share
+   T = ceil(0.75 n) shingles or more: the short lists are heap-merged, the long
+   ones probed by binary search (DivideSkip), and the counts are the exact
+   overlaps. In a second step they search the other chunks of their cell. Links
+   are given as spanning forests. For components alone, nodes linked with the
+   cell's least node search no further. For numbers of links every member
+   searches; a pair belongs to the least of the cells that it meets in, and a
+   cell gives a sum for each member instead of pairs.
 
 Shingles are 64-bit hashes, sets 64-bit hashes of those; step 1 compares 32 bits
 within a bucket, where a false match only lets a set go on.
@@ -68,10 +69,6 @@ def required(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
-def linked(shared: int, n: int, m: int) -> bool:
-    return 100 * shared >= PERCENT * (n + m - shared)
-
-
 def _sets(texts: pa.Array) -> list[np.ndarray]:
     """Sorted distinct shingles of each text."""
     h, offsets = shingles(texts)
@@ -283,10 +280,18 @@ class _Cell:
     """The nodes of one chunk of a cell, with their sizes and shared shingles,
     and the components found so far."""
 
-    def __init__(self, members: list[tuple[int, int, np.ndarray]]):
+    def __init__(self, members: list[tuple[int, int, np.ndarray, int, list[int]]]):
         self.nodes = [m[0] for m in members]
         self.sizes = np.array([m[1] for m in members], np.int64)
         self.sets = [m[2] for m in members]
+        #: Documents of each node, its lesser cells, and its links counted so far.
+        self.copies = np.array([m[3] for m in members], np.int64)
+        self.lower = [m[4] for m in members]
+        self.counts = np.zeros(len(members), np.int64)
+        self.in_lower: dict[int, list[int]] = {}
+        for i, own in enumerate(self.lower):
+            for p in own:
+                self.in_lower.setdefault(p, []).append(i)
         self.label = np.arange(len(members))
         self.links: list[tuple[int, int]] = []
         self.lists: Lists | None = None
@@ -297,92 +302,117 @@ class _Cell:
             self.label[self.label == b] = a
             self.links.append((self.nodes[i], self.nodes[j]))
 
-    def search(self, own: np.ndarray, n: int, apart: int | None = None) -> list[int]:
-        """Members that link with a set of ``n`` shingles, ``own`` the shared ones;
-        of other components than ``apart``'s."""
+    def search(self, own: np.ndarray, n: int, lower: list[int], apart: int | None = None) -> np.ndarray:
+        """Members that link with a set of ``n`` shingles, ``own`` the shared ones,
+        and meet it in no cell of ``lower``; of other components than ``apart``'s."""
         if self.lists is None:
             self.lists = Lists(self.sets)
         allowed = (100 * self.sizes >= PERCENT * n) & (100 * n >= PERCENT * self.sizes)
+        for p in lower:
+            allowed[self.in_lower.get(p, [])] = False
         if apart is not None:
             allowed &= self.label != self.label[apart]
-        ids, counts = t_occurrence(self.lists, self.lists.of(own), required(n), allowed)
-        return [i for i, shared in zip(ids.tolist(), counts.tolist()) if linked(shared, n, int(self.sizes[i]))]
-
-    def link_all(self, first: int | None) -> list[int]:
-        """Link all members; returns those not linked with member ``first``."""
-        rest = list(range(len(self.nodes)))
-        if first is not None:
-            near, n = self.sets[first], len(self.sets[first])
-            rest = []
-            for i, own in enumerate(self.sets):
-                if i == first:
-                    continue
-                shared = int((near[np.minimum(np.searchsorted(near, own), n - 1)] == own).sum())
-                if linked(shared, int(self.sizes[first]), int(self.sizes[i])):
-                    self.join(first, i)
-                else:
-                    rest.append(i)
-        if rest and (len(self.nodes) > 2 or first is None):
-            self.lists = Lists(self.sets)
-            for i in rest:
-                n = int(self.sizes[i])
-                if self.lists.shared[i] >= required(n):  # else its lists can't give that many
-                    for j in self.search(self.sets[i], n, apart=i):
-                        self.join(i, j)
+        ids, shared = t_occurrence(self.lists, self.lists.of(own), required(n), allowed)
+        return ids[100 * shared >= PERCENT * (n + self.sizes[ids] - shared)]
+
+    def link_all(self, first: int, count: bool) -> list[int]:
+        """Link all members, and count their links or not; returns those that
+        must search the other chunks."""
+        self.lists = Lists(self.sets)
+        rest = []
+        for i in [first, *(i for i in range(len(self.nodes)) if i != first)]:
+            if not count and i != first and self.label[i] == self.label[first] and i in near:
+                continue
+            if i != first:
+                rest.append(i)
+            n, found = int(self.sizes[i]), np.empty(0, np.int64)
+            if self.lists.shared[i] >= required(n):  # else its lists can't give that many
+                found = self.search(self.sets[i], n, self.lower[i], None if count else i)
+                found = found[found != i]
+            if i == first:
+                near = set(found.tolist())
+            self.counts[i] += self.copies[found].sum()
+            for j in found[self.label[found] != self.label[i]].tolist():
+                self.join(i, j)
         return rest
 
+    def ask(self, row: dict, own: np.ndarray, lower: list[int], first: int | None) -> tuple[list[tuple[int, int]], int]:
+        """Links of a node of another chunk, one with each component found so far,
+        and the number of its links."""
+        found = self.search(own, row["n_shingles"], lower)
+        found = found[found != first]  # the least node stands in every chunk
+        self.counts[found] += row["copies"]
+        label, at = np.unique(self.label[found], return_index=True)
+        self.label[np.isin(self.label, label[1:])] = label[0] if len(label) else 0
+        return [(row["node"], self.nodes[j]) for j in found[at].tolist()], int(self.copies[found].sum())
 
-CELL = "pivot long, chunk int, chunks int, asks boolean, node long, n_shingles long, tokens binary"
 
+CELL = "pivot long, chunk int, chunks int, asks boolean, node long, n_shingles long, tokens binary, copies long, pivots array<long>"
+FOUND = "a long, b long, pivot long, chunk int, chunks int, n long"
 
-def _link_cells(members: DataFrame) -> DataFrame:
-    """Links (a, b) of each (pivot, chunk), whose rows come together; and, with
-    a null b, what must still search the other chunks of its cell: (a, pivot,
-    chunk, chunks). Rows that only ask come last and aren't indexed."""
+
+def _link_cells(members: DataFrame, count: bool) -> DataFrame:
+    """Links (a, b) of each (pivot, chunk), whose rows come together; with a
+    null b, what must still search the other chunks of its cell (a, pivot,
+    chunk, chunks), and numbers of links (a, n). Rows that only ask come last
+    and aren't indexed."""
     def run(batches):
-        key, held, asked, cell = None, [], None, None
+        key, held, cell = None, [], None
 
         def settle():
-            own = _Cell(held)
-            rest = own.link_all(own.nodes.index(key[0]) if key[0] in own.nodes else None)
-            left = [(own.nodes[i], None, *key) for i in rest] if key[2] > 1 and not asked else []
-            return own, [(a, b, None, None, None) for a, b in own.links] + left
+            """What a chunk gives when all its rows are known."""
+            own, out = cell, []
+            if own is None:
+                own = _Cell(held)
+                rest = own.link_all(own.nodes.index(key[0]), count)
+                out = [(a, b, None, None, None, None) for a, b in own.links]
+                if key[2] > 1:
+                    out += [(own.nodes[i], None, *key, None) for i in rest]
+            return out + [(own.nodes[i], None, None, None, None, int(own.counts[i])) for i in np.flatnonzero(own.counts)]
 
         for batch in batches:
             out = []
             for r in batch.to_pylist():
                 at = (r["pivot"], r["chunk"], r["chunks"])
                 if at != key:
-                    if key is not None and cell is None:
-                        out += settle()[1]
-                    key, held, cell, asked = at, [], None, False
+                    if key is not None:
+                        out += settle()
+                    key, held, cell = at, [], None
                 tokens = np.frombuffer(r["tokens"], np.uint64)
+                lower = [p for p in r["pivots"] if p < r["pivot"]]
                 if r["asks"]:
                     if cell is None:
-                        asked, cell = True, _Cell(held)
+                        cell = _Cell(held)
+                        first = cell.nodes.index(key[0]) if count and held else None
                     if held:
-                        out += [(r["node"], cell.nodes[j], None, None, None) for j in cell.search(tokens, r["n_shingles"])]
+                        pairs, n = cell.ask(r, tokens, lower, first)
+                        out += [(a, b, None, None, None, None) for a, b in pairs]
+                        if n:
+                            out.append((r["node"], None, None, None, None, n))
                 else:
-                    held.append((r["node"], r["n_shingles"], tokens))
+                    held.append((r["node"], r["n_shingles"], tokens, r["copies"], lower))
             if out:
                 yield _link_rows(out)
-        if key is not None and cell is None:
-            yield _link_rows(settle()[1])
+        if key is not None:
+            yield _link_rows(settle())
 
     dealt = members.repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", "asks", "node")
-    return dealt.mapInArrow(run, "a long, b long, pivot long, chunk int, chunks int")
+    return dealt.mapInArrow(run, FOUND)
 
 
 def _link_rows(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[]] * 5
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)],
-                                      names=["a", "b", "pivot", "chunk", "chunks"])
+    names = [f.split()[0] for f in FOUND.split(", ")]
+    columns = list(zip(*rows)) if rows else [[]] * len(names)
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
 
 
-def links(sets: DataFrame, buckets: int, chunk: int = CHUNK) -> DataFrame:
+def links(sets: DataFrame, buckets: int, chunk: int = CHUNK, copies: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) between the nodes of the stored ``sets`` (node, n_shingles,
-    tokens); enough of them to give the components. ``sets`` is used up."""
+    tokens), enough of them to give the components; and, from the documents of
+    each node in ``copies`` (node, copies), the number of documents of other
+    nodes that a node links with (node, near). ``sets`` is used up."""
+    count = copies is not None
     for _ in range(ROUNDS):
         before, sets = sets, _still_shared(sets, buckets)
         discard(before)
@@ -396,25 +426,34 @@ def links(sets: DataFrame, buckets: int, chunk: int = CHUNK) -> DataFrame:
         F.col("pivot") == F.col("node"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))))
     placed = stored(placed, "placed")
     columns = [f.split()[0] for f in CELL.split(", ")]
-    members = placed.join(sets, "node").withColumn("asks", F.lit(False)).select(*columns)
-    found = stored(_link_cells(members), "found")
-    # Chunks of one cell: what is left over asks the others.
-    asking = found.where("b is null").select(
+    if count:
+        own_cells = cells.groupBy("node").agg(F.collect_set("pivot").alias("pivots"))
+        facts = stored(own_cells.join(copies, "node"), "facts")
+        held = sets.join(facts, "node")
+    else:
+        held = sets.withColumn("copies", F.lit(0).cast("long")).withColumn("pivots", F.array().cast("array<long>"))
+    members = placed.join(held, "node").withColumn("asks", F.lit(False)).select(*columns)
+    found = stored(_link_cells(members, count), "found")
+    # Chunks of one cell: what is left over asks the others; to count, each pair of chunks meets once.
+    asking = found.where("pivot is not null").select(
         "pivot", "chunks", F.col("a").alias("node"), F.col("chunk").alias("own"),
-        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")).where("chunk <> own")
-    asking = asking.join(sets, "node").withColumn("asks", F.lit(True))
+        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")).where("chunk > own" if count else "chunk <> own")
+    asking = asking.join(held, "node").withColumn("asks", F.lit(True))
     asking = stored(asking.select(*columns), "asking")
     asked = members.join(asking.select("pivot", "chunk").distinct(), ["pivot", "chunk"], "left_semi")
     split = asked.select(*columns).union(asking)
-    more = stored(_link_cells(split).where("b is not null"), "more")
-    discard(cells, placed, sets, asking)
-    return found.where("b is not null").select("a", "b").union(more.select("a", "b"))
+    more = stored(_link_cells(split, count), "more")
+    discard(cells, placed, sets, asking, *([facts] if count else []))
+    both = found.union(more)
+    near = both.where("n is not null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("near"))
+    return both.where("b is not null").select("a", "b"), near
 
 
-def jaccard_components(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def jaccard_components(docs: DataFrame, chunk: int = CHUNK, count: bool = False) -> DataFrame:
     """doc_id, ``text_key``, ``component`` (a node; null for empty sets),
     n_shingles and component_id (the component's least doc_id) of every row of
-    ``docs``."""
+    ``docs``; with ``count`` also n_links, the number of other rows that it links
+    with, rows of an equal set included."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
@@ -423,14 +462,21 @@ def jaccard_components(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     meta = stored(both.drop("tokens"), "meta")
     sets = stored(both.where("tokens is not null").select("node", "n_shingles", "tokens").dropDuplicates(["node"]), "nodes")
     discard(both)
-    found = components(links(sets, buckets, chunk))
+    copies = meta.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("copies"))
+    pairs, near = links(sets, buckets, chunk, copies if count else None)
+    found = components(pairs)
     least = meta.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     labelled = least.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     of_node = labelled.join(names, "component").select("node", "component", "component_id")
+    numbers = []
+    if count:
+        of_node = of_node.join(copies, "node").join(near, "node", "left").withColumn(
+            "n_links", F.col("copies") - 1 + F.coalesce("near", F.lit(0)))
+        numbers = [F.coalesce("n_links", F.lit(0)).alias("n_links")]
     out = meta.join(of_node, "node", "left")
     alone = F.col("node").isNull()
-    return out.select("doc_id", "text_key", "component", "n_shingles",
+    return out.select("doc_id", "text_key", "component", "n_shingles", *numbers,
                       F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
@@ -456,6 +502,12 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op4_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join with the number of links of each document."""
+    found = jaccard_components(table(spark, sf_dir, "documents"), count=True)
+    return found.select("doc_id", "n_shingles", "n_links", "component_id")
+
+
 ORACLE_SQL = f"""
 WITH RECURSIVE w AS (
   SELECT row_number() OVER () AS rid, doc_id,

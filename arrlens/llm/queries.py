@@ -12,6 +12,7 @@ QUERIES = {
     "op2_token_files": token_files.op2_token_files,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_jaccard_join": jaccard_join.op4_jaccard_join,
+    "op4_jaccard_links": jaccard_join.op4_jaccard_links,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_quality_classifier": quality_classifier.op7_quality_classifier,

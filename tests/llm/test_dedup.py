@@ -90,6 +90,16 @@ def test_jaccard_families_in_one_chunk_and_in_many(spark, chunk):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == sorted(want)
 
 
+@pytest.mark.parametrize("chunk", [10 ** 6, 400])
+def test_jaccard_counts_every_link_of_a_document_once(spark, chunk):
+    texts = [t for k in range(3) for t in _family(k, 25, 60, 1 + k)] + _family(0, 25, 60, 1)[:4] + [t for _, t in ODD]
+    sets = [brute.grams(t) for t in texts]
+    want = [sum(1 for j, y in enumerate(sets) if j != i and x and y and 100 * len(x & y) >= 75 * len(x | y))
+            for i, x in enumerate(sets)]
+    got = jaccard_join.jaccard_components(_table(spark, list(enumerate(texts))), chunk, count=True).collect()
+    assert {r.doc_id: r.n_links for r in got} == dict(enumerate(want)) and max(want) > 10
+
+
 def test_one_of_each_keeps_one_row_of_a_component_and_all_without_words(spark):
     got = jaccard_join.one_of_each(_table(spark, (ODD + [(3, "A b c d e f")]) * 2)).collect()
     want = [(None, None), (None, ""), (5, " \n\t "), (6, None), (7, "one two"), (None, "one two three four five"),
