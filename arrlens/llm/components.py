@@ -28,11 +28,12 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     edges are reduced before they are exchanged, and joins split them."""
     edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
                    "links")
-    for _ in range(rounds):
-        # All edges lead to a node that leads nowhere: the stars are complete.
-        if edges.join(edges.select(F.col("a").alias("b")).distinct(), "b", "left_semi").isEmpty() and \
-                edges.groupBy("a").count().where("count > 1").isEmpty():
-            break
+    # Until all edges lead to a node that leads nowhere: the stars are complete.
+    while not (edges.join(edges.select(F.col("a").alias("b")).distinct(), "b", "left_semi").isEmpty() and
+               edges.groupBy("a").count().where("count > 1").isEmpty()):
+        if rounds == 0:
+            raise RuntimeError("the components' rounds ran out before the stars were complete")
+        rounds -= 1
         new = stored(_small_star(_large_star(edges)), "links")
         discard(edges)
         edges = new

@@ -131,6 +131,11 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
 
 
+def test_components_raise_when_the_rounds_run_out(spark):
+    with pytest.raises(RuntimeError):
+        components(spark.createDataFrame([(i + 1, i) for i in range(40)], "a long, b long"), rounds=1)
+
+
 # decontamination
 
 def test_decontamination_query_equals_brute_force(spark, small_dir):
