@@ -9,7 +9,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 from arrlens.functions.months import fiscal_year, month_add, month_diff, month_spine
 from arrlens.functions.measures import scaled

@@ -268,7 +268,7 @@ def test_rule_chosen_defects_trip_every_check(spark):
     """The registered dirty variant: defects chosen by value over the whole
     order-derived model make all nine checks non-zero, and the gate raises."""
     import __spark_entry__ as E
-    from conftest import SF_MID
+    from paths import SF_MID
     from arrlens.plans.registry import release_shared
     try:
         df = E.queries()["quality_report_dirty"](spark, SF_MID)

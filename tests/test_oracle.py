@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 import __spark_entry__ as E
 from arrlens.operators.manifest import same_fingerprints, table_fingerprint

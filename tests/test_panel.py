@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import SF_MID, SF_SMALL
+from paths import SF_MID, SF_SMALL
 
 from arrlens.operators.panel import (churn_facts, contract_months, customer_lifecycle,
                                      expand_panel, lifecycle_segments)

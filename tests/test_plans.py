@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 from arrlens.plans.registry import registry
 
