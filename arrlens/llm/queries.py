@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import (chat_format, decontaminate, jaccard_join, line_dedup, packing, quality_classifier, quality_rules, sharding,
-               suffix_dedup, token_files)
+from . import (chat_format, decontaminate, jaccard_join, line_dedup, mixing, packing, quality_classifier, quality_rules,
+               sharding, suffix_dedup, token_alignment, token_files, vector_codes)
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -19,6 +19,9 @@ QUERIES = {
     "op8_chat_formatting": chat_format.op8_chat_formatting,
     "op9_sharding": sharding.op9_sharding,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_token_alignment": token_alignment.op12_token_alignment,
+    "op13_mixing": mixing.op13_mixing,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -26,4 +29,5 @@ ORACLE_SQL = {
     "op4_jaccard_join": jaccard_join.ORACLE_SQL,
     "op5_line_dedup": line_dedup.ORACLE_SQL,
     "op8_chat_formatting": chat_format.ORACLE_SQL,
+    "op11_vector_codes": vector_codes.ORACLE_SQL,
 }
