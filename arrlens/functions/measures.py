@@ -66,7 +66,7 @@ def scaled(x: Column | str, divisor: int = CRORE, dp: int = 2) -> Column:
     if unit * 10 ** dp != divisor or unit < 2:
         raise ValueError("divisor must be a multiple of 10^(dp+1)")
     v = F.abs(c(x).cast("long")) + F.lit(unit // 2)
-    k = ((v - v % F.lit(unit)) / F.lit(unit)).cast("long")
+    k = F.call_function("div", v, F.lit(unit))
     return F.signum(c(x)) * k / F.lit(float(10 ** dp))
 
 

@@ -13,10 +13,10 @@ Scale notes shared by all of them:
 * Global windows (``lag`` over months/years, mix share ``sum() over ()``) run
   only on already-aggregated rows: at most one row per month, year or
   dimension value.
-* ``unique_keys=True`` may be passed once the quality gate has proven that
-  (revenue_month, customer_id) is unique: per-month distinct customer counts
-  then become plain row counts and the distinct shuffle disappears. The
-  default is the exact distinct count.
+* Distinct customers are counted exactly, by bitmaps of customer numbers where
+  the model has them. ``unique_keys=True`` may be passed once the quality gate
+  has proven that (revenue_month, customer_id) is unique: per-month distinct
+  counts then become plain row counts.
 """
 
 from __future__ import annotations
@@ -68,43 +68,37 @@ def _order_global() -> Window:
 # --------------------------------------------------------------------------
 # Q02 executive KPIs
 # --------------------------------------------------------------------------
-def executive_kpis(model: Model, p: Period, unique_keys: bool = False) -> DataFrame:
+def executive_kpis(model: Model, p: Period, unique_keys: bool = False,
+                   months: DataFrame | None = None) -> DataFrame:
     """One row: period revenue, ending base, new business, growth events,
     NRR/GRR of the year-start cohort and two-year MRR growth.
 
-    One conditional aggregate over the relevant months replaces the seven
-    separate scans of the SQL form; the retention cohort is a per-customer
-    pivot of two months (one shuffle of two months of rows)."""
-    lo = min(p.start, p.two_years_back, p.prior_year_end, p.year_start)
-    hi = max(p.end, p.year_end)
-    rv = model.revenue.where(_between(F.col("revenue_month"), lo, hi))
-    end = at_end(p)
-    yr = in_year(p)
-    if unique_keys:
-        ending_active = F.count(F.when(end, F.lit(1)))
-    else:
-        ending_active = F.count_distinct(F.when(end, F.col("customer_id")))
-    base = rv.agg(
+    All sums are read off the month facts (one row a month); only the retention
+    cohort reads the fact, two months of it in one shuffle by customer."""
+    facts = month_facts(model, unique_keys) if months is None else months
+    end, yr = at_end(p), in_year(p)
+
+    def in_the_year(kind: str) -> Column:
+        return (F.sum(F.when(yr, F.col(f"moved_{kind}"))) * 12).cast("long")
+    base = facts.agg(
         # SUM over no rows is null: no otherwise() here.
         F.sum(F.when(in_window(p), F.col("recognized_revenue_inr"))).cast("long").alias("total_revenue_inr"),
-        F.sum(F.when(end, F.col("closing_mrr_inr"))).cast("long").alias("ending_mrr_inr"),
-        ending_active.cast("long").alias("ending_active_customers"),
-        F.count(F.when(yr & (F.col("revenue_type") == "New"), F.lit(1))).cast("long").alias("new_customers"),
-        (F.sum(F.when(yr & (F.col("revenue_type") == "New"), F.col("movement_mrr_inr"))) * 12).cast("long").alias("new_arr_inr"),
-        (F.sum(F.when(yr, F.when(F.col("revenue_type") == "Expansion", F.col("movement_mrr_inr")).otherwise(0))) * 12)
-        .cast("long").alias("expansion_arr_inr"),
-        (F.sum(F.when(yr, F.when(F.col("revenue_type") == "Upgrade", F.col("movement_mrr_inr")).otherwise(0))) * 12)
-        .cast("long").alias("upgrade_arr_inr"),
-        (F.sum(F.when(yr, F.when(F.col("revenue_type") == "Reactivation", F.col("movement_mrr_inr")).otherwise(0))) * 12)
-        .cast("long").alias("reactivated_arr_inr"),
-        F.sum(F.when(F.col("revenue_month") == F.lit(p.two_years_back), F.col("closing_mrr_inr"))).cast("long").alias("_two_back_mrr"),
-    )
+        F.sum(F.when(end, F.col("ending_mrr_inr"))).cast("long").alias("ending_mrr_inr"),
+        sum_when(end, "active_customers").alias("_active"),
+        sum_when(yr, "n_New").alias("_new"),
+        (F.sum(F.when(yr & (F.col("n_New") > 0), F.col("moved_New"))) * 12).cast("long").alias("new_arr_inr"),
+        in_the_year("Expansion").alias("expansion_arr_inr"),
+        in_the_year("Upgrade").alias("upgrade_arr_inr"),
+        in_the_year("Reactivation").alias("reactivated_arr_inr"),
+        F.sum(F.when(F.col("revenue_month") == F.lit(p.two_years_back), F.col("ending_mrr_inr"))).cast("long").alias("_two_back_mrr"),
+    ).withColumns({"ending_active_customers": F.coalesce("_active", F.lit(0)), "new_customers": F.coalesce("_new", F.lit(0))}).drop("_active", "_new")
     ret = retention_totals(model, p.prior_year_end, p.year_end)
     one = combine_single_rows(base, ret)
     return one.select(
         "total_revenue_inr", "ending_mrr_inr",
         (F.col("ending_mrr_inr") * 12).alias("ending_arr_inr"),
-        "ending_active_customers", "new_customers", "new_arr_inr", "expansion_arr_inr",
+        F.col("ending_active_customers").cast("long").alias("ending_active_customers"),
+        F.col("new_customers").cast("long").alias("new_customers"), "new_arr_inr", "expansion_arr_inr",
         "upgrade_arr_inr", "reactivated_arr_inr",
         pct("_retained_mrr", "_start_mrr").alias("nrr_pct"),
         pct("_gross_retained_mrr", "_start_mrr").alias("grr_pct"),
@@ -136,19 +130,40 @@ def retention_totals(model: Model, start_month, end_month) -> DataFrame:
 # Q03 monthly revenue and growth
 # --------------------------------------------------------------------------
 def month_facts(model: Model, unique_keys: bool = False) -> DataFrame:
-    """One row for each month of the model: sums, active customers, and rows
-    (``n_<type>``) and movement (``moved_<type>``) of each revenue type. All
-    month-grain results (Q03, Q07, Q10, Q12, month coverage) read this, so a
-    suite reads the revenue table once for them."""
+    """One row for each month of the model: sums, rows, active customers, rows
+    (``n_<type>``) and movement (``moved_<type>``) of each revenue type, and rows
+    with a customer (``customer_rows``) or a wrong ARR (``bad_arr``). All
+    month-grain results (Q02, Q03, Q07, Q10, Q12, month coverage) and the
+    uniqueness checks (D2, C2) read this, so a suite reads the revenue table
+    once for them.
+
+    Active customers are counted exactly. With customer numbers each task sets
+    their bits in bitmaps by (month, 32,768 numbers) and only bitmaps are
+    exchanged; without, distinct (month, customer) pairs are."""
     by_type = [x for t in model.domains.revenue_types for x in (
         count_when(F.col("revenue_type") == t).alias(f"n_{t}"),
         sum_when(F.col("revenue_type") == t, F.col("movement_mrr_inr")).alias(f"moved_{t}"))]
-    return model.revenue.groupBy("revenue_month").agg(
-        F.count(F.lit(1)).alias("revenue_rows"),
-        F.sum("recognized_revenue_inr").cast("long").alias("recognized_revenue_inr"),
-        F.sum("closing_mrr_inr").cast("long").alias("ending_mrr_inr"),
-        F.sum("arr_run_rate_inr").cast("long").alias("ending_arr_inr"),
-        distinct_customers(unique_keys).cast("long").alias("active_customers"), *by_type)
+    sums = [F.count(F.lit(1)).alias("revenue_rows"),
+            F.sum("recognized_revenue_inr").cast("long").alias("recognized_revenue_inr"),
+            F.sum("closing_mrr_inr").cast("long").alias("ending_mrr_inr"),
+            F.sum("arr_run_rate_inr").cast("long").alias("ending_arr_inr"),
+            F.count("customer_id").alias("customer_rows"),
+            F.count_if(F.col("arr_run_rate_inr") != F.col("closing_mrr_inr") * 12).alias("bad_arr"), *by_type]
+    if unique_keys or model.numbered is None:
+        return model.revenue.groupBy("revenue_month").agg(
+            *sums, distinct_customers(unique_keys).cast("long").alias("active_customers"))
+    bits, of_bits = customer_bits(F.col("customer_no"))
+    parts = model.numbered.groupBy("revenue_month", of_bits).agg(*sums, bits)
+    names = [c for c in parts.columns if c not in ("revenue_month", "_bits", "_of_bits")]
+    return parts.groupBy("revenue_month").agg(
+        *[F.sum(c).cast("long").alias(c) for c in names], F.sum(F.bitmap_count("_bits")).cast("long").alias("active_customers"))
+
+
+def customer_bits(number: Column) -> tuple[Column, Column]:
+    """An aggregate that sets the bits of customer numbers (``_bits``; nulls set
+    none), and the group of numbers whose bits stand together (``_of_bits``)."""
+    return (F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("_bits"),
+            F.bitmap_bucket_number(number).alias("_of_bits"))
 
 
 def _months(model: Model, p: Period, unique_keys: bool, months: DataFrame | None) -> DataFrame:
@@ -184,14 +199,18 @@ def monthly_revenue_growth(model: Model, p: Period, unique_keys: bool = False,
 # --------------------------------------------------------------------------
 def account_facts(model: Model, p: Period) -> DataFrame:
     """One row for each (customer, product) with revenue: what the customer- and
-    plan-grain results (Q04, Q05, Q09, Q11) read, so a suite reads the revenue
-    table once for them. ``recognized_revenue_inr`` and ``upgrade_events`` are
+    plan-grain results (Q04, Q05, Q09, Q11) and the checks of revenue's foreign
+    keys (D3, D4, D7, C3) read, so a suite reads the revenue table once for them. ``recognized_revenue_inr`` and ``upgrade_events`` are
     of all time (T11, T12), ``window_*`` of the window."""
     yr, win, end = in_year(p), in_window(p), at_end(p)
 
     def moved(kind: str) -> Column:
         return sum_when(yr & (F.col("revenue_type") == kind), F.col("movement_mrr_inr") * 12)
-    return model.revenue.groupBy("customer_id", "product_id").agg(
+    rows = model.revenue if model.numbered is None else model.numbered
+    number = [] if model.numbered is None else [F.min("customer_no").alias("customer_no")]
+    return rows.groupBy("customer_id", "product_id").agg(
+        F.count(F.lit(1)).alias("revenue_rows"), *number,
+        count_when(F.col("revenue_type") == "Reactivation").alias("reactivations"),
         F.sum("recognized_revenue_inr").cast("long").alias("recognized_revenue_inr"),
         count_when(win).alias("window_rows"),
         F.sum(F.when(win, F.col("recognized_revenue_inr"))).cast("long").alias("window_revenue_inr"),
@@ -261,20 +280,23 @@ def channel_performance(model: Model, p: Period, accounts: DataFrame | None = No
 def plan_segment_performance(model: Model, p: Period, accounts: DataFrame | None = None) -> DataFrame:
     """Tier of the plan *on each revenue row* (moves on upgrade, T13)."""
     pre = (account_facts(model, p) if accounts is None else accounts).where(F.col("window_rows") > 0)
-    # No hint on products: Catalyst broadcasts it only if its size estimate is
-    # under spark.sql.autoBroadcastJoinThreshold (AQE re-checks at runtime).
     prods = model.products.select("product_id", "plan_tier")
-    j = (pre.join(prods, "product_id")
-         .join(model.customers.select("customer_id", "company_segment"), "customer_id"))
-    g = j.groupBy("plan_tier", "company_segment").agg(
-        F.count_distinct(F.when(F.col("active_at_end"), F.col("customer_id")))
-        .cast("long").alias("active_customers_at_end"),
-        F.sum("window_revenue_inr").cast("long").alias("recognized_revenue_inr"),
-        F.sum("ending_arr_inr").cast("long").alias("ending_arr_inr"),
-        F.sum("new_arr_inr").cast("long").alias("new_arr_inr"),
-        F.sum("expansion_arr_inr").cast("long").alias("expansion_arr_inr"),
-        F.sum("upgrade_arr_inr").cast("long").alias("upgrade_arr_inr"),
-    )
+    j = pre.join(model.customers.select("customer_id", "company_segment"), "customer_id")
+    names = ["recognized_revenue_inr", "ending_arr_inr", "new_arr_inr", "expansion_arr_inr", "upgrade_arr_inr"]
+    j = j.withColumn("recognized_revenue_inr", F.col("window_revenue_inr"))
+    if "customer_no" in j.columns:
+        # Exchange bitmaps of the active customers, as month_facts does; the plans'
+        # few rows meet products, and plans of a tier merge their bitmaps.
+        bits, of_bits = customer_bits(F.when(F.col("active_at_end"), F.col("customer_no")))
+        by_plan = j.groupBy("product_id", "company_segment", of_bits).agg(*[F.sum(n).alias(n) for n in names], bits)
+        parts = by_plan.join(prods, "product_id").groupBy("plan_tier", "company_segment", "_of_bits").agg(
+            *[F.sum(n).alias(n) for n in names], F.bitmap_or_agg("_bits").alias("_bits"))
+        active = F.sum(F.bitmap_count("_bits"))
+    else:
+        parts = j.join(prods, "product_id")
+        active = F.count_distinct(F.when(F.col("active_at_end"), F.col("customer_id")))
+    g = parts.groupBy("plan_tier", "company_segment").agg(
+        active.cast("long").alias("active_customers_at_end"), *[F.sum(n).cast("long").alias(n) for n in names])
     total = F.sum("ending_arr_inr").over(_order_global())
     return g.select("*", pct("ending_arr_inr", total).alias("ending_arr_mix_pct")) \
         .orderBy(F.desc("ending_arr_inr"), "plan_tier", "company_segment")
@@ -415,10 +437,11 @@ def segment_churn_retention(model: Model, p: Period, accounts: DataFrame | None
     prods = model.products.select(F.col("product_id").alias("initial_product_id"),
                                   F.col("plan_tier").alias("starting_plan_tier"))
     cust = model.customers.select("customer_id", "company_segment", "initial_product_id",
-                                  "lifecycle_status").join(prods, "initial_product_id")
+                                  "lifecycle_status")
     ending_arr = customer_rollup(model, p, accounts).select("customer_id", "ending_arr_inr")
+    # The joins by customer come first: where the tables lie by customer, they need no exchange.
     j = (cust.join(model.churn.select("customer_id", "mrr_lost_inr"), "customer_id", "left")
-         .join(ending_arr, "customer_id", "left"))
+         .join(ending_arr, "customer_id", "left").join(prods, "initial_product_id"))
     ending = F.coalesce(F.col("ending_arr_inr"), F.lit(0))
     lost = F.coalesce(F.col("mrr_lost_inr") * 12, F.lit(0))
     g = j.groupBy("company_segment", "starting_plan_tier").agg(

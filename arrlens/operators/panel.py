@@ -69,8 +69,9 @@ def contract_months(events: DataFrame, period: Period) -> DataFrame:
 
 
 def lifecycle_segments(cm: DataFrame, period: Period, tier_threshold: int,
-                       term_months: int = DEFAULT_TERM_MONTHS) -> DataFrame:
-    """Classify each contract month and give the covered segment it opens."""
+                       term_months: int = DEFAULT_TERM_MONTHS, first_number: int = 0) -> DataFrame:
+    """Classify each contract month and give the covered segment it opens.
+    Customers are numbered from ``first_number`` on (``customer_no``)."""
     w = Window.partitionBy("customer_key").orderBy("ym")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -92,8 +93,12 @@ def lifecycle_segments(cm: DataFrame, period: Period, tier_threshold: int,
                   .otherwise(F.lit("Recurring")))
     seg_end = F.least(F.col("ym") + (term_months - 1), F.col("next_ym") - 1,
                       F.lit(period.last_index).cast("long"))
-    return seg.select(
-        "*",
+    # A customer's number is that of its first row in the window's order: no
+    # exchange or sort beside the window's own.
+    rows = seg.select("*", F.monotonically_increasing_id().alias("_row"))
+    return rows.select(
+        *seg.columns,
+        (F.min("_row").over(Window.partitionBy("customer_key")) + F.lit(first_number)).alias("customer_no"),
         tier.alias("tier"),
         F.coalesce(after_gap, F.lit(False)).alias("after_gap"),
         first_type.alias("first_type"),
@@ -101,8 +106,9 @@ def lifecycle_segments(cm: DataFrame, period: Period, tier_threshold: int,
     )
 
 
-def expand_panel(segments: DataFrame, period: Period) -> DataFrame:
-    """Customer-month revenue rows of the model's months."""
+def expand_panel(segments: DataFrame, period: Period, numbered: bool = False) -> DataFrame:
+    """Customer-month revenue rows of the model's months (P3-P8, P11); with the
+    customer's number if wanted."""
     lo = F.greatest(F.col("ym"), F.lit(period.first_index).cast("long"))
     months = (segments
               .where(F.col("seg_end") >= lo)
@@ -125,6 +131,7 @@ def expand_panel(segments: DataFrame, period: Period) -> DataFrame:
         F.col("closing").cast("long").alias("closing_mrr_inr"),
         F.col("closing").cast("long").alias("recognized_revenue_inr"),
         (F.col("closing") * 12).cast("long").alias("arr_run_rate_inr"),
+        *["customer_no"] * numbered,
     )
 
 

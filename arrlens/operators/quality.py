@@ -1,20 +1,24 @@
 """Data-quality (D1-D11) and declared-constraint (C1-C7) checks.
 
 Both reports have the shape ``(check_name string, issue_count long)``; a clean
-model has only zeros. Checks on the same table are folded into one aggregate;
-anti joins pre-aggregate the child side by key first, so the shuffle carries
-one row per distinct key instead of one per fact row.
+model has only zeros. Rules of single rows are one scan a table (``rules``).
+Keys are reduced once: revenue's (month, customer) uniqueness is read off the
+month facts and its foreign keys off the (customer, product) facts, which a
+suite builds for its results anyway, so no check of a suite scans revenue for
+itself but its primary key; anti joins meet one row per distinct key.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import combine_single_rows
-from ..schema import FOREIGN_KEYS, PRIMARY_KEYS, REQUIRED_COLUMNS, Model
+from ..schema import FOREIGN_KEYS, PRIMARY_KEYS, Model
+from .kpis import month_facts
+from .rules import declared_rules, rule_report
 
 
 class QualityGateError(RuntimeError):
@@ -67,29 +71,36 @@ QUALITY_CHECKS = ["duplicate_customer_id", "duplicate_customer_month", "orphan_r
                   "reactivated_customer_in_churn", "churn_status_mismatch", "smb_records"]
 
 
-def quality_report(model: Model) -> DataFrame:
+def revenue_keys(model: Model, accounts: DataFrame | None) -> DataFrame:
+    """Revenue reduced to (customer_id, product_id, reactivations, _rows): the
+    (customer, product) facts, or what they would be."""
+    if accounts is None:
+        accounts = model.revenue.groupBy("customer_id", "product_id").agg(
+            F.count(F.lit(1)).alias("revenue_rows"), F.count_if(F.col("revenue_type") == "Reactivation").alias("reactivations"))
+    return accounts.select("customer_id", "product_id", "reactivations", F.col("revenue_rows").alias("_rows"))
+
+
+def quality_report(model: Model, months: DataFrame | None = None, accounts: DataFrame | None = None) -> DataFrame:
     """The nine zero-tolerance checks.
 
-    Every check is a one-row aggregate; they are merged into one row and
-    stacked once in report order. Checks on the same table share one
-    aggregate (D1 with D9, D2 with D6), which only holds if both of its
-    columns stay in use: stacking them separately would let column pruning
-    split the aggregate into two scans."""
+    ``months`` and ``accounts`` are the suite's month and (customer, product)
+    facts; given them, revenue is not read at all. Every check is a one-row
+    aggregate; they are merged into one row and stacked once in report order."""
     cu, rv, ch, pr = model.customers, model.revenue, model.churn, model.products
     d = model.domains
+    facts = month_facts(model) if months is None else months
     cust_row = cu.agg(
         (F.count(F.lit(1)) - F.count_distinct("customer_id")).alias("duplicate_customer_id"),
         F.count_if(F.col("company_segment") == F.lit(d.forbidden_segment)).alias("smb_records"))
-    rev_row = rv.agg(
-        (F.count(F.lit(1)) - F.count_distinct("revenue_month", "customer_id"))
-        .alias("duplicate_customer_month"),
-        F.count_if(F.col("arr_run_rate_inr") != F.col("closing_mrr_inr") * 12)
-        .alias("invalid_arr_math"))
-    # Both revenue orphan checks read one (customer, product) reduction.
-    rv_keys = key_rows(rv, "customer_id", "product_id")
+    # Rows beyond the first of a (month, customer), and rows without one of both.
+    pairs = F.when(F.col("revenue_month").isNotNull(), F.col("active_customers")).otherwise(F.lit(0))
+    rev_row = facts.agg(
+        F.coalesce(F.sum("revenue_rows") - F.sum(pairs), F.lit(0)).alias("duplicate_customer_month"),
+        F.coalesce(F.sum("bad_arr"), F.lit(0)).alias("invalid_arr_math"))
+    rv_keys = revenue_keys(model, accounts)
     # D7 counts join rows (not customers): sum of reactivation rows per churned customer.
-    react = (rv.where(F.col("revenue_type") == "Reactivation")
-             .groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n")))
+    react = (rv_keys.where("reactivations > 0")
+             .groupBy("customer_id").agg(F.sum("reactivations").alias("_n")))
     d7 = ch.select("customer_id").join(react, "customer_id").agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("reactivated_customer_in_churn"))
     not_churned = cu.where(F.col("lifecycle_status") != "Churned").select("customer_id")
@@ -164,56 +175,27 @@ def assert_quality(report: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Declared constraints
 # ---------------------------------------------------------------------------
-NUMERIC_DOMAINS = [
-    # (table, column, rule) rule: 'gt0' or 'ge0'
-    ("products", "base_monthly_price_inr", "gt0"),
-    ("revenue", "opening_mrr_inr", "ge0"),
-    ("revenue", "movement_mrr_inr", "ge0"),
-    ("revenue", "closing_mrr_inr", "gt0"),
-    ("revenue", "recognized_revenue_inr", "gt0"),
-    ("revenue", "arr_run_rate_inr", "gt0"),
-    ("churn", "mrr_lost_inr", "gt0"),
-    ("churn", "tenure_months", "gt0"),
-]
-
-
-def _enum_checks(model: Model) -> list[tuple[str, str, str, tuple]]:
-    d = model.domains
-    return [
-        ("enum_revenue_type", "revenue", "revenue_type", d.revenue_types),
-        ("enum_plan_tier", "products", "plan_tier", d.plan_tiers),
-        ("enum_company_segment", "customers", "company_segment", d.segments),
-        ("enum_lifecycle_status", "customers", "lifecycle_status", d.lifecycle_statuses),
-    ]
-
-
-def constraint_report(model: Model) -> DataFrame:
+def constraint_report(model: Model, months: DataFrame | None = None, accounts: DataFrame | None = None) -> DataFrame:
     """Keys, foreign keys, not-null, enum and numeric domains, ARR and
-    waterfall arithmetic. Checks of single rows are one aggregate per table
-    without a distinct (nothing but counts is exchanged); each key is counted
-    apart, so no row is copied for another key; FKs are anti joins."""
+    waterfall arithmetic. Row rules are one scan per table; each table's keys
+    are reduced once, and its unique and foreign keys read the reduction.
+    ``months`` and ``accounts`` are the suite's facts, which hold revenue's."""
     tables = model.tables()
-    per_table: dict[str, list[tuple[str, Column]]] = {t: [] for t in tables}
-    unique = [(f"pk_unique_{t}", t, [pk]) for t, pk in PRIMARY_KEYS.items()]
-    unique += [("unique_revenue_month_customer", "revenue", ["revenue_month", "customer_id"]),
-               ("unique_churn_customer", "churn", ["customer_id"])]
-    for t, cols in REQUIRED_COLUMNS.items():
-        nulls = reduce(lambda a, b: a + b, [F.count_if(F.col(c).isNull()) for c in cols])
-        per_table[t].append((f"not_null_{t}", nulls))
-    for name, t, col, values in _enum_checks(model):
-        per_table[t].append((name, F.count_if(~F.col(col).isin(*values))))
-    for t, col, rule in NUMERIC_DOMAINS:
-        cond = F.col(col) <= 0 if rule == "gt0" else F.col(col) < 0
-        per_table[t].append((f"domain_{t}_{col}", F.count_if(cond)))
-    per_table["revenue"].append(("arr_math", F.count_if(
-        F.col("arr_run_rate_inr") != F.col("closing_mrr_inr") * 12)))
-    per_table["revenue"].append(("waterfall_math", F.count_if(
-        F.col("opening_mrr_inr") + F.col("movement_mrr_inr") != F.col("closing_mrr_inr"))))
-    parts = [_surplus(name, tables[t], cols) for name, t, cols in unique]
-    for t, checks in per_table.items():
-        row = tables[t].agg(*[c.cast("long").alias(n) for n, c in checks])
-        parts.append(_stack(row, [n for n, _ in checks]))
-    parts.extend(_fk_orphans(tables))
+    facts = month_facts(model) if months is None else months
+    held = F.col("revenue_month").isNotNull()
+    pairs = facts.agg(F.coalesce(F.sum(F.when(held, F.col("customer_rows") - F.col("active_customers"))), F.lit(0))
+                      .alias("unique_revenue_month_customer"))
+    parts = [_surplus(f"pk_unique_{t}", tables[t], [pk]) for t, pk in PRIMARY_KEYS.items()]
+    parts.append(_stack(pairs, ["unique_revenue_month_customer"]))
+    reduced = {"customers": key_rows(tables["customers"], "initial_product_id", "current_product_id"),
+               "churn": key_rows(tables["churn"], "customer_id", "product_id"), "revenue": revenue_keys(model, accounts)}
+    once = reduced["churn"].where("customer_id is not null").groupBy("customer_id").agg(F.sum("_rows").alias("_rows"))
+    parts.append(_stack(once.agg(F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias("unique_churn_customer")),
+                        ["unique_churn_customer"]))
+    parts.append(rule_report(model, declared_rules(model.domains)).select("check_name", "issue_count"))
+    # A null foreign key is not a violation.
+    parts += [_orphans(f"fk_{child}_{col}", reduced[child], col, tables[parent], pcol, skip_null=True)
+              for child, col, parent, pcol in FOREIGN_KEYS]
     return _union(parts)
 
 
@@ -222,20 +204,3 @@ def _surplus(name: str, table: DataFrame, cols: list[str]) -> DataFrame:
     keys = table.select(*cols).dropna()
     repeats = key_rows(keys, *cols).where(F.col("_rows") > 1)
     return _stack(repeats.agg(F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias(name)), [name])
-
-
-def _fk_orphans(tables: dict[str, DataFrame]) -> list[DataFrame]:
-    """One ``fk_<child>_<col>`` row per foreign key. Each child table is
-    first reduced once by all of its FK columns to (keys, rows); every FK
-    check of that table reads this reduction (the same plan, so the
-    exchange is reused), so the child is scanned and shuffled once for all
-    of its foreign keys. A null FK is not a violation."""
-    fk_cols: dict[str, list[str]] = {}
-    for child, col, _, _ in FOREIGN_KEYS:
-        fk_cols.setdefault(child, []).append(col)
-    reduced = {child: key_rows(tables[child], *cols) for child, cols in fk_cols.items()}
-    out = []
-    for child, col, parent, pcol in FOREIGN_KEYS:
-        out.append(_orphans(f"fk_{child}_{col}", reduced[child], col, tables[parent], pcol,
-                            skip_null=True))
-    return out
