@@ -17,11 +17,12 @@ from ..functions.months import month_spine
 from ..operators.kpis import KPI_QUERIES
 from ..operators.lifecycle import panel_from_lifecycles
 from ..operators.quality import quality_report
+from ..operators.rules import declared_rules, rule_report
 from ..schema import Period
 from ..session import delete_path, path_version, scratch_path
-from ..sources.orders import (ORDER_DOMAINS, lifecycle_specs_from_orders, model_from_orders,
+from ..sources.orders import (ORDER_DOMAINS, lifecycle_specs, model_from_orders,
                               model_with_defects, order_period)
-from ..sources.tables import load_model, products_table, save_model
+from ..sources.tables import load_model, save_model
 from .suite import Suite
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -49,9 +50,11 @@ def shared_suite(spark: SparkSession, sf_dir: str, period: Period | None = None)
         if held is not None and held[0] is spark:
             return held[1]
         own = period or order_period(spark, sf_dir)
-        path = save_model(model_from_orders(spark, sf_dir, own, checkpoint_segments=True),
-                          scratch_path(spark, "model"), concurrent=True)
-        suite = Suite(load_model(spark, path, ORDER_DOMAINS), own, cache_results=True)
+        built = model_from_orders(spark, sf_dir, own, checkpoint_segments=True)
+        path = save_model(built, scratch_path(spark, "model"), concurrent=True)
+        model = load_model(spark, path, ORDER_DOMAINS)
+        model.segments = built.segments  # checkpointed: the lifecycle panel reads them
+        suite = Suite(model, own, cache_results=True)
         _SUITES[key] = (spark, suite, path)
         return suite
 
@@ -82,22 +85,18 @@ def month_coverage(suite: Suite) -> DataFrame:
     spark = suite.model.revenue.sparkSession
     spine = month_spine(spark, p.history_start, p.history_end)
     mon = suite.months().select("revenue_month", "revenue_rows", "active_customers")
-    # The spine has one row per month of the history: a bounded broadcast side.
-    return F.broadcast(spine).join(mon, "revenue_month", "left").select(
+    return spine.join(mon, "revenue_month", "left").select(
         "revenue_month",
         F.coalesce("revenue_rows", F.lit(0)).cast("long").alias("revenue_rows"),
         F.coalesce("active_customers", F.lit(0)).cast("long").alias("active_customers"),
     ).orderBy("revenue_month")
 
 
-def lifecycle_panel(spark: SparkSession, sf_dir: str, period: Period | None = None,
-                    checkpoint_segments: bool = True) -> DataFrame:
+def lifecycle_panel(suite: Suite) -> DataFrame:
     """The panel rebuilt from lifecycle specs (contract/churn months, pauses,
-    plan changes) derived from the orders; must equal ``subscription_panel``."""
-    period = period or order_period(spark, sf_dir)
-    lifecycles, pauses, changes = lifecycle_specs_from_orders(
-        spark, sf_dir, period, checkpoint_segments=checkpoint_segments)
-    return panel_from_lifecycles(lifecycles, pauses, changes, products_table(spark), period)
+    plan changes) read off the model's segments; must equal ``subscription_panel``."""
+    lifecycles, pauses, changes = lifecycle_specs(suite.model.segments, suite.period)
+    return panel_from_lifecycles(lifecycles, pauses, changes, suite.model.products, suite.period)
 
 
 def registry(shared: bool = True) -> dict[str, QueryFn]:
@@ -120,7 +119,7 @@ def registry(shared: bool = True) -> dict[str, QueryFn]:
         "churn_facts": _from_suite(lambda s: s.model.churn),
         "customer_status": _from_suite(lambda s: s.model.customers),
         "month_coverage": _from_suite(month_coverage),
-        "lifecycle_panel": lambda spark, sf_dir: lifecycle_panel(spark, sf_dir, checkpoint_segments=shared),
+        "lifecycle_panel": _from_suite(lifecycle_panel),
         "quality_report": _from_suite(lambda s: s.quality()),
         "constraint_report": _from_suite(lambda s: s.constraints()),
         "quality_report_dirty": _from_suite(
@@ -131,6 +130,10 @@ def registry(shared: bool = True) -> dict[str, QueryFn]:
     q["headline_metrics"] = _from_suite(lambda s: s.headline())
     q["reconciliation"] = _from_suite(lambda s: s.reconciliation().select("check_name", "severity", "passed"))
     q["table_fingerprint"] = _from_suite(lambda s: s.fingerprint())
+    q["fingerprint_tree"] = _from_suite(lambda s: s.fingerprints())
+    q["rule_violations"] = _from_suite(lambda s: s.violations())
+    q["rule_violations_dirty"] = _from_suite(
+        lambda s: rule_report(model_with_defects(s.model), declared_rules(s.model.domains)))
     q["run_manifest"] = _from_suite(lambda s: s.manifest())
     q["table_counts"] = _from_suite(lambda s: s.table_counts())
     for name in ["rpt_kpis", "rpt_monthly", "rpt_channels", "rpt_growth_events",

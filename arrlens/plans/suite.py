@@ -4,23 +4,25 @@ that gates, exports and summarises them."""
 from __future__ import annotations
 
 import inspect
-import os
 import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from ..operators import datasets as R
 from ..operators import kpis as K
 from ..operators.headline import headline_metrics
-from ..operators.manifest import published_manifest, run_manifest, table_fingerprint
+from ..operators.manifest import fingerprint_tree, published_manifest, run_manifest, table_fingerprint
 from ..operators.quality import assert_quality, constraint_report, quality_report
 from ..operators.reconcile import reconcile
+from ..operators.rules import declared_rules, rule_report
 from ..schema import Model, Period
-from ..session import shared_dir
-from ..sources.tables import export_results, table_counts, write_json
+from ..session import delete_path, move_path, shared_dir
+from ..sources.snapshots import commit, new_snapshot
+from ..sources.tables import export_observed, table_counts, write_json
 
 # Result names in report order.
 KPI_ORDER = ["quality_report", "executive_kpis", "monthly_revenue_growth", "channel_performance",
@@ -81,10 +83,10 @@ class Suite:
         return self._get("account_facts", lambda: K.account_facts(self.model, self.period))
 
     def quality(self) -> DataFrame:
-        return self._get("quality_report", lambda: quality_report(self.model))
+        return self._get("quality_report", lambda: quality_report(self.model, self.months(), self.accounts()))
 
     def constraints(self) -> DataFrame:
-        return self._get("constraint_report", lambda: constraint_report(self.model))
+        return self._get("constraint_report", lambda: constraint_report(self.model, self.months(), self.accounts()))
 
     def results(self) -> dict[str, DataFrame]:
         out = {"quality_report": self.quality()}
@@ -133,6 +135,12 @@ class Suite:
     def fingerprint(self) -> DataFrame:
         return table_fingerprint(self.model)
 
+    def fingerprints(self) -> DataFrame:
+        return fingerprint_tree(self.model)
+
+    def violations(self) -> DataFrame:
+        return rule_report(self.model, declared_rules(self.model.domains))
+
 
 def run_concurrently(actions: dict, threads: int = 4) -> dict[str, tuple[object, float]]:
     """Run independent Spark actions from a thread pool (one job each; Spark
@@ -148,34 +156,43 @@ def run_concurrently(actions: dict, threads: int = 4) -> dict[str, tuple[object,
         return {n: f.result() for n, f in futures.items()}
 
 
+class ReconciliationError(RuntimeError):
+    """The reconciliation's verdict is negative: nothing was published."""
+
+
 def run_analysis(suite: Suite, out_dir: str, expected: dict | None = None,
                  threads: int = 1) -> dict[str, str]:
-    """Gate first, then publish: quality checks must all be zero before any
-    result is written. The gate proves one row per customer and month, so from
-    there on monthly customer counts are row counts. Build the suite with
-    ``cache_results=True`` so each small result is computed once although the
-    headline, manifest and reconciliation reread it; independent results are
-    then computed side by side."""
+    """Write, audit, publish. Quality checks must all be zero before any result
+    is computed. Results, datasets, headline, manifest and reconciliation are
+    then written to a staging folder; only if the reconciliation's verdict is
+    positive does the folder become ``out_dir/run-<id>``, in one rename, and the
+    pointer ``out_dir/_current.json`` names it. A failing run publishes nothing.
+
+    Rows are counted and the verdict is read while the files are written. Build
+    the suite with ``cache_results=True`` so each small result is computed once
+    although the headline, manifest and reconciliation reread it; independent
+    results are computed side by side. Returns the published paths."""
     assert_quality(suite.quality())
-    suite.unique_keys = True
+    suite.unique_keys = True  # proven by the gate
     run_concurrently({n: (lambda n=n: suite.kpi(n)) for n in KPI_ORDER[1:]}, threads)
-    results = suite.results()
-    res_dir = os.path.join(out_dir, "results")
-    done = run_concurrently(
-        {n: (lambda n=n, df=df: export_results({n: df}, res_dir)) for n, df in results.items()},
-        threads)
-    paths = {n: p for out, _ in done.values() for n, p in out.items()}
-    ds_dir = os.path.join(out_dir, "datasets")
-    derived = {
-        "headline_metrics": lambda: {"headline_metrics": write_json(
-            suite.headline().coalesce(1), os.path.join(out_dir, "headline_metrics"))},
-        "run_manifest": lambda: {"run_manifest": write_json(
-            published_manifest(results, paths).coalesce(1), os.path.join(out_dir, "run_manifest"))},
-        "reconciliation": lambda: {"reconciliation": write_json(
-            suite.reconciliation(expected).coalesce(1), os.path.join(out_dir, "reconciliation"))},
-    }
-    for n, df in suite.datasets().items():
-        derived[n] = (lambda n=n, df=df: export_results({n: df}, ds_dir))
-    for out, _ in run_concurrently(derived, threads).values():
-        paths.update(out)
-    return paths
+    spark, run = suite.model.revenue.sparkSession, f"run-{new_snapshot()}"
+    stage, results, verdict = f"{out_dir}/.staging-{run}", suite.results(), Observation()
+    audited = suite.reconciliation(expected).observe(verdict, F.count_if(~F.col("passed")).alias("failed"))
+    exports = {n: (lambda n=n, df=df: export_observed(df, f"{stage}/results/{n}")) for n, df in results.items()}
+    exports |= {n: (lambda n=n, df=df: export_observed(df, f"{stage}/datasets/{n}")) for n, df in suite.datasets().items()}
+    exports["headline_metrics"] = lambda: (write_json(suite.headline(), f"{stage}/headline_metrics"), 1)
+    exports["reconciliation"] = lambda: (write_json(audited, f"{stage}/reconciliation"), None)
+    try:
+        done = {n: out for n, (out, _) in run_concurrently(exports, threads).items()}
+        if verdict.get["failed"]:
+            failed = suite.reconciliation(expected).where("not passed").select("check_name", "evidence").collect()
+            raise ReconciliationError(f"Reconciliation failed: {[r.asDict() for r in failed]}")
+        paths = {n: path.replace(stage, f"{out_dir}/{run}", 1) for n, (path, _) in done.items()}
+        manifest = published_manifest(spark, results, paths, {n: rows for n, (_, rows) in done.items()})
+        write_json(manifest, f"{stage}/run_manifest")
+        move_path(spark, stage, f"{out_dir}/{run}")
+    except BaseException:
+        delete_path(spark, stage)
+        raise
+    commit(spark, out_dir, {"run": run})
+    return paths | {"run_manifest": f"{out_dir}/{run}/run_manifest"}

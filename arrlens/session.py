@@ -69,6 +69,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder."""
+    p, q = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (source, target))
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).rename(p, q):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
 def path_version(spark: SparkSession, path: str) -> tuple[int, int]:
     """Bytes and time of change of a file or folder: differs once it is rewritten."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -107,22 +107,16 @@ def model_from_orders(spark: SparkSession, sf_dir: str, period: Period,
     customers = assemble_customers(customer_status(lifecycle),
                                    customer_dimension(spark, sf_dir))
     return Model(customers=customers, products=products_table(spark), revenue=revenue,
-                 churn=churn, domains=ORDER_DOMAINS)
+                 churn=churn, domains=ORDER_DOMAINS, numbered=expand_panel(segments, period, numbered=True),
+                 segments=segments)
 
 
-def lifecycle_specs_from_orders(spark: SparkSession, sf_dir: str, period: Period,
-                                tier_threshold: int = ENTERPRISE_MRR_THRESHOLD,
-                                term_months: int = DEFAULT_TERM_MONTHS,
-                                checkpoint_segments: bool = False):
+def lifecycle_specs(seg: DataFrame, period: Period, tier_threshold: int = ENTERPRISE_MRR_THRESHOLD,
+                    term_months: int = DEFAULT_TERM_MONTHS):
     """Lifecycle specs (contract/churn months, pauses, plan changes) read off
-    the order-derived segments, for ``operators.lifecycle``. A gap between
+    a model's segments, for ``operators.lifecycle``. A gap between
     coverage islands is a pause ending at the reactivation month; a lapse
     at the end is an open pause (or, if never reactivated, the churn)."""
-    events = order_events(read(spark, sf_dir, "orders"))
-    seg = lifecycle_segments(contract_months(events, period), period, tier_threshold, term_months)
-    if checkpoint_segments:  # all three specs read them
-        shared_dir(spark)
-        seg = seg.checkpoint(eager=True)
     life = customer_lifecycle(seg, period, tier_threshold, term_months)
     cid = customer_id_col().alias("customer_id")
     lifecycles = life.select(

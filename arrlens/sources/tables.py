@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import (PRODUCT_ROWS, PRODUCTS_SCHEMA, TABLE_ORDER, TABLE_SCHEMAS,
                       Domains, Model)
+from .snapshots import commit, month_folder, new_snapshot, read_pointer, written_months
 
 
 def products_table(spark: SparkSession) -> DataFrame:
@@ -19,55 +21,99 @@ def products_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PRODUCT_ROWS, PRODUCTS_SCHEMA)
 
 
-def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+#: Revenue as it is stored: with the customer's number, if the model has it.
+NUMBER = T.StructField("customer_no", T.LongType(), True)
+
+
+def _read_revenue(spark: SparkSession, path: str, pointer: dict, numbered: bool) -> DataFrame:
+    schema = TABLE_SCHEMAS["revenue"]
+    wanted = T.StructType(schema.fields + [NUMBER] * numbered)
+    folders = [month_folder(path, m, s) for m, s in pointer["months"].items()]
+    if not folders:
+        return spark.createDataFrame([], wanted)
+    read = spark.read.schema(wanted).option("basePath", f"{path}/revenue").parquet(*folders)
+    return read.select(*wanted.fieldNames())
+
+
+def read_table(spark: SparkSession, path: str, name: str, pointer: dict | None = None) -> DataFrame:
     """Parquet read with the declared schema (no inference), columns in
     declared order (a partition column would otherwise come last)."""
+    pointer = pointer or read_pointer(spark, path)
+    if pointer is None:
+        raise FileNotFoundError(f"no model is published in {path}")
+    if name == "revenue":
+        return _read_revenue(spark, path, pointer, False)
     schema = TABLE_SCHEMAS[name]
-    return spark.read.schema(schema).parquet(os.path.join(path, name)).select(*schema.fieldNames())
+    return spark.read.schema(schema).parquet(f"{path}/{name}/{pointer['tables'][name]}").select(*schema.fieldNames())
 
 
-def load_model(spark: SparkSession, path: str, domains: Domains | None = None) -> Model:
-    """The four tables from a folder written by ``save_model``."""
-    t = {n: read_table(spark, path, n) for n in TABLE_ORDER}
+def load_model(spark: SparkSession, path: str, domains: Domains | None = None, pointer: dict | None = None) -> Model:
+    """The four tables that are published in a folder by ``save_model``, all
+    of one state: the pointer is read once."""
+    pointer = pointer or read_pointer(spark, path)
+    t = {n: read_table(spark, path, n, pointer) for n in TABLE_ORDER}
     return Model(customers=t["customers"], products=t["products"], revenue=t["revenue"],
-                 churn=t["churn"], domains=domains or Domains())
+                 churn=t["churn"], domains=domains or Domains(),
+                 numbered=_read_revenue(spark, path, pointer, True) if pointer["numbered"] else None)
 
 
-# Write waves for save_model: every parent is committed before any child.
+# Write waves for save_model: every parent is written before any child.
 WRITE_WAVES = [["products", "customers"], ["revenue", "churn"]]
 
 
-def _write_one(model: Model, name: str, path: str, mode: str) -> None:
-    df = getattr(model, name).select(*TABLE_SCHEMAS[name].fieldNames())
-    w = df.write.mode(mode)
-    if name == "revenue":
-        # Rows of a month come together (AQE splits large months and joins small
-        # ones), so a month's folder gets few files however many tasks there are.
-        df = df.hint("rebalance", "revenue_month").sortWithinPartitions("revenue_month", "customer_id")
-        w = df.write.mode(mode).partitionBy("revenue_month")
-    w.parquet(os.path.join(path, name))
-
-
-def save_model(model: Model, path: str, mode: str = "overwrite", concurrent: bool = False) -> str:
-    """Write the tables parents-first. Revenue is partitioned by month so
-    the single-month scans (ending base, cohorts) prune to one folder, and is
-    sorted by customer within each file for the customer-grain rollups.
-
-    With ``concurrent`` the tables of one wave (parents, then children) are
-    written as concurrent jobs; a child is still never written before its
-    parents are committed."""
+def write_revenue(rows: DataFrame, path: str, snapshot: str) -> None:
+    """Revenue rows into the folders of their months and of ``snapshot``. Rows of
+    a month come together (AQE splits large months and joins small ones), so a
+    month's folder gets few files however many tasks there are."""
+    rows = rows.hint("rebalance", "revenue_month").sortWithinPartitions("revenue_month", "customer_id")
+    rows.withColumn("snapshot", F.lit(snapshot)).write.mode("append").partitionBy("revenue_month", "snapshot").parquet(f"{path}/revenue")
+
+
+def _write_one(model: Model, name: str, path: str, snapshot: str) -> None:
+    columns = TABLE_SCHEMAS[name].fieldNames()
+    if name != "revenue":
+        getattr(model, name).select(*columns).write.parquet(f"{path}/{name}/{snapshot}")
+    elif model.numbered is None:
+        write_revenue(model.revenue.select(*columns), path, snapshot)
+    else:
+        write_revenue(model.numbered.select(*columns, "customer_no"), path, snapshot)
+
+
+def save_model(model: Model, path: str, mode: str = "overwrite", concurrent: bool = False,
+               check: Callable[[Model], None] | None = None) -> str:
+    """Write the tables parents-first and publish them at once. Until the
+    pointer is moved, readers see the tables published before, also if the save
+    fails halfway. ``check`` is called with the written, not yet published model
+    and may raise (a quality gate inside the load). ``mode="error"`` refuses a
+    folder with a published model.
+
+    Revenue is partitioned by month so the single-month scans (ending base,
+    cohorts) prune to one folder, and is sorted by customer within each file for
+    the customer-grain rollups. With ``concurrent`` the tables of one wave
+    (parents, then children) are written as concurrent jobs."""
     assert [n for wave in WRITE_WAVES for n in wave] == TABLE_ORDER
+    spark = model.revenue.sparkSession
+    if mode == "error" and read_pointer(spark, path):
+        raise FileExistsError(path)
+    snapshot = new_snapshot()
     for wave in WRITE_WAVES:
-        if concurrent:
-            with ThreadPoolExecutor(max_workers=len(wave)) as pool:
-                for f in [pool.submit(_write_one, model, n, path, mode) for n in wave]:
-                    f.result()
-        else:
-            for n in wave:
-                _write_one(model, n, path, mode)
+        with ThreadPoolExecutor(max_workers=len(wave) if concurrent else 1) as pool:
+            for f in [pool.submit(_write_one, model, n, path, snapshot) for n in wave]:
+                f.result()
+    months = written_months(spark, f"{path}/revenue", snapshot)
+    pointer = {"tables": {n: snapshot for n in TABLE_ORDER if n != "revenue"}, "months": {m: snapshot for m in months},
+               "numbered": model.numbered is not None}
+    publish(spark, path, pointer, model.domains, check)
     return path
 
 
+def publish(spark: SparkSession, path: str, pointer: dict, domains: Domains, check: Callable[[Model], None] | None = None) -> None:
+    """Check the tables that ``pointer`` names, then make them the published ones."""
+    if check:
+        check(load_model(spark, path, domains, pointer))
+    commit(spark, path, pointer)
+
+
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with header, explicit schema, empty string read as null,
     malformed rows fail the read."""
@@ -83,15 +129,23 @@ def write_table(df: DataFrame, path: str, columns: list[str] | None = None,
     return path
 
 
+#: Rows of an exported file at most.
+EXPORT_ROWS = 1_000_000
+
+
 def export_results(results: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
-    """One CSV folder per result. Results are aggregated and small, so each
-    is written as a single file to keep the export readable."""
-    paths = {}
-    for name, df in results.items():
-        p = os.path.join(out_dir, name)
-        write_table(df.coalesce(1), p)
-        paths[name] = p
-    return paths
+    """One CSV folder per result, by the tasks that hold its rows: a small
+    result has one partition and so one file, a large one stays spread."""
+    return {name: export_observed(df, os.path.join(out_dir, name))[0] for name, df in results.items()}
+
+
+def export_observed(df: DataFrame, path: str) -> tuple[str, int]:
+    """One result as CSV, and its rows as the write itself counts them."""
+    seen = Observation()
+    rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    (rows.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd")
+     .option("maxRecordsPerFile", EXPORT_ROWS).csv(path))
+    return path, seen.get["rows"]
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:

@@ -70,3 +70,37 @@ def test_results_of_a_suite_read_the_fact_once(spark):
 def test_constraints_copy_no_row(spark):
     from arrlens.plans.registry import suite_for
     assert "Expand" not in _plan(suite_for(spark, SF_SMALL, shared=False).constraints())
+
+
+def test_lifecycle_panel_sweeps_a_customer_once(spark):
+    """One exchange by customer beside the reduction by (customer, month), the
+    segments' own two and the plans' few rows; buffers of a fixed width."""
+    plan = _plan(registry(shared=False)["lifecycle_panel"](spark, SF_SMALL))
+    assert len(re.findall(r"Exchange hashpartitioning\(customer_id#\d+, \d", plan)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(customer_id#\d+, ym#", plan)) == 1
+    assert "SortAggregate" not in plan
+    assert not re.search(r"SortMergeJoin \[[^]]*customer", plan)  # only the plans' few rows are joined so
+
+
+def test_distinct_customers_travel_as_bitmaps(spark):
+    from arrlens.operators.kpis import month_facts, plan_segment_performance
+    from arrlens.plans.registry import shared_suite
+    suite = shared_suite(spark, SF_SMALL)
+    plan = _plan(month_facts(suite.model))
+    assert "bitmap_construct_agg" in plan
+    # What is exchanged is a row for each month and bitmap, never a customer.
+    exchanged = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert exchanged and not any("customer_id" in x for x in exchanged)
+    plan = _plan(plan_segment_performance(suite.model, suite.period, accounts=suite.accounts()))
+    assert "bitmap_construct_agg" in plan
+
+
+def test_checks_of_a_suite_scan_each_table_once_for_rows_and_once_for_keys(spark):
+    from arrlens.plans.registry import shared_suite
+    suite = shared_suite(spark, SF_SMALL)
+    from arrlens.operators.quality import constraint_report, quality_report
+    months, accounts = suite.months(), suite.accounts()
+    plan = _plan(constraint_report(suite.model, months, accounts))
+    assert len(re.findall(r"FileScan parquet .*revenue_id", plan)) == 2  # row rules, and the primary key
+    plan = _plan(quality_report(suite.model, months, accounts))
+    assert "revenue_id" not in plan and "arr_run_rate_inr" not in plan and "revenue_type" not in plan
