@@ -129,6 +129,7 @@ def registry(shared: bool = True) -> dict[str, QueryFn]:
         q[name] = _kpi(name)
     q["headline_metrics"] = _from_suite(lambda s: s.headline())
     q["reconciliation"] = _from_suite(lambda s: s.reconciliation().select("check_name", "severity", "passed"))
+    q["reconciliation_evidence"] = _from_suite(lambda s: s.reconciliation().select("check_name", "evidence"))
     q["table_fingerprint"] = _from_suite(lambda s: s.fingerprint())
     q["fingerprint_tree"] = _from_suite(lambda s: s.fingerprints())
     q["rule_violations"] = _from_suite(lambda s: s.violations())
