@@ -15,9 +15,9 @@ often a pair of ids is linked is counted over all documents:
    pass re-aligns its documents and looks the counts up.
 
 No task holds more than a block, or a bucket's distinct pairs; nothing is
-broadcast but the highest count of each id of the second vocabulary. Tokens of
-neither tokenizer cross a single space between other characters, so words are
-aligned one by one, each distinct one once (a bounded cache).
+broadcast but the highest count of each id of the second vocabulary. Texts are
+cut where no token of either tokenizer crosses, and each distinct unit of a
+block is aligned once.
 
 Defined results: texts that are null or empty, or that one of the tokenizers
 does not give back byte by byte, have no tokens (zeros, and '' as digest);
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -43,127 +44,151 @@ from .tokens import _byte_letters, encoder, vocabulary_file
 
 #: Vectors that one task adds up.
 FANIN = 32
-#: Distinct words kept between blocks, and the characters of the longest kept.
-CACHE_WORDS = 400_000
-CACHE_CHARS = 200
 A_BITS = np.uint64(32)
-#: Single spaces between other characters: no token of either kind crosses one.
-_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
-#: Texts with white space that is not such a space.
-_UNEVEN = re.compile(r"^\s|\s$|\s\s|[^\S ]|[\x1c-\x1f]")
+#: Letters of both tokenizers, and signs that may end a unit of letters.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_SIGNS = ".,!?;:|#*&%$"
+#: White space beside spaces and line feeds: such texts are cut at single spaces only.
+_ODD = re.compile(r"[^\S \n]")
+_BETWEEN = re.compile(r"(?<=\S)(?= \S)")
 
 
-class Word:
-    """Both encodings of a word and of the space before it, in groups."""
+def _flat(parts: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all parts, and how many each has."""
+    size = np.fromiter(map(len, parts), np.int64, len(parts))
+    return np.fromiter(chain.from_iterable(parts), np.int64, int(size.sum())), size
 
-    __slots__ = ("n_a", "n_b", "links", "groups")
 
-    def __init__(self, a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]):
-        self.n_a, self.n_b = len(a), len(b)
-        common = sorted(set(ends_a) & set(ends_b))
-        links, groups, i, j = [], [], 0, 0
-        for end in common:
-            p, q = i, j
-            while ends_a[p] < end:
-                p += 1
-            while ends_b[q] < end:
-                q += 1
-            links.append(a[p] << int(A_BITS) | b[q])
-            groups.append(f"{','.join(map(str, a[i:p + 1]))}|{','.join(map(str, b[j:q + 1]))}")
-            i, j = p + 1, q + 1
-        self.links, self.groups = links, ";".join(groups)
+class _Bytes:
+    """The bytes of each id of a vocabulary."""
+
+    def __init__(self, of_id: list[bytes]):
+        self.size = np.array([len(b) for b in of_id], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.body = np.frombuffer(b"".join(of_id), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        size = self.size[ids]
+        at = np.cumsum(size) - size
+        return self.body[np.repeat(self.begin[ids] - at, size) + np.arange(int(size.sum()))]
 
 
 class Aligner:
-    """A byte-level file of ``tokenizers`` and a model of ``sentencepiece``."""
+    """A byte-level file of ``tokenizers`` and a model of ``sentencepiece``.
+
+    A text, with the space that both put before it, is cut into units that no
+    token of either crosses: before a space or line feed after other characters,
+    after a line feed alone, and between letters and those signs that no piece
+    of the second vocabulary has after a letter."""
 
     def __init__(self, a_path: str, b_path: str):
         from sentencepiece import SentencePieceProcessor
 
         self.a, self.b = encoder(a_path, True), SentencePieceProcessor(model_file=b_path)
         byte = {c: b for b, c in _byte_letters().items()}
-        self.a_bytes = {i: bytes(byte[c] for c in piece) for piece, i in self.a.whole.get_vocab(False).items()}
-        self.b_bytes = []
-        for i in range(self.b.get_piece_size()):
-            piece = self.b.id_to_piece(i)
-            self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
-        self.words: dict[str, Word | None] = {}
-
-    def word(self, word: str) -> Word | None:
-        """The alignment of a word that is not empty; None if an encoding does not give it back."""
-        if word in self.words:
-            return self.words[word]
-        a = np.frombuffer(self.a._word(" " + word), "<u4").tolist()
-        b = self.b.encode(word)
-        body = (" " + word).encode()
-        a_bytes, b_bytes = [self.a_bytes.get(i, b"") for i in a], [self.b_bytes[i] for i in b]
-        out = None
-        if b"".join(a_bytes) == body == b"".join(b_bytes):
-            out = Word(a, b, np.cumsum(list(map(len, a_bytes))).tolist(), np.cumsum(list(map(len, b_bytes))).tolist())
-        if len(word) <= CACHE_CHARS:
-            self.words[word] = out
-        return out
+        of_a = {i: bytes(byte[c] for c in piece) for piece, i in self.a.whole.get_vocab(False).items()}
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        of_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a_bytes, self.b_bytes = _Bytes([of_a.get(i, b"") for i in range(max(of_a) + 1)]), _Bytes(of_b)
+        #: Ids as text, before another id of the group, and at the end of the group's side.
+        self.a_text, self.b_text = [np.array([[f"{i},", f"{i}{end}"] for i in range(len(x.size))], object)
+                                    for x, end in ((self.a_bytes, "|"), (self.b_bytes, ";"))]
+        if any(re.search("[^▁]▁|\n", p) for p in pieces):
+            raise ValueError("pieces of the second vocabulary cross spaces or line feeds")
+        crossed = set("".join(x for p in pieces for x in re.findall(f"(?<=[{_LETTERS}])[{re.escape(_SIGNS)}]", p)))
+        signs = re.escape("".join(c for c in _SIGNS if c not in crossed))
+        some = f"[{signs}]" if signs else r"(?!)"
+        self.cut = re.compile(rf" ?[{_LETTERS}]+(?={some}|[ \n]|\Z)|{some}+(?=[ \n]|\Z)|\n(?=[^ \n])|[ \n]*[^ \n]+|[ \n]+").findall
+
+    def cut_text(self, text: str) -> list[str]:
+        return _BETWEEN.split(" " + text) if _ODD.search(text) else self.cut(" " + text)
+
+    def encode_a(self, units: list[str]) -> list[list[int]]:
+        """Units of letters are one pre-token: the model's own merges suffice."""
+        plain = [u[u[0] == " ":].isalpha() and (u.isascii() or max(u) < "ɐ") for u in units]
+        shown = "\n".join(compress(units, plain)).encode().decode("latin-1").translate(self.a.letters)
+        shown, merge = iter(shown.split("\n".translate(self.a.letters))), self.a.model.tokenize
+        return [[t.id for t in merge(next(shown))] if own else np.frombuffer(self.a._word(u), "<u4").tolist()
+                for u, own in zip(units, plain)]
+
+    def encode_b(self, units: list[str]) -> list[list[int]]:
+        """The model puts a space before what it encodes, if that is not empty; a line
+        feed, which joins nothing, stands in where that is not the unit's own."""
+        spaced = [u[0] == " " < u for u in units]
+        found = self.b.encode([u[1:] if own else "\n" + u for u, own in zip(units, spaced)], num_threads=1)
+        return [ids if own else ids[2:] for ids, own in zip(found, spaced)]
 
 
 class Aligned:
-    """The texts of a block as words, and the block's distinct linked pairs."""
+    """The texts of a block as units, each distinct one aligned, and the block's
+    distinct linked pairs."""
 
     def __init__(self, aligner: Aligner, texts: pa.Array):
-        n = len(texts)
-        if len(aligner.words) > CACHE_WORDS:
-            aligner.words.clear()
-        lists = pc.split_pattern(texts, " ")
-        starts = lists.offsets.to_numpy().astype(np.int64)
-        coded = lists.values.dictionary_encode()
+        flat: list[str] = []
+        cuts = [0]
+        for text in texts:
+            if len(text.as_buffer()):
+                flat += aligner.cut_text(text.as_py())
+            cuts.append(len(flat))
+        coded = pa.array(flat, pa.large_string()).dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        names = coded.dictionary.to_pylist()
-        uneven = [d for d in np.flatnonzero(pc.match_substring_regex(texts, r"^\s|\s$|\s\s|[\x00-\x1f]|[^\x00-\x7f]")
-                                            .to_numpy(zero_copy_only=False)).tolist()
-                  if _UNEVEN.search(texts[d].as_py())]
-        # Texts with other white space are cut at the safe spaces only.
-        own: dict[int, np.ndarray] = {}
-        place = {w: i for i, w in enumerate(names)} if uneven else {}
-        for d in uneven:
-            parts = _BETWEEN.split(texts[d].as_py())
-            for p in parts:
-                if p not in place:
-                    place[p] = len(names)
-                    names.append(p)
-            own[d] = np.array([place[p] for p in parts], np.int64)
-        empty = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-        self.index = [np.empty(0, np.int64) if empty[d] else own[d] if d in own else index[starts[d]:starts[d + 1]]
-                      for d in range(n)]
-        flat = np.concatenate([np.empty(0, np.int64), *self.index])
-        used = np.flatnonzero(np.bincount(flat, minlength=len(names)))
-        self.words: list[Word | None] = [None] * len(names)
-        bad = np.zeros(len(names), bool)
-        for i in used.tolist():
-            self.words[i] = aligner.word(names[i])
-            bad[i] = self.words[i] is None
+        self.index = [index[i:j] for i, j in zip(cuts, cuts[1:])]
+        units, n = coded.dictionary.to_pylist(), len(coded.dictionary)
+        a, n_a = _flat(aligner.encode_a(units))
+        b, n_b = _flat(aligner.encode_b(units))
+        of_a, of_b = np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)
+        size = pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False)
+        flat_bytes = np.frombuffer(coded.dictionary.buffers()[2] or b"", np.uint8)[:size.sum()]
+        of_byte = np.repeat(np.arange(n), size)
+        # Units whose bytes an encoding does not give back are bad, and so are their documents.
+        bad = np.zeros(n, bool)
+        for ids, of, held in ((a, of_a, aligner.a_bytes), (b, of_b, aligner.b_bytes)):
+            bad |= np.bincount(of, held.size[ids], n).astype(np.int64) != size
+        for ids, of, held in ((a, of_a, aligner.a_bytes), (b, of_b, aligner.b_bytes)):
+            keep = ~bad[of_byte]
+            differ = held.joined(ids[~bad[of]]) != flat_bytes[keep]
+            bad[np.unique(of_byte[keep][differ])] = True
         if bad.any():
-            self.index = [np.empty(0, np.int64) if bad[own].any() else own for own in self.index]
-            flat = np.concatenate([np.empty(0, np.int64), *self.index])
-        times = np.bincount(flat, minlength=len(names))
-        used = np.flatnonzero(times)
-        #: The words that documents with tokens hold, their links one after the other.
-        self.size = np.zeros(len(names), np.int64)
-        self.size[used] = [len(self.words[i].links) for i in used.tolist()]
-        links = [x for i in used.tolist() for x in self.words[i].links]
-        self.word_of = np.repeat(used, self.size[used])
-        self.pairs, self.pair_of = np.unique(np.array(links, np.uint64), return_inverse=True)
+            self.index = [own[:0] if bad[own].any() else own for own in self.index]
+            a, of_a, b, of_b = a[~bad[of_a]], of_a[~bad[of_a]], b[~bad[of_b]], of_b[~bad[of_b]]
+        # All units stand in one run of bytes: tokens that end at the same place end together.
+        ends_a, ends_b = np.cumsum(aligner.a_bytes.size[a]), np.cumsum(aligner.b_bytes.size[b])
+        last_a, last_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
+        self.n_a, self.n_b = np.bincount(of_a, minlength=n), np.bincount(of_b, minlength=n)
+        self.unit_of = of_a[last_a]
+        self.size = np.bincount(self.unit_of, minlength=n)
+        self.pairs, self.pair_of = np.unique(a[last_a].astype(np.uint64) << A_BITS | b[last_b].astype(np.uint64),
+                                             return_inverse=True)
+        times = np.bincount(np.concatenate([np.empty(0, np.int64), *self.index]), minlength=n)
         self.counts = np.zeros(len(self.pairs), np.int64)
-        np.add.at(self.counts, self.pair_of, times[self.word_of])
-
-    def by_word(self, of_pair: np.ndarray) -> np.ndarray:
-        """A value of each pair, summed over the links of each word."""
-        return np.bincount(self.word_of, of_pair[self.pair_of], len(self.words)).astype(np.int64) \
-            if of_pair.max(initial=0) < 1 << 40 else self._exact(of_pair)
-
-    def _exact(self, of_pair: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(self.words), np.int64)
-        np.add.at(out, self.word_of, of_pair[self.pair_of])
+        np.add.at(self.counts, self.pair_of, times[self.unit_of])
+        if (self.counts == 0).any():  # units of bad documents only
+            held = self.counts > 0
+            kept = held[self.pair_of]
+            self.unit_of = self.unit_of[kept]
+            self.pair_of = (np.cumsum(held) - 1)[self.pair_of[kept]]
+            self.pairs, self.counts = self.pairs[held], self.counts[held]
+        self._tokens = (aligner, a, b, ends_a, ends_b, last_a, last_b)
+
+    def by_unit(self, of_pair: np.ndarray) -> np.ndarray:
+        """A value of each pair, summed over the links of each unit."""
+        out = np.zeros(len(self.size), np.int64)
+        np.add.at(out, self.unit_of, of_pair[self.pair_of])
         return out
 
+    def groups(self) -> list[str]:
+        """The groups of each text: ``a1,a2|b1;a3|b2,b3``."""
+        aligner, a, b, ends_a, ends_b, last_a, last_b = self._tokens
+        # A group's ids of the first tokenizer go before those of the second.
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        text = np.empty(len(a) + len(b), object)
+        text[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = aligner.a_text[a, last_a.astype(int)]
+        text[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = aligner.b_text[b, last_b.astype(int)]
+        at = np.concatenate(([0], np.cumsum(self.n_a + self.n_b))).tolist()
+        held = text.tolist()
+        units = ["".join(held[i:j]) for i, j in zip(at, at[1:])]
+        return ["".join([units[k] for k in own.tolist()])[:-1] for own in self.index]
+
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
@@ -391,15 +416,9 @@ def aligned_documents(docs: DataFrame, a_path: str, b_path: str, with_groups: bo
                     at = np.flatnonzero(bucket == r["bucket"])
                     counts[at] = np.frombuffer(r["counts"], np.int64)
                     best[at] = np.unpackbits(np.frombuffer(r["best"], np.uint8), count=len(at))
-                used = {k for k in np.unique(np.concatenate([np.empty(0, np.int64), *own.index])).tolist()}
-                n_a, n_b = np.zeros(len(own.words), np.int64), np.zeros(len(own.words), np.int64)
-                text = [""] * len(own.words)
-                for k in used:
-                    w = own.words[k]
-                    n_a[k], n_b[k], text[k] = w.n_a, w.n_b, w.groups
-                per_word = [n_a, n_b, own.size, own.size, own.by_word(best), own.by_word(counts)]
-                groups = [";".join([text[k] for k in x.tolist()]) for x in own.index]
-                columns = [[int(v[x].sum()) for x in own.index] for v in per_word]
+                per_unit = [own.n_a, own.n_b, own.size, own.size, own.by_unit(best), own.by_unit(counts)]
+                groups = own.groups()
+                columns = [[int(v[x].sum()) for x in own.index] for v in per_unit]
                 digest = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
                 yield _batch(RESULT, [row["doc_ids"], *columns, digest, groups if with_groups else [None] * len(groups)])
 
