@@ -32,7 +32,6 @@ columns are not read.
 from __future__ import annotations
 
 import hashlib
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,17 +47,32 @@ PERIOD = 57
 COVER = (0, 1, 3, 13, 32, 36, 43, 52)
 SAMPLE = LENGTH - PERIOD + 1
 BASE = 0x9E3779B97F4A7C15
-
-
-@cache
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of BASE and of its inverse modulo 2 ** 64."""
-    out = []
-    for b in (BASE, pow(BASE, -1, 1 << 64)):
-        p = np.full(size, b, np.uint64)
-        p[0] = 1
-        out.append(np.cumprod(p, dtype=np.uint64))
-    return out[0], out[1]
+#: Places of a block whose strings are hashed at once.
+WINDOW = 1 << 18
+
+
+def _hashed(text: np.ndarray, length: int) -> np.ndarray:
+    """Polynomial hash of the ``length`` bytes from each place of ``text`` on. Hashes
+    of doubled lengths are made from those of half of it; no tables are held."""
+    size, out, done = len(text) - length + 1, None, 0
+    power, span = text.astype(np.uint64) + np.uint64(1), 1
+    while True:
+        if length & span:  # these bytes follow those done so far
+            part = power[done:done + size]
+            shift = np.uint64(pow(BASE, span, 1 << 64))
+            out = part.copy() if out is None else out * shift + part
+            done += span
+        if done == length:
+            return out
+        power = power[:-span] * np.uint64(pow(BASE, span, 1 << 64)) + power[span:]
+        span *= 2
+
+
+def _covered(begin: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
+    """Which of ``size`` places the ranges from ``begin`` to below ``end`` cover."""
+    steps = np.bincount(begin, minlength=size + 1).astype(np.int32)
+    steps -= np.bincount(end, minlength=size + 1).astype(np.int32)
+    return np.cumsum(steps[:-1], dtype=np.int32) > 0
 
 
 class Block:
@@ -66,14 +80,16 @@ class Block:
 
     def __init__(self, text: bytes, offsets: np.ndarray):
         self.text, self.offsets = text, offsets
-        size = 1 << max(1, len(text)).bit_length()
-        power, self.inverse = _powers(size)
-        byte = np.frombuffer(text, np.uint8).astype(np.uint64) + np.uint64(1)
-        self.sums = np.zeros(len(text) + 1, np.uint64)
-        np.cumsum(byte * power[:len(text)], out=self.sums[1:])
 
     def fingerprints(self, at: np.ndarray, length: int) -> np.ndarray:
-        return mix((self.sums[at + length] - self.sums[at]) * self.inverse[at])
+        """Of the strings from ``at`` (ascending) on, window by window of the block."""
+        body, out = np.frombuffer(self.text, np.uint8), np.empty(len(at), np.uint64)
+        cuts = np.searchsorted(at, np.arange(0, len(body) + WINDOW, WINDOW))
+        for w, (i, j) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())):
+            if j > i:
+                hashed = _hashed(body[w * WINDOW:(w + 1) * WINDOW + length - 1], length)
+                out[i:j] = mix(hashed[at[i:j] - w * WINDOW])
+        return out
 
     def samples(self) -> np.ndarray:
         """Positions of the cover sample whose strings stay in their text."""
@@ -86,21 +102,15 @@ class Block:
 
     def suffixes(self, repeated: np.ndarray) -> np.ndarray:
         """Starts of the LENGTH-byte strings that reach a repeated sample."""
-        near = np.zeros(len(self.text) + 1, np.int32)
         doc = np.searchsorted(self.offsets, repeated, "right") - 1
-        np.add.at(near, np.maximum(repeated - PERIOD + 1, self.offsets[doc]), 1)
-        np.add.at(near, repeated + 1, -1)
-        near = np.cumsum(near[:-1]) > 0
+        near = _covered(np.maximum(repeated - PERIOD + 1, self.offsets[doc]), repeated + 1, len(self.text))
         for a, b in zip(self.offsets.tolist(), self.offsets[1:].tolist()):
             near[max(a, b - LENGTH + 1):b] = False
         return np.flatnonzero(near)
 
     def removed(self, repeats: np.ndarray) -> np.ndarray:
         """Which bytes the strings starting at ``repeats`` cover."""
-        covered = np.zeros(len(self.text) + 1, np.int32)
-        covered[repeats] += 1
-        np.add.at(covered, repeats + LENGTH, -1)
-        return np.cumsum(covered[:-1]) > 0
+        return _covered(repeats, repeats + LENGTH, len(self.text))
 
 
 def _repeated_samples(block: Block, names: dict[int, bytes], buckets: int) -> np.ndarray:
