@@ -9,11 +9,13 @@ window's MinHash signature (least values under ``PERMUTATIONS`` hash functions)
 comes from those of its blocks. Bands of one value each find any such window
 but with probability (1 - THRESHOLD / 6) ** PERMUTATIONS, under 1e-7.
 
-A Bloom filter of fixed size holds the items' band keys, so only the few
-windows that meet an item leave their task, with those of their document's
-shingles that another fixed-size filter says some item has. Joins on band keys
-give candidate pairs, and exact counts of the item's shingles found in the
-whole document verify them.
+A Bloom filter of the items' band keys lets only the few windows that meet an
+item leave their task, with those of their document's shingles that another
+filter says some item has. Filters have 16 bits for each key, up to ``MOST_BITS``
+(32 MB, 130,000 items; beyond, they let more through, and the joins sort it
+out). Joins on band keys give candidate pairs, and exact counts of the item's
+shingles found in the whole document verify them. Documents are searched
+``SEGMENT`` blocks at a time (more if an item is longer), however long they are.
 
 Defined results: words and shingles as in ``common.shingles``; items and
 documents without words match nothing; one of fewer than five words has its
@@ -33,14 +35,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import mix, shingles, slices, stored, table, text_or_empty, texts_of
+from .line_dedup import LOWER, UPPER
 
 THRESHOLD = 0.75
 PERMUTATIONS = 128
 #: Shingles of the smallest block; items up to so many make the lowest class.
 BLOCK = 4
-#: Bits of each filter: their size does not depend on the items. A table of
-#: very many items only lets more through, which the joins then sort out.
-FILTER_BITS = 1 << 22
+#: Blocks of a document that are searched at once.
+SEGMENT = 4096
+#: Bits of a filter for each key, and at most; hash functions.
+KEY_BITS = 16
+MOST_BITS = 1 << 28
 FILTER_HASHES = 3
 
 
@@ -48,19 +53,19 @@ def _multipliers() -> np.ndarray:
     return mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def _filter_bits(keys: np.ndarray) -> np.ndarray:
-    """Positions of each key in a filter, a row for each hash function."""
-    return np.stack([mix(keys + np.uint64(i)) & np.uint64(FILTER_BITS - 1) for i in range(FILTER_HASHES)])
+def _filter_bits(keys: np.ndarray, size: int) -> np.ndarray:
+    """Positions of each key in a filter of ``size`` bits, a row for each hash function."""
+    return np.stack([mix(keys + np.uint64(i)) & np.uint64(size - 1) for i in range(FILTER_HASHES)])
 
 
 @dataclass
 class Filter:
-    """A Bloom filter as a byte array of fixed size."""
+    """A Bloom filter as a byte array; its bits are a power of two."""
 
     bits: np.ndarray
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        at = _filter_bits(keys)
+        at = _filter_bits(keys, 8 * len(self.bits))
         found = np.ones(len(keys), bool)
         for row in at:
             found &= (self.bits[row >> np.uint64(3)] >> (row & np.uint64(7)).astype(np.uint8)) & 1 == 1
@@ -68,20 +73,24 @@ class Filter:
 
 
 def _filter(keys: DataFrame, column: str) -> Filter:
-    """Filter of a table's keys: positions are made distinct in Spark, and no
-    more than ``FILTER_BITS`` of them reach the driver."""
+    """Filter of a table's keys. Spark sets the bits; the driver gets no more
+    than the filter, in pieces of 4 kB."""
+    n = keys.select(column).distinct().count()
+    size = 1 << 16
+    while size < min(MOST_BITS, KEY_BITS * n):
+        size *= 2
+
     def positions(batches):
         for batch in batches:
             k = batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            at = np.unique(_filter_bits(k)).astype(np.int64)
-            byte, bit = at >> 3, (1 << (at & 7))
-            yield pa.RecordBatch.from_arrays([pa.array(byte.astype(np.int32)), pa.array(bit.astype(np.int32))],
-                                             names=["byte", "bit"])
-
-    rows = keys.select(column).mapInArrow(positions, "byte int, bit int").groupBy("byte").agg(F.bit_or("bit").alias("bit"))
-    held = rows.toPandas()
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    bits[held["byte"].to_numpy()] = held["bit"].to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_filter_bits(k, size)).astype(np.int64) + 1)], names=["place"])
+
+    rows = keys.select(column).mapInArrow(positions, "place long").groupBy(F.bitmap_bucket_number("place").alias("piece"))
+    held = rows.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
+    bits = np.zeros(size // 8, np.uint8)
+    for r in held:  # pieces count from 1
+        own = np.frombuffer(r["bits"], np.uint8)
+        bits[(r["piece"] - 1) * len(own):r["piece"] * len(own)] = own[:len(bits)]
     return Filter(bits)
 
 
@@ -121,21 +130,31 @@ def item_table(items: DataFrame, id_column: str) -> DataFrame:
 
 
 def _window_keys(h: np.ndarray, classes: list[int], keys: Filter, mult: np.ndarray) -> np.ndarray:
-    """Band keys of a document's windows that the filter lets through."""
-    starts = np.arange(0, len(h), BLOCK)
-    found = []
-    blocks = np.empty((len(starts), PERMUTATIONS), np.uint64)
-    for j in range(0, PERMUTATIONS, 16):  # bounds the products held at once
-        blocks[:, j:j + 16] = np.minimum.reduceat(h[:, None] * mult[None, j:j + 16], starts, axis=0)
-    for kind in range(max(classes) + 1):
-        if kind in classes:
-            windows = np.minimum(blocks[:-1], blocks[1:]) if len(blocks) > 1 else blocks
-            own = _band_keys(windows, kind).ravel()
-            found.append(np.unique(own[keys.has(own)]))
-        if len(blocks) > 1:
-            odd = blocks[-1:] if len(blocks) % 2 else blocks[:0]
-            even = blocks[:len(blocks) // 2 * 2]
-            blocks = np.concatenate([np.minimum(even[::2], even[1::2]), odd])
+    """Band keys of a document's windows that the filter lets through.
+
+    Windows are pairs of neighbouring blocks of each class. The blocks are made
+    segment by segment, and each class's last block is carried to the next."""
+    segment = max(SEGMENT, 1 << max(classes)) * BLOCK
+    found, carried = [], {}
+    for lo in range(0, len(h), segment):
+        own = h[lo:lo + segment]
+        starts = np.arange(0, len(own), BLOCK)
+        blocks = np.empty((len(starts), PERMUTATIONS), np.uint64)
+        for j in range(0, PERMUTATIONS, 16):  # bounds the products held at once
+            blocks[:, j:j + 16] = np.minimum.reduceat(own[:, None] * mult[None, j:j + 16], starts, axis=0)
+        for kind in range(max(classes) + 1):
+            if kind in classes:
+                line = np.concatenate([carried[kind], blocks]) if kind in carried else blocks
+                # A block alone is a window only if the document has no other.
+                windows = line if len(line) == 1 and lo + segment >= len(h) else np.minimum(line[:-1], line[1:])
+                for j in range(0, len(windows), SEGMENT):
+                    band = _band_keys(windows[j:j + SEGMENT], kind).ravel()
+                    found.append(np.unique(band[keys.has(band)]))
+                carried[kind] = blocks[-1:]
+            if len(blocks) > 1:
+                odd = blocks[-1:] if len(blocks) % 2 else blocks[:0]
+                even = blocks[:len(blocks) // 2 * 2]
+                blocks = np.concatenate([np.minimum(even[::2], even[1::2]), odd])
     return np.unique(np.concatenate(found))
 
 
@@ -212,3 +231,24 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each pair of document id and benchmark item id that holds."""
     held = contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return _fullest(held, "doc_id", "item_id").select("doc_id", "item_id", "n_shared", "n_shingles", "containment")
+
+
+#: Items and documents by their distinct shingles, as sets; the method's chance of missing a pair is under 1e-7.
+ORACLE_SQL = f"""
+WITH w AS (
+  SELECT 0 AS kind, row_number() OVER () AS rid, doc_id AS id, coalesce(text, '') AS text FROM documents
+  UNION ALL SELECT 1, row_number() OVER (), item_id, text FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark)),
+t AS (SELECT kind, rid, id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS ws FROM w),
+s AS (
+  SELECT kind, rid, id, CASE WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS grams
+  FROM t WHERE len(ws) > 0),
+g AS (SELECT kind, rid, id, len(grams) AS n, unnest(grams) AS gram FROM s),
+held AS (
+  SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared, any_value(i.n) AS n_shingles
+  FROM g d JOIN g i ON d.gram = i.gram AND d.kind = 0 AND i.kind = 1
+  GROUP BY d.rid, d.id, i.rid, i.id HAVING count(*) >= {THRESHOLD} * any_value(i.n))
+SELECT doc_id, item_id, n_shared, n_shingles::BIGINT AS n_shingles, n_shared::DOUBLE / n_shingles AS containment
+FROM held QUALIFY row_number() OVER (
+  PARTITION BY doc_id, item_id ORDER BY n_shared::DOUBLE / n_shingles DESC, n_shared DESC, n_shingles DESC) = 1
+"""

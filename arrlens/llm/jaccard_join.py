@@ -508,7 +508,7 @@ def op4_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "n_links", "component_id")
 
 
-ORACLE_SQL = f"""
+_PAIRS = f"""
 WITH RECURSIVE w AS (
   SELECT row_number() OVER () AS rid, doc_id,
          regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS ws
@@ -524,7 +524,11 @@ pairs AS (
 near AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
 reach AS (
   SELECT rid AS x, rid AS y FROM s
-  UNION SELECT r.x, n.y FROM reach r JOIN near n ON r.y = n.x)
-SELECT any_value(s.doc_id) AS doc_id, cast(any_value(len(s.grams)) AS BIGINT) AS n_shingles, min(t.doc_id) AS component_id
-FROM reach r JOIN s ON s.rid = r.x JOIN s t ON t.rid = r.y GROUP BY r.x
+  UNION SELECT r.x, n.y FROM reach r JOIN near n ON r.y = n.x),
+found AS (
+  SELECT r.x AS rid, any_value(s.doc_id) AS doc_id, cast(any_value(len(s.grams)) AS BIGINT) AS n_shingles, min(t.doc_id) AS component_id
+  FROM reach r JOIN s ON s.rid = r.x JOIN s t ON t.rid = r.y GROUP BY r.x)
 """
+ORACLE_SQL = _PAIRS + "SELECT doc_id, n_shingles, component_id FROM found"
+LINKS_SQL = _PAIRS + """SELECT doc_id, n_shingles, coalesce(n_links, 0) AS n_links, component_id
+FROM found LEFT JOIN (SELECT x AS rid, count(*) AS n_links FROM near GROUP BY x) USING (rid)"""

@@ -192,8 +192,12 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     marks = (labels.where("quality is not null").where(fold(F.col("doc_id")) != 0)
              .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("good")).distinct()
              .orderBy(F.xxhash64("doc_id"), "good").limit(fit_rows))
-    # At most fit_rows pairs of numbers: a bounded side.
-    rows = stored(docs.select("doc_id", text_or_empty(docs).alias("text")).join(F.broadcast(marks), "doc_id"), "fit")
+    # At most fit_rows pairs of numbers: a bounded side. One id may stand for many
+    # rows, so the joined rows are bounded too, by numbers of their own.
+    rows = docs.select("doc_id", text_or_empty(docs).alias("text")).join(F.broadcast(marks), "doc_id")
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "fit")
+    first = rows.orderBy(F.xxhash64("doc_id"), "good", F.xxhash64("text"), "row").select("row").limit(fit_rows)
+    rows = rows.join(F.broadcast(first), "row", "left_semi").drop("row")
 
     def gather(batches):
         tables = [np.zeros((n, DIMENSIONS), np.int32) for n in (WORD_ROWS, SHAPE_ROWS)]

@@ -26,7 +26,9 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_decontamination": decontaminate.ORACLE_SQL,
     "op4_jaccard_join": jaccard_join.ORACLE_SQL,
+    "op4_jaccard_links": jaccard_join.LINKS_SQL,
     "op5_line_dedup": line_dedup.ORACLE_SQL,
     "op8_chat_formatting": chat_format.ORACLE_SQL,
     "op11_vector_codes": vector_codes.ORACLE_SQL,

@@ -4,7 +4,7 @@ import brute
 import duckdb
 import numpy as np
 import pytest
-from arrlens.llm import jaccard_join, line_dedup, suffix_dedup
+from arrlens.llm import decontaminate, jaccard_join, line_dedup, suffix_dedup
 from arrlens.llm.components import components
 from arrlens.llm.decontaminate import clean_documents, contained, op1_decontamination
 
@@ -41,6 +41,13 @@ ODD = [(None, None), (None, ""), (5, " \n\t "), (6, None), (7, "one two"), (8, "
        (9, "one two three four five"), (None, "one two three four five"), (10, "\n\n"), (11, "word " * 3000), (12, "word " * 2999)]
 
 
+# n-gram Jaccard join
+
+def test_links_query_equals_sql(spark, small_dir):
+    got = jaccard_join.op4_jaccard_links(spark, small_dir)
+    assert sorted(map(tuple, got.collect())) == _oracle(small_dir, f"SELECT {','.join(got.columns)} FROM ({jaccard_join.LINKS_SQL})")
+
+
 # line dedup
 
 def test_line_dedup_query_equals_sql(spark, small_dir):
@@ -184,6 +191,47 @@ def test_repeated_and_colliding_item_ids_are_items_of_their_own(spark, scratch):
     assert sorted(r.doc_id for r in kept) == [10, 14]
 
 
+def test_decontamination_query_equals_sql(spark, small_dir):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{small_dir}/{t}.parquet'")
+    got = op1_decontamination(spark, small_dir)
+    want = con.execute(f"SELECT {','.join(got.columns)} FROM ({decontaminate.ORACLE_SQL})").fetchall()
+    assert want and sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_filters_grow_with_the_items(spark):
+    keys = np.random.default_rng(0).integers(-(1 << 63), 1 << 63, 200_000)
+    held = decontaminate._filter(spark.createDataFrame([(int(k),) for k in keys], "key long"), "key")
+    assert held.has(keys.view(np.uint64)).all()
+    other = np.random.default_rng(1).integers(0, 1 << 63, 50_000, dtype=np.uint64)
+    assert held.has(other).mean() < 0.01
+
+
+def test_fifty_thousand_items_and_a_text_of_a_million_words(spark):
+    rng = random.Random(8)
+    items = [(i, " ".join(f"q{i}w{k}" for k in range(8 + i % 20))) for i in range(50_000)]
+    noise = [f"n{rng.randrange(10 ** 9)}" for _ in range(1_000_000)]
+    wanted = {i: rng.randrange(0, 990_000) for i in range(0, 50_000, 5000)} | {49_999: 16_384 * 4 - 9}  # one over a segment's edge
+    for i, at in wanted.items():
+        own = items[i][1].split()
+        noise[at:at + len(own)] = own
+    docs = spark.createDataFrame([(1, " ".join(noise)), (2, items[77][1]), (3, "short and clean text of eight words here")],
+                                 "doc_id long, text string")
+    got = contained(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, i) for i in wanted} | {(2, 77)}
+
+
+def test_windows_do_not_depend_on_segments(monkeypatch):
+    rng = np.random.default_rng(3)
+    h = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
+    everything = decontaminate.Filter(np.full(1 << 10, 255, np.uint8))
+    mult = decontaminate._multipliers()
+    whole = decontaminate._window_keys(h, [0, 2, 5], everything, mult)
+    monkeypatch.setattr(decontaminate, "SEGMENT", 32)
+    assert (decontaminate._window_keys(h, [0, 2, 5], everything, mult) == whole).all()
+
+
 # suffix dedup
 
 def _six(frame):
@@ -206,6 +254,19 @@ def test_suffix_dedup_of_shifted_overlapping_and_odd_rows(spark):
     assert suffix_dedup.without_repeats(_table(spark, [])).count() == 0
 
 
+def test_hashes_of_equal_strings_are_equal_wherever_they_stand():
+    rng = np.random.default_rng(6)
+    text = rng.integers(97, 99, 3 * suffix_dedup.WINDOW // 2, dtype=np.uint8)
+    text[suffix_dedup.WINDOW - 50:suffix_dedup.WINDOW + 150] = text[1000:1200]  # over a window's edge
+    block = suffix_dedup.Block(text.tobytes(), np.array([0, len(text)]))
+    for length in (44, 100):
+        at = np.arange(0, len(text) - length + 1)
+        h = block.fingerprints(at, length)
+        assert (h[suffix_dedup.WINDOW - 50:suffix_dedup.WINDOW + 150 - length] == h[1000:1200 - length]).all()
+        strings = np.lib.stride_tricks.sliding_window_view(text, length)[:20_000]
+        assert len(np.unique(h[:20_000])) == len(np.unique(strings, axis=0))
+
+
 def test_the_cover_reaches_every_pair_of_places():
     cover = set(suffix_dedup.COVER)
     assert {(a - b) % suffix_dedup.PERIOD for a in cover for b in cover} == set(range(suffix_dedup.PERIOD))

@@ -83,3 +83,13 @@ def test_held_out_labels_are_not_learnt(spark):
     flipped = [(i, 1 - q if zlib.crc32(str(i).encode()) % 5 == 0 else q, t) for i, q, t in labels]
     a, b = (qc.scored(docs, qc.fit(docs, _labels(spark, x))).orderBy("doc_id").collect() for x in (labels, flipped))
     assert a == b
+
+
+def test_a_repeated_labelled_id_cannot_pass_the_fitting_bound(spark, monkeypatch):
+    rows = [(1, f"good words about things {i} " * 4) for i in range(300)] + [(i, f"bad {i} ## ## " * 3) for i in range(2, 40)]
+    seen = []
+    monkeypatch.setattr(qc, "train", lambda x, y, tables, *a, old=qc.train: seen.append(len(x)) or old(x, y, tables, *a))
+    labels = [(i, int(i == 1), 0) for i in range(1, 40)]
+    model = qc.fit(_table(spark, rows), _labels(spark, labels), fit_rows=50)
+    assert seen[0] <= 50
+    assert qc.scored(_table(spark, rows), model).count() == len(rows)
