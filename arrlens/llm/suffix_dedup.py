@@ -139,8 +139,9 @@ def without_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
                     .select("key", F.col("first.doc_id").alias("doc_id")), "firsts")
     same = docs["key"].eqNullSafe(firsts["key"]) & docs["doc_id"].eqNullSafe(firsts["doc_id"])
     rows = docs.join(firsts, same, "left_semi").select("doc_id", F.lit(None).cast("long").alias("text_key"), "text")
-    # Block numbers follow the order of the documents.
-    texts = blocks(rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
+    # Block numbers follow the order of the documents; one id's many texts are parted by how they begin.
+    dealt = rows.withColumn("head", F.substring("text", 1, 64)).repartitionByRange("doc_id", "head")
+    texts = blocks(dealt.sortWithinPartitions("doc_id", "text").drop("head"))
 
     def sample_keys(row, _):
         block = Block(row["text"], row["offsets"])

@@ -12,8 +12,8 @@ A task writes each file under a name of its own and then renames it, so a
 repeated task leaves the same files. The driver holds a row for each part.
 
 Defined results: a null text is empty, so the document is its end id; null
-ids come first and rows with equal ids are ordered by text; repeated rows are
-repeated documents; an empty table gives a folder without parts; other
+ids come first and rows with equal ids are ordered by their first 64 characters,
+then by a hash of the text; repeated rows are repeated documents; an empty table gives a folder without parts; other
 columns are not written.
 """
 
@@ -92,7 +92,9 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary_path: str, spaced: boo
     store, root = _store(folder)
     store.create_dir(root)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # One id may stand for many rows: how its texts begin, their hashes, and equal rows' numbers part them.
+    order = {"doc_id": F.col("doc_id"), "head": F.substring("text", 1, 64), "hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()}
+    rows = rows.withColumns(order).repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def write(batches):
         own = TaskContext.get()

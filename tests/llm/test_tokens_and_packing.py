@@ -131,3 +131,20 @@ def test_knapsack_equals_brute_force():
         got = best_content(price, 12)
         assert sum(price[n] * k for n, k in got.items()) == pytest.approx(best)
         assert sum(n * k for n, k in got.items()) <= 12
+
+
+def test_one_id_of_many_rows_is_dealt_over_the_parts(spark):
+    rows = [(7, f"text {i % 50} of one id", None) for i in range(3000)] + [(7, "equal rows", None)] * 3000 + [(8, "z", None), (6, "a", None)]
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # as with rows enough to fill the parts
+    try:
+        folder = write_tokens(_docs(spark, rows), scratch(spark, "t"), vocabulary_file("word_bpe_49k.json"))
+    finally:
+        spark.conf.unset(coalesce)
+    got = sorted(read_tokens(spark, folder).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [6, *[7] * 6000, 8] and got[0].start == 0
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
+    import json
+
+    parts = json.load(open(f"{folder.removeprefix('file:')}/parts.json"))
+    assert max(p["docs"] for p in parts) < 3000
