@@ -6,6 +6,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -49,22 +50,41 @@ def scratch(spark: SparkSession, name: str) -> str:
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def _shuffles_released(spark: SparkSession):
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends there,
     a lost executor costs a re-read, and the shuffle files behind it can go."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    with _shuffles_released(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
 
 
+def stored_by(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``df`` stored in as many buckets of ``key`` as there are shuffle partitions,
+    and read through the catalog: joins by ``key`` exchange only their other side."""
+    spark = df.sparkSession
+    path, table_name = scratch(spark, name), f"{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with _shuffles_released(spark):
+        df.write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(table_name)
+    out = spark.table(table_name)
+    out._stored_at, out._table = path, table_name
+    return out
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder, in whatever store it is."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -74,6 +94,8 @@ def delete(spark: SparkSession, path: str) -> None:
 def discard(*frames: DataFrame) -> None:
     """Delete the files behind ``stored`` frames that nothing reads any more."""
     for df in frames:
+        if hasattr(df, "_table"):
+            df.sparkSession.sql(f"DROP TABLE {df._table}")
         delete(df.sparkSession, df._stored_at)
 
 

@@ -4,7 +4,9 @@ Texts are stored in numbered blocks of a few MB. A block sends its sorted
 distinct 64-bit keys, by ranges of keys (buckets), as differences; each bucket
 is sorted as a whole and answers with one bit for each key of each block. So
 positions never leave their block, and a task holds one bucket's keys, however
-often a key occurs.
+often a key occurs. Blocks are stored by their number, so answers come to them
+without an exchange of texts. Keys may have 32 bits more (``extra``), for those
+whose equality decides.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import slices, stored, stored_by
 
 #: Bytes of the texts in one block.
 BLOCK_BYTES = 4 << 20
@@ -42,7 +44,7 @@ def blocks(docs: DataFrame) -> DataFrame:
                 names=[f.split()[0] for f in BLOCK.split(", ")])
             nth += 1
 
-    return stored(docs.select("doc_id", "text_key", "text").mapInArrow(gather, BLOCK), "blocks")
+    return stored_by(docs.select("doc_id", "text_key", "text").mapInArrow(gather, BLOCK), "block", "blocks")
 
 
 def block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, dict[str, dict[int, bytes]]]]:
@@ -64,15 +66,37 @@ def texts_of_block(row: dict) -> pa.Array:
                                  [None, pa.py_buffer(row["offsets"].astype(np.int64).tobytes()), body])
 
 
+def _sorted(key: np.ndarray, extra: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """A stable order of the keys, and which of them equal the one before."""
+    order = np.argsort(key, kind="stable")
+    same = key[order][1:] == key[order][:-1]
+    if extra is not None:
+        also = extra[order][1:] == extra[order][:-1]
+        if (same & ~also).any():  # equal 64 bits of different keys: sort by all bits
+            order = np.lexsort((extra, key))
+            same, also = key[order][1:] == key[order][:-1], extra[order][1:] == extra[order][:-1]
+        same &= also
+    return order, same
+
+
+def _planes(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def _from_planes(planes: np.ndarray, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 class Keys:
     """Sorted distinct keys of some positions of a block."""
 
-    def __init__(self, position: np.ndarray, key: np.ndarray):
-        order = np.argsort(key, kind="stable")  # positions of equal keys ascend
-        self.position, key = position[order], key[order]
+    def __init__(self, position: np.ndarray, key: np.ndarray, extra: np.ndarray | None = None):
+        order, same = _sorted(key, extra)  # positions of equal keys ascend
+        self.position = position[order]
         self.new = np.ones(len(key), bool)
-        self.new[1:] = key[1:] != key[:-1]
-        self.key = key[self.new]
+        self.new[1:] = ~same
+        self.key = key[order][self.new]
+        self.extra = None if extra is None else extra[order][self.new]
 
     def buckets(self, buckets: int, bits: int) -> list[tuple[int, bytes]]:
         """The keys of each bucket (a range of keys), as differences stored
@@ -85,8 +109,8 @@ class Keys:
                 own = self.key[i:j] - edge[b]
                 if bits == 32:  # scaled to the bucket
                     own = own // np.uint64((1 << 64) // buckets // (1 << 32) + 1)
-                step = np.diff(own, prepend=np.uint64(0)).astype("<u4" if bits == 32 else "<u8")
-                out.append((b, np.ascontiguousarray(step.view(np.uint8).reshape(len(step), -1).T).tobytes()))
+                steps = _planes(np.diff(own, prepend=np.uint64(0)).astype("<u4" if bits == 32 else "<u8"))
+                out.append((b, steps if self.extra is None else steps + _planes(self.extra[i:j].astype("<u4"))))
         return out
 
     def marked(self, reply: dict[int, bytes], buckets: int) -> np.ndarray:
@@ -121,21 +145,20 @@ def asked(blocks: DataFrame, keys, buckets: int, bits: int) -> DataFrame:
 def answers(asked: DataFrame, buckets: int, bits: int, earlier: bool, name: str) -> DataFrame:
     """For rows (block, bucket, steps): for each block its answers (bucket,
     bits), a bit for each key: does an earlier, or any other, block have it."""
-    kind = "<u4" if bits == 32 else "<u8"
+    kind, size_of = ("<u4", 4) if bits == 32 else ("<u8", 8)
 
     def sort(batches):
-        held: dict[int, list[tuple[int, np.ndarray]]] = {}
+        held: dict[int, list[tuple[int, np.ndarray, np.ndarray | None]]] = {}
         for batch in batches:
             for block, bucket, steps in zip(*(batch.column(c).to_pylist() for c in ("block", "bucket", "steps"))):
                 planes = np.frombuffer(steps, np.uint8).reshape(bits // 8, -1)
-                own = np.cumsum(np.ascontiguousarray(planes.T).view(kind).ravel(), dtype=np.uint64)
-                held.setdefault(bucket, []).append((block, own))
+                own = np.cumsum(_from_planes(planes[:size_of], kind), dtype=np.uint64)
+                held.setdefault(bucket, []).append((block, own, _from_planes(planes[size_of:], "<u4") if bits == 96 else None))
         for bucket in list(held):  # one bucket at a time
             parts = sorted(held.pop(bucket), key=lambda x: x[0])
-            size = [len(k) for _, k in parts]
-            key = np.concatenate([k for _, k in parts])
-            order = np.argsort(key, kind="stable")  # earlier blocks first
-            same = key[order][1:] == key[order][:-1]
+            size = [len(k) for _, k, _ in parts]
+            key = np.concatenate([k for _, k, _ in parts])
+            order, same = _sorted(key, np.concatenate([x for _, _, x in parts]) if bits == 96 else None)  # earlier blocks first
             mark = np.zeros(len(key), bool)
             mark[order[1:][same]] = True
             if not earlier:
@@ -143,7 +166,7 @@ def answers(asked: DataFrame, buckets: int, bits: int, earlier: bool, name: str)
             cut = np.concatenate(([0], np.cumsum(size))).tolist()
             packed = [np.packbits(mark[i:j]).tobytes() for i, j in zip(cut, cut[1:])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _ in parts]), pa.array([bucket] * len(parts), pa.int32()), pa.array(packed, pa.binary())],
+                [pa.array([b for b, _, _ in parts]), pa.array([bucket] * len(parts), pa.int32()), pa.array(packed, pa.binary())],
                 names=["block", "bucket", "bits"])
 
     rows = asked.repartitionById(buckets, F.col("bucket")).mapInArrow(sort, "block long, bucket int, bits binary")
