@@ -6,6 +6,9 @@ Spark how they lie. Whatever groups or joins by customer (cohorts, accounts,
 channels, sales owners, segments, foreign keys to customers) then reads bucket
 by bucket without an exchange, month filters still prune folders, and a rerun
 pays the one exchange of the write only once. Products are two rows.
+
+A session without a lasting catalog forgets the tables, but not their files: the
+folder says how they lie, and ``register_bucketed`` enters them again.
 """
 
 from __future__ import annotations
@@ -13,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import TABLE_ORDER, TABLE_SCHEMAS, Domains, Model
+from .snapshots import commit, read_pointer
+from .tables import NUMBER
 
 BUCKETED = ("customers", "revenue", "churn")
 
@@ -31,7 +36,7 @@ def save_bucketed(model: Model, path: str, name: str, buckets: int | None = None
         columns = TABLE_SCHEMAS[t].fieldNames()
         df = getattr(model, t)
         if t == "revenue" and model.numbered is not None:
-            df, columns = model.numbered, [*columns, "customer_no"]
+            df, columns = model.numbered, [*columns, NUMBER.name]
         df = df.select(*columns)
         if t in BUCKETED:
             df = df.repartition(buckets, "customer_id")
@@ -42,6 +47,25 @@ def save_bucketed(model: Model, path: str, name: str, buckets: int | None = None
         else:
             write = df.write
         write.mode("overwrite").option("path", f"{path}/{t}").format("parquet").saveAsTable(_table(name, t))
+    commit(spark, path, {"buckets": buckets, "numbered": model.numbered is not None})
+    return name
+
+
+def register_bucketed(spark: SparkSession, path: str, name: str) -> str:
+    """Enter tables that ``save_bucketed`` wrote to ``path`` into the session's
+    catalog as ``<name>_<table>``; no data is moved. Returns ``name``."""
+    held = read_pointer(spark, path)
+    if held is None:
+        raise FileNotFoundError(f"no whole set of bucketed tables in {path}")
+    for t in TABLE_ORDER:
+        fields = TABLE_SCHEMAS[t].fields + [NUMBER] * (t == "revenue" and held["numbered"])
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+        lie = "PARTITIONED BY (revenue_month)" if t == "revenue" else ""
+        if t in BUCKETED:
+            lie += f" CLUSTERED BY (customer_id) SORTED BY (customer_id) INTO {held['buckets']} BUCKETS"
+        spark.sql(f"CREATE TABLE {_table(name, t)} ({columns}) USING parquet {lie} LOCATION '{path}/{t}'")
+        if t == "revenue":
+            spark.sql(f"MSCK REPAIR TABLE {_table(name, t)}")  # its months
     return name
 
 
@@ -50,6 +74,6 @@ def load_bucketed(spark: SparkSession, name: str, domains: Domains | None = None
     def read(t: str) -> DataFrame:
         return spark.table(_table(name, t)).select(*TABLE_SCHEMAS[t].fieldNames())
     revenue = spark.table(_table(name, "revenue"))
-    numbered = revenue.select(*TABLE_SCHEMAS["revenue"].fieldNames(), "customer_no") if "customer_no" in revenue.columns else None
+    numbered = revenue.select(*TABLE_SCHEMAS["revenue"].fieldNames(), NUMBER.name) if NUMBER.name in revenue.columns else None
     return Model(customers=read("customers"), products=read("products"), revenue=read("revenue"), churn=read("churn"),
                  domains=domains or Domains(), numbered=numbered)

@@ -14,6 +14,7 @@ as a whole (see ``snapshots``), so readers see the old model or the new one.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from ..schema import Model, Period, add_months
 from ..session import shared_dir
 from .orders import ENTERPRISE_MRR_THRESHOLD, ORDER_DOMAINS, assemble_customers, customer_dimension, order_events, read
 from .snapshots import new_snapshot, read_pointer, written_months
-from .tables import load_model, publish, write_revenue
+from .tables import load_model, next_number, publish, write_revenue
 
 
 def changed_customers(old: Model, appended: DataFrame, old_end: date, period: Period) -> DataFrame:
@@ -64,9 +65,8 @@ def refresh_model(spark: SparkSession, path: str, sf_dir: str, appended: DataFra
 
     events = order_events(read(spark, sf_dir, "orders"))
     own = events.join(changed.select("customer_key"), "customer_key", "left_semi")
-    numbers = old.numbered.agg(F.max("customer_no")).first()[0] if old.numbered is not None else None
     segments = lifecycle_segments(contract_months(own, period), period, tier_threshold, term_months,
-                                  first_number=(-1 if numbers is None else numbers) + 1).checkpoint(eager=True)
+                                  first_number=pointer["next_number"]).checkpoint(eager=True)
     rebuilt = expand_panel(segments, period, numbered=pointer["numbered"])
     held = old.numbered if pointer["numbered"] else old.revenue
     months = changed_months(held.join(changed.select("customer_id"), "customer_id", "left_semi"), rebuilt)
@@ -83,5 +83,7 @@ def refresh_model(spark: SparkSession, path: str, sf_dir: str, appended: DataFra
     written = {m: snapshot for m in written_months(spark, f"{path}/revenue", snapshot)}
     left = {m: s for m, s in pointer["months"].items() if m not in {str(m) for m in months}}
     publish(spark, path, {"tables": pointer["tables"] | {"customers": snapshot, "churn": snapshot},
-                          "months": left | written, "numbered": pointer["numbered"]}, ORDER_DOMAINS, check)
+                          "months": left | written, "numbered": pointer["numbered"],
+                          "next_number": max(pointer["next_number"], next_number(replace(old, segments=segments)))},
+            ORDER_DOMAINS, check)
     return months

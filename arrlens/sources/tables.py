@@ -102,11 +102,19 @@ def save_model(model: Model, path: str, mode: str = "overwrite", concurrent: boo
                 f.result()
     months = written_months(spark, f"{path}/revenue", snapshot)
     pointer = {"tables": {n: snapshot for n in TABLE_ORDER if n != "revenue"}, "months": {m: snapshot for m in months},
-               "numbered": model.numbered is not None}
+               "numbered": model.numbered is not None, "next_number": next_number(model)}
     publish(spark, path, pointer, model.domains, check)
     return path
 
 
+def next_number(model: Model) -> int:
+    """A customer number beyond all of the model's: read off the segments, which
+    are fewer than the panel's rows, where the model has them."""
+    rows = model.numbered if model.segments is None else model.segments
+    last = None if model.numbered is None else rows.agg(F.max("customer_no")).first()[0]
+    return 0 if last is None else last + 1
+
+
 def publish(spark: SparkSession, path: str, pointer: dict, domains: Domains, check: Callable[[Model], None] | None = None) -> None:
     """Check the tables that ``pointer`` names, then make them the published ones."""
     if check:

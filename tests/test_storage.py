@@ -17,7 +17,7 @@ from arrlens.operators.quality import QualityGateError, assert_quality, quality_
 from arrlens.plans.suite import ReconciliationError, Suite, run_analysis
 from arrlens.schema import Period
 from arrlens.sources import tables as T
-from arrlens.sources.bucketed import load_bucketed, save_bucketed
+from arrlens.sources.bucketed import load_bucketed, register_bucketed, save_bucketed
 from arrlens.sources.orders import ORDER_DOMAINS, model_from_orders, order_period
 from arrlens.sources.refresh import refresh_model
 from arrlens.sources.snapshots import read_pointer, remove_unpublished
@@ -184,9 +184,23 @@ def test_large_results_stay_spread_over_files(spark, scratch):
 
 @pytest.fixture(scope="module")
 def buckets(spark, tmp_path_factory):
-    m = _model(spark)
-    save_bucketed(m, str(tmp_path_factory.mktemp("buckets")), "arrlens_test", buckets=4)
-    return m, load_bucketed(spark, "arrlens_test", ORDER_DOMAINS)
+    """A model, and the same from a session's catalog that had to learn of its files anew."""
+    m, path = _model(spark), str(tmp_path_factory.mktemp("buckets"))
+    save_bucketed(m, path, "arrlens_test", buckets=4)
+    assert _equal(load_bucketed(spark, "arrlens_test", ORDER_DOMAINS), m)
+    for t in T.TABLE_ORDER:
+        spark.sql(f"DROP TABLE arrlens_test_{t}")
+    register_bucketed(spark, path, "arrlens_again")
+    return m, load_bucketed(spark, "arrlens_again", ORDER_DOMAINS)
+
+
+def test_registered_tables_hold_the_whole_model(buckets):
+    assert _equal(*buckets)
+
+
+def test_a_suite_on_bucketed_tables_reconciles(spark, buckets):
+    suite = Suite(buckets[1], order_period(spark, SF_SMALL), cache_results=True)
+    assert all(r.passed for r in suite.reconciliation().collect())
 
 
 BY_CUSTOMER = {"executive_kpis": K.executive_kpis, "annual_retention": K.annual_retention, "account_facts": K.account_facts,
