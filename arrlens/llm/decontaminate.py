@@ -11,9 +11,10 @@ but with probability (1 - THRESHOLD / 6) ** PERMUTATIONS, under 1e-7.
 
 A Bloom filter of the items' band keys lets only the few windows that meet an
 item leave their task, with those of their document's shingles that another
-filter says some item has. Filters have 16 bits for each key, up to ``MOST_BITS``
-(32 MB, 130,000 items; beyond, they let more through, and the joins sort it
-out). Joins on band keys give candidate pairs, and exact counts of the item's
+filter says some item has. Filters have 64 bits for each key, so one key in two
+million passes by chance, up to ``MOST_BITS`` (32 MB, 4 million keys; with 16
+million, the band keys of 130,000 items, one in a thousand passes, and the joins
+sort it out). Joins on band keys give candidate pairs, and exact counts of the item's
 shingles found in the whole document verify them. Documents are searched
 ``SEGMENT`` blocks at a time (more if an item is longer), however long they are.
 
@@ -44,18 +45,18 @@ BLOCK = 4
 #: Blocks of a document that are searched at once.
 SEGMENT = 4096
 #: Bits of a filter for each key, and at most; hash functions.
-KEY_BITS = 16
+KEY_BITS = 64
 MOST_BITS = 1 << 28
-FILTER_HASHES = 3
+FILTER_HASHES = 6
 
 
 def _multipliers() -> np.ndarray:
     return mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def _filter_bits(keys: np.ndarray, size: int) -> np.ndarray:
-    """Positions of each key in a filter of ``size`` bits, a row for each hash function."""
-    return np.stack([mix(keys + np.uint64(i)) & np.uint64(size - 1) for i in range(FILTER_HASHES)])
+def _filter_bits(keys: np.ndarray, i: int, size: int) -> np.ndarray:
+    """Position that hash function ``i`` gives each key in a filter of ``size`` bits."""
+    return mix(keys + np.uint64(i)) & np.uint64(size - 1)
 
 
 @dataclass
@@ -65,10 +66,12 @@ class Filter:
     bits: np.ndarray
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        at = _filter_bits(keys, 8 * len(self.bits))
-        found = np.ones(len(keys), bool)
-        for row in at:
-            found &= (self.bits[row >> np.uint64(3)] >> (row & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        left = np.arange(len(keys))
+        for i in range(FILTER_HASHES):  # each function sees only what the others let through
+            at = _filter_bits(keys[left] if i else keys, i, 8 * len(self.bits))
+            left = left[(self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+        found = np.zeros(len(keys), bool)
+        found[left] = True
         return found
 
 
@@ -83,7 +86,8 @@ def _filter(keys: DataFrame, column: str) -> Filter:
     def positions(batches):
         for batch in batches:
             k = batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_filter_bits(k, size)).astype(np.int64) + 1)], names=["place"])
+            at = np.unique(np.concatenate([_filter_bits(k, i, size) for i in range(FILTER_HASHES)]))
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64) + 1)], names=["place"])
 
     rows = keys.select(column).mapInArrow(positions, "place long").groupBy(F.bitmap_bucket_number("place").alias("piece"))
     held = rows.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
