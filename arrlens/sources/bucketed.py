@@ -69,8 +69,16 @@ def register_bucketed(spark: SparkSession, path: str, name: str) -> str:
     return name
 
 
+#: Spark 4.1 takes a union of bucketed scans to lie as they do, but appends their
+#: partitions, so a group over it comes out in parts. Switched off, it exchanges.
+UNION_PARTITIONING = "spark.sql.unionOutputPartitioning"
+
+
 def load_bucketed(spark: SparkSession, name: str, domains: Domains | None = None) -> Model:
-    """The model of the catalog tables ``<name>_<table>``."""
+    """The model of the catalog tables ``<name>_<table>``. Sets
+    ``UNION_PARTITIONING`` off in the session, which unions of such tables need."""
+    spark.conf.set(UNION_PARTITIONING, "false")
+
     def read(t: str) -> DataFrame:
         return spark.table(_table(name, t)).select(*TABLE_SCHEMAS[t].fieldNames())
     revenue = spark.table(_table(name, "revenue"))

@@ -198,6 +198,15 @@ def test_registered_tables_hold_the_whole_model(buckets):
     assert _equal(*buckets)
 
 
+def test_unions_of_bucketed_tables_are_grouped_whole(spark, buckets):
+    from arrlens.operators.quality import quality_report
+    from arrlens.sources.orders import model_with_defects
+    got, want = ([tuple(r) for r in quality_report(model_with_defects(m)).collect()] for m in (buckets[1], buckets[0]))
+    assert got == want
+    both = buckets[1].customers.unionByName(buckets[1].customers)
+    assert both.groupBy("customer_id").count().count() == buckets[1].customers.count()
+
+
 def test_a_suite_on_bucketed_tables_reconciles(spark, buckets):
     suite = Suite(buckets[1], order_period(spark, SF_SMALL), cache_results=True)
     assert all(r.passed for r in suite.reconciliation().collect())
