@@ -1,7 +1,7 @@
 """Line dedup (5): levelled sorted runs of line hashes.
 
-A run is a table (key, documents that hold it), hash-partitioned and sorted by
-key. Each new batch of documents merge-anti-joins the runs: keys that they
+A run is a table (key, documents that hold it), written sorted by key (Spark does
+not use a stored file's order: merges and joins of runs sort anew). Each new batch of documents merge-anti-joins the runs: keys that they
 already prove frequent need no more counting, and the rest becomes a run of
 its own at level 0. ``FANOUT`` runs of a level are merged into one of the
 next. In the end the runs are merged once and documents lose the lines whose
