@@ -8,8 +8,11 @@ components. Equal sets are one node from the start.
    n) of them or more stand in other sets too. Blocks of texts ask which of
    their shingles other blocks have (``key_buckets``); only sets with T shared
    ones go on, and of them only the shared shingles. The nodes that are left,
-   each once now, are asked ``ROUNDS`` times more.
-2. Cells. Shingles stand in one order for all, that of their hashes. Linked sets
+   each once now, are asked ``ROUNDS`` times more, also how often each shingle
+   occurs.
+2. Cells. Shingles stand in one order for all: rare ones first, equally frequent
+   ones by their hashes. So sets meet by what few have, and a set is sent to few
+   cells, also when most texts share some passages. Linked sets
    have T of their s shared shingles in common, so one of the first s - T + 1
    of each at least. Postings (shingle,
    node) of these prefixes are dealt by shingle. All postings of a shingle
@@ -47,9 +50,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import discard, shingles, slices, stored, table, text_or_empty
+from .common import discard, shingles, slices, stored, stored_by, table, text_or_empty
 from .components import components
-from .key_buckets import Keys, answers, asked, block_rows, blocks, texts_of_block
+from .key_buckets import Keys, answers, asked, block_rows, blocks, frequencies, texts_of_block
 from .line_dedup import LOWER, UPPER
 
 PERCENT = 75
@@ -141,30 +144,35 @@ def _documents(docs: DataFrame, buckets: int) -> DataFrame:
     return out
 
 
-def _still_shared(sets: DataFrame, buckets: int) -> DataFrame:
+def _still_shared(sets: DataFrame, buckets: int, by_node: bool = False) -> DataFrame:
     """Of the sets (node, n_shingles, tokens) those that have enough shingles in
-    common with others of them, with only these shingles; stored."""
+    common with others of them, with only these shingles, rare ones first;
+    stored, ``by_node`` in buckets of the node, so joins leave them in place."""
     held = blocks(sets.select(F.col("node").alias("doc_id"), F.col("n_shingles").alias("text_key"),
                               F.col("tokens").alias("text")))
 
     def all_keys(row, _=None):
         token = np.frombuffer(row["text"], np.uint64)
-        return Keys(np.arange(len(token)), token)
+        return Keys(np.arange(len(token)), token).counted()
 
-    common = answers(asked(held, all_keys, buckets, 32), buckets, 32, False, "common")
+    common = frequencies(asked(held, all_keys, buckets, 32), buckets, "common")
 
     def run(batches):
         for row, replies in block_rows(batches):
-            again = _shared(all_keys(row), replies["common"], buckets)
-            token, cut = np.frombuffer(row["text"], np.uint64), (row["offsets"] // 8).tolist()
-            size = row["text_keys"].to_numpy()
+            keys, token = all_keys(row), np.frombuffer(row["text"], np.uint64)
+            level = np.empty(len(token), np.uint8)
+            level[keys.position] = keys.spread(keys.levels(replies["common"]))
+            size, cut = row["text_keys"].to_numpy(), row["offsets"] // 8
+            order = np.lexsort((token, level, np.repeat(np.arange(len(size)), np.diff(cut))))
+            token, again, cut = token[order], level[order] > 0, cut.tolist()
             kept = [token[a:b][again[a:b]] for a, b in zip(cut, cut[1:])]
             enough = np.array([len(k) >= required(n) for k, n in zip(kept, size.tolist())], bool)
             yield pa.RecordBatch.from_arrays(
                 [row["doc_ids"].filter(pa.array(enough)), pa.array(size[enough]),
                  pa.array([k.tobytes() for k, e in zip(kept, enough) if e], pa.binary())], names=["node", "n_shingles", "tokens"])
 
-    out = stored(held.join(common, "block", "left").mapInArrow(run, "node long, n_shingles long, tokens binary"), "nodes")
+    rows = held.join(common, "block", "left").mapInArrow(run, "node long, n_shingles long, tokens binary")
+    out = stored_by(rows.repartition(buckets, "node"), "node", "nodes") if by_node else stored(rows, "nodes")
     discard(held)
     return out
 
@@ -413,8 +421,8 @@ def links(sets: DataFrame, buckets: int, chunk: int = CHUNK, copies: DataFrame |
     each node in ``copies`` (node, copies), the number of documents of other
     nodes that a node links with (node, near). ``sets`` is used up."""
     count = copies is not None
-    for _ in range(ROUNDS):
-        before, sets = sets, _still_shared(sets, buckets)
+    for nth in range(ROUNDS):
+        before, sets = sets, _still_shared(sets, buckets, nth == ROUNDS - 1)
         discard(before)
     cells = stored(_cells(_postings(sets, buckets), buckets), "cells")
     many = cells.join(sets.select("node", "n_shingles"), "node")

@@ -4,7 +4,8 @@ Texts are stored in numbered blocks of a few MB. A block sends its sorted
 distinct 64-bit keys, by ranges of keys (buckets), as differences; each bucket
 is sorted as a whole and answers with one bit for each key of each block. So
 positions never leave their block, and a task holds one bucket's keys, however
-often a key occurs. Blocks are stored by their number, so answers come to them
+often a key occurs. It may also answer with a byte for each key, how often all
+blocks have it (``frequencies``). Blocks are stored by their number, so answers come to them
 without an exchange of texts. Keys may have 32 bits more (``extra``), for those
 whose equality decides.
 """
@@ -123,6 +124,15 @@ class Keys:
                 out[i:j] = np.unpackbits(np.frombuffer(reply[b], np.uint8), count=j - i).view(bool)
         return out
 
+    def counted(self) -> Keys:
+        """These keys with the number of positions of each, for ``frequencies``."""
+        self.extra = np.diff(np.append(np.flatnonzero(self.new), len(self.new))).astype("<u4")
+        return self
+
+    def levels(self, reply: dict[int, bytes]) -> np.ndarray:
+        """The buckets' answers of ``frequencies``, a byte for each distinct key."""
+        return np.concatenate([np.empty(0, np.uint8), *(np.frombuffer(reply[b], np.uint8) for b in sorted(reply))])
+
     def spread(self, marks: np.ndarray) -> np.ndarray:
         """Marks of distinct keys, for all positions."""
         return marks[np.cumsum(self.new) - 1] if len(self.new) else np.zeros(0, bool)
@@ -145,26 +155,50 @@ def asked(blocks: DataFrame, keys, buckets: int, bits: int) -> DataFrame:
 def answers(asked: DataFrame, buckets: int, bits: int, earlier: bool, name: str) -> DataFrame:
     """For rows (block, bucket, steps): for each block its answers (bucket,
     bits), a bit for each key: does an earlier, or any other, block have it."""
+    def marks(key, extra, cut):
+        order, same = _sorted(key, extra)  # earlier blocks first
+        mark = np.zeros(len(key), bool)
+        mark[order[1:][same]] = True
+        if not earlier:
+            mark[order[:-1][same]] = True
+        return [np.packbits(mark[i:j]).tobytes() for i, j in zip(cut, cut[1:])]
+
+    return _answered(asked, buckets, bits, bits == 96, marks, name)
+
+
+def frequencies(asked: DataFrame, buckets: int, name: str) -> DataFrame:
+    """For rows (block, bucket, steps) of ``counted`` keys of 32 bits: for each
+    block its answers (bucket, bits), a byte for each key: at how many positions
+    of all blocks it stands, as eighths of the binary logarithm (0: at one)."""
+    def levels(key, count, cut):
+        order, same = _sorted(key, None)
+        first = np.flatnonzero(np.concatenate(([True], ~same)))
+        total = np.add.reduceat(count[order].astype(np.int64), first)
+        level = np.empty(len(key), np.uint8)
+        level[order] = np.repeat(np.minimum(255, 8 * np.log2(total)).astype(np.uint8), np.diff(np.append(first, len(key))))
+        return [level[i:j].tobytes() for i, j in zip(cut, cut[1:])]
+
+    return _answered(asked, buckets, 32, True, levels, name)
+
+
+def _answered(asked: DataFrame, buckets: int, bits: int, extra: bool, reply, name: str) -> DataFrame:
+    """``reply`` makes a bucket's answers from all its keys, what stands with
+    them (``extra``), and where each block's keys begin; blocks ascend."""
     kind, size_of = ("<u4", 4) if bits == 32 else ("<u8", 8)
 
     def sort(batches):
         held: dict[int, list[tuple[int, np.ndarray, np.ndarray | None]]] = {}
         for batch in batches:
             for block, bucket, steps in zip(*(batch.column(c).to_pylist() for c in ("block", "bucket", "steps"))):
-                planes = np.frombuffer(steps, np.uint8).reshape(bits // 8, -1)
+                planes = np.frombuffer(steps, np.uint8).reshape(size_of + 4 * extra, -1)
                 own = np.cumsum(_from_planes(planes[:size_of], kind), dtype=np.uint64)
-                held.setdefault(bucket, []).append((block, own, _from_planes(planes[size_of:], "<u4") if bits == 96 else None))
+                held.setdefault(bucket, []).append((block, own, _from_planes(planes[size_of:], "<u4") if extra else None))
         for bucket in list(held):  # one bucket at a time
             parts = sorted(held.pop(bucket), key=lambda x: x[0])
             size = [len(k) for _, k, _ in parts]
             key = np.concatenate([k for _, k, _ in parts])
-            order, same = _sorted(key, np.concatenate([x for _, _, x in parts]) if bits == 96 else None)  # earlier blocks first
-            mark = np.zeros(len(key), bool)
-            mark[order[1:][same]] = True
-            if not earlier:
-                mark[order[:-1][same]] = True
             cut = np.concatenate(([0], np.cumsum(size))).tolist()
-            packed = [np.packbits(mark[i:j]).tobytes() for i, j in zip(cut, cut[1:])]
+            packed = reply(key, np.concatenate([x for _, _, x in parts]) if extra else None, cut)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _, _ in parts]), pa.array([bucket] * len(parts), pa.int32()), pa.array(packed, pa.binary())],
                 names=["block", "bucket", "bits"])

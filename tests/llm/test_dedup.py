@@ -5,6 +5,7 @@ import duckdb
 import numpy as np
 import pytest
 from arrlens.llm import decontaminate, jaccard_join, line_dedup, suffix_dedup
+from arrlens.llm.common import stored
 from arrlens.llm.components import components
 from arrlens.llm.decontaminate import clean_documents, contained, op1_decontamination
 
@@ -284,3 +285,17 @@ def test_keys_that_share_their_first_bits_are_told_apart(seed):
 def test_the_cover_reaches_every_pair_of_places():
     cover = set(suffix_dedup.COVER)
     assert {(a - b) % suffix_dedup.PERIOD for a in cover for b in cover} == set(range(suffix_dedup.PERIOD))
+
+
+def test_frequent_shingles_open_no_cells(spark):
+    """40 pairs of near copies that all share a shingle, the first by its hash:
+    each pair has a cell of its own, and none holds them all."""
+    own = [sorted([1, *(k * 0x9E3779B97F4A7C15 % 2**64 for k in range(100 * (i // 2) + 1, 100 * (i // 2) + 9))]) for i in range(80)]
+    rows = [(i, 9, np.array(s, np.uint64).tobytes()) for i, s in enumerate(own)]
+    sets = spark.createDataFrame(rows, "node long, n_shingles long, tokens binary")
+    left = jaccard_join._still_shared(sets, 4, True)
+    assert left.count() == 80
+    cells = {(r.pivot, r.node) for r in jaccard_join._cells(jaccard_join._postings(left, 4), 4).collect()}
+    assert cells == {(i // 2 * 2, i) for i in range(80)}
+    pairs, _ = jaccard_join.links(stored(sets, "test"), 4)
+    assert {tuple(sorted((r.a, r.b))) for r in pairs.collect()} == {(i, i + 1) for i in range(0, 80, 2)}
