@@ -139,7 +139,8 @@ def month_facts(model: Model, unique_keys: bool = False) -> DataFrame:
 
     Active customers are counted exactly. With customer numbers each task sets
     their bits in bitmaps by (month, 32,768 numbers) and only bitmaps are
-    exchanged; without, distinct (month, customer) pairs are."""
+    exchanged; without, distinct (month, customer) pairs are. Bitmaps need their
+    rows sorted, so they are made beside the sums, of rows of two columns."""
     by_type = [x for t in model.domains.revenue_types for x in (
         count_when(F.col("revenue_type") == t).alias(f"n_{t}"),
         sum_when(F.col("revenue_type") == t, F.col("movement_mrr_inr")).alias(f"moved_{t}"))]
@@ -152,11 +153,12 @@ def month_facts(model: Model, unique_keys: bool = False) -> DataFrame:
     if unique_keys or model.numbered is None:
         return model.revenue.groupBy("revenue_month").agg(
             *sums, distinct_customers(unique_keys).cast("long").alias("active_customers"))
-    bits, of_bits = customer_bits(F.col("customer_no"))
-    parts = model.numbered.groupBy("revenue_month", of_bits).agg(*sums, bits)
-    names = [c for c in parts.columns if c not in ("revenue_month", "_bits", "_of_bits")]
-    return parts.groupBy("revenue_month").agg(
-        *[F.sum(c).cast("long").alias(c) for c in names], F.sum(F.bitmap_count("_bits")).cast("long").alias("active_customers"))
+    rows, (bits, of_bits) = model.numbered, customer_bits(F.col("customer_no"))
+    parts = rows.groupBy("revenue_month", of_bits).agg(bits)
+    active = parts.groupBy(F.col("revenue_month").alias("_month")).agg(F.sum(F.bitmap_count("_bits")).alias("_active"))
+    months = rows.groupBy("revenue_month").agg(*sums)
+    return months.join(active, F.col("revenue_month").eqNullSafe(F.col("_month")), "left").select(
+        *months.columns, F.coalesce("_active", F.lit(0)).cast("long").alias("active_customers"))
 
 
 def customer_bits(number: Column) -> tuple[Column, Column]:
