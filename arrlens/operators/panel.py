@@ -106,9 +106,9 @@ def lifecycle_segments(cm: DataFrame, period: Period, tier_threshold: int,
     )
 
 
-def expand_panel(segments: DataFrame, period: Period, numbered: bool = False) -> DataFrame:
-    """Customer-month revenue rows of the model's months (P3-P8, P11); with the
-    customer's number if wanted."""
+def panel_months(segments: DataFrame, period: Period) -> DataFrame:
+    """What a customer-month revenue row is made from, less than half as wide:
+    for sorts and exchanges, after which ``panel_rows`` makes the rows."""
     lo = F.greatest(F.col("ym"), F.lit(period.first_index).cast("long"))
     months = (segments
               .where(F.col("seg_end") >= lo)
@@ -118,23 +118,35 @@ def expand_panel(segments: DataFrame, period: Period, numbered: bool = False) ->
     opening = (F.when(first & F.col("first_type").isin("New", "Reactivation"), F.lit(0).cast("long"))
                .when(first, F.col("prev_closing"))
                .otherwise(F.col("closing")))
-    month = month_from_index(F.col("m"))
+    return months.select(month_from_index(F.col("m")).alias("revenue_month"), "customer_key", "customer_no",
+                         (F.col("tier") == ENTERPRISE).alias("enterprise"), rtype.alias("revenue_type"),
+                         opening.cast("long").alias("opening"), F.col("closing").cast("long").alias("closing"))
+
+
+def panel_rows(months: DataFrame, numbered: bool = False) -> DataFrame:
+    """The revenue rows of ``panel_months``; a narrow projection."""
     cid = customer_id_col()
     return months.select(
-        F.concat(F.lit("R"), cid, F.lit("-"), F.date_format(month, "yyyyMM")).alias("revenue_id"),
-        month.alias("revenue_month"),
+        F.concat(F.lit("R"), cid, F.lit("-"), F.date_format("revenue_month", "yyyyMM")).alias("revenue_id"),
+        "revenue_month",
         cid.alias("customer_id"),
-        product_of(F.col("tier")).alias("product_id"),
-        rtype.alias("revenue_type"),
-        opening.cast("long").alias("opening_mrr_inr"),
-        (F.col("closing") - opening).cast("long").alias("movement_mrr_inr"),
-        F.col("closing").cast("long").alias("closing_mrr_inr"),
-        F.col("closing").cast("long").alias("recognized_revenue_inr"),
-        (F.col("closing") * 12).cast("long").alias("arr_run_rate_inr"),
+        product_of(F.when(F.col("enterprise"), F.lit(ENTERPRISE)).when(~F.col("enterprise"), F.lit(PROFESSIONAL))).alias("product_id"),
+        "revenue_type",
+        F.col("opening").alias("opening_mrr_inr"),
+        (F.col("closing") - F.col("opening")).alias("movement_mrr_inr"),
+        F.col("closing").alias("closing_mrr_inr"),
+        F.col("closing").alias("recognized_revenue_inr"),
+        (F.col("closing") * 12).alias("arr_run_rate_inr"),
         *["customer_no"] * numbered,
     )
 
 
+def expand_panel(segments: DataFrame, period: Period, numbered: bool = False) -> DataFrame:
+    """Customer-month revenue rows of the model's months (P3-P8, P11); with the
+    customer's number if wanted."""
+    return panel_rows(panel_months(segments, period), numbered)
+
+
 def customer_lifecycle(segments: DataFrame, period: Period, tier_threshold: int,
                        term_months: int = DEFAULT_TERM_MONTHS) -> DataFrame:
     """One row per customer: contract month, plans, lapse, reactivation, churn

@@ -237,7 +237,8 @@ class Domains:
 class Model:
     """The four tables. ``numbered`` is the revenue table with ``customer_no``,
     a number that stands for the customer id (for bitmaps); ``segments`` are the
-    contract months that the panel was built from. Both may be missing."""
+    contract months that the panel was built from, ``months`` its rows before
+    ``panel_rows`` makes them. All three may be missing."""
 
     customers: DataFrame
     products: DataFrame
@@ -246,6 +247,7 @@ class Model:
     domains: Domains = field(default_factory=Domains)
     numbered: DataFrame | None = None
     segments: DataFrame | None = None
+    months: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         return {"products": self.products, "customers": self.customers,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.months import month_from_index
 from ..operators.panel import (DEFAULT_TERM_MONTHS, churn_facts, contract_months,
                                customer_id_col, customer_lifecycle, customer_status,
-                               expand_panel, lifecycle_segments, product_of)
+                               expand_panel, lifecycle_segments, panel_months, product_of)
 from ..schema import Domains, Model, Period
 from ..session import shared_dir
 from .tables import products_table
@@ -108,7 +108,7 @@ def model_from_orders(spark: SparkSession, sf_dir: str, period: Period,
                                    customer_dimension(spark, sf_dir))
     return Model(customers=customers, products=products_table(spark), revenue=revenue,
                  churn=churn, domains=ORDER_DOMAINS, numbered=expand_panel(segments, period, numbered=True),
-                 segments=segments)
+                 segments=segments, months=panel_months(segments, period))
 
 
 def lifecycle_specs(seg: DataFrame, period: Period, tier_threshold: int = ENTERPRISE_MRR_THRESHOLD,

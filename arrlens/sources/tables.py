@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.panel import panel_rows
 from ..schema import (PRODUCT_ROWS, PRODUCTS_SCHEMA, TABLE_ORDER, TABLE_SCHEMAS,
                       Domains, Model)
 from .snapshots import commit, month_folder, new_snapshot, read_pointer, written_months
@@ -61,11 +62,14 @@ def load_model(spark: SparkSession, path: str, domains: Domains | None = None, p
 WRITE_WAVES = [["products", "customers"], ["revenue", "churn"]]
 
 
-def write_revenue(rows: DataFrame, path: str, snapshot: str) -> None:
+def write_revenue(rows: DataFrame, path: str, snapshot: str, by: str = "customer_id",
+                  made: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
     """Revenue rows into the folders of their months and of ``snapshot``. Rows of
     a month come together (AQE splits large months and joins small ones), so a
-    month's folder gets few files however many tasks there are."""
-    rows = rows.hint("rebalance", "revenue_month").sortWithinPartitions("revenue_month", "customer_id")
+    month's folder gets few files however many tasks there are. ``rows`` may be
+    what the rows are ``made`` from, which then is exchanged and sorted ``by``
+    its own key of the customer instead of them."""
+    rows = made(rows.hint("rebalance", "revenue_month").sortWithinPartitions("revenue_month", by))
     rows.withColumn("snapshot", F.lit(snapshot)).write.mode("append").partitionBy("revenue_month", "snapshot").parquet(f"{path}/revenue")
 
 
@@ -75,6 +79,9 @@ def _write_one(model: Model, name: str, path: str, snapshot: str) -> None:
         getattr(model, name).select(*columns).write.parquet(f"{path}/{name}/{snapshot}")
     elif model.numbered is None:
         write_revenue(model.revenue.select(*columns), path, snapshot)
+    elif model.months is not None:
+        write_revenue(model.months, path, snapshot, "customer_key",
+                      lambda rows: panel_rows(rows, numbered=True).select(*columns, "customer_no"))
     else:
         write_revenue(model.numbered.select(*columns, "customer_no"), path, snapshot)
 

@@ -104,3 +104,22 @@ def test_checks_of_a_suite_scan_each_table_once_for_rows_and_once_for_keys(spark
     assert len(re.findall(r"FileScan parquet .*revenue_id", plan)) == 2  # row rules, and the primary key
     plan = _plan(quality_report(suite.model, months, accounts))
     assert "revenue_id" not in plan and "arr_run_rate_inr" not in plan and "revenue_type" not in plan
+
+
+def test_stored_panel_travels_without_texts(spark, scratch, monkeypatch):
+    """save_model exchanges and sorts what the panel's rows are made from; sums of
+    months need no sorted rows."""
+    from arrlens.operators.kpis import month_facts
+    from arrlens.sources import tables
+    from arrlens.sources.orders import model_from_orders, order_period
+    model = model_from_orders(spark, SF_SMALL, order_period(spark, SF_SMALL))
+    written = []
+    monkeypatch.setattr(tables, "write_revenue", lambda rows, path, snapshot, by="customer_id", made=lambda rows: rows: written.append((rows, by, made)))
+    tables._write_one(model, "revenue", scratch, "s")
+    rows, by, made = written[0]
+    assert by == "customer_key" and "revenue_id" not in rows.columns and "customer_id" not in rows.columns
+    assert made(rows).columns == model.numbered.columns
+    assert made(rows).exceptAll(model.numbered).count() == 0 and rows.count() == model.numbered.count()
+    # Sorted rows, for the bitmaps, have two columns.
+    plan = _plan(month_facts(model))
+    assert not re.search(r"SortAggregate\([^\n]*partial_sum\([^\n]*mrr", plan)
